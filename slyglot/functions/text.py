@@ -75,7 +75,7 @@ def normalize(text: Column, substitutions) -> Column:
 
 def words(text: Column) -> Column:
     """B2: all word runs, in order."""
-    return F.regexp_extract_all(text, F.lit(f"({WORD_CHAR}+)"), 1)
+    return F.regexp_extract_all(text, F.lit(f"({WORD_CHAR}++)"), 1)
 
 
 def long_words(tokens: Column, length: int = MIN_WORD_LENGTH) -> Column:

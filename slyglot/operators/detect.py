@@ -27,7 +27,8 @@ def context_score(tokens: Column, weights: dict[str, int]) -> Column:
         out = F.lit(0)
         for weight, members in sorted(classes.items()):
             out = F.when(word.isin(members), weight).otherwise(out)
-        return out
+        # one hash lookup settles the words that carry no weight
+        return F.when(word.isin(list(weights)), out).otherwise(F.lit(0))
 
     score = F.aggregate(tokens, F.lit(0), lambda total, w: total + weight_of(w))
     return F.coalesce(score, F.lit(0))
@@ -55,6 +56,15 @@ def fuzzy_candidates(lex: Lexicons) -> dict[int, list[tuple[str, int]]]:
     return dict(by_length)
 
 
+def _shares_an_end(word: Column, near: list[tuple[str, int]]) -> Column:
+    """Necessary for one edit: the words start alike or end alike, up to half their length."""
+    if any(edits > 1 for _, edits in near):
+        return F.lit(True)
+    size = min(len(h) for h, _ in near) // 2
+    starts, ends = sorted({h[:size] for h, _ in near}), sorted({h[-size:] for h, _ in near})
+    return F.left(word, F.lit(size)).isin(starts) | F.right(word, F.lit(size)).isin(ends)
+
+
 def fuzzy_hit(norm_words: Column, lex: Lexicons) -> Column:
     """Some word is within its allowed edits of a harmful word, ignoring context."""
     by_length = fuzzy_candidates(lex)
@@ -62,11 +72,14 @@ def fuzzy_hit(norm_words: Column, lex: Lexicons) -> Column:
         return F.lit(False)
 
     def close(word: Column) -> Column:
-        return T.any_of(
+        exact_test = T.any_of(
             (F.length(word) == length)
             & T.any_of(F.levenshtein(word, F.lit(h), edits) >= 0 for h, edits in near)
             for length, near in sorted(by_length.items())
         )
+        in_reach = F.length(word).between(min(by_length), max(by_length))
+        everyone = [pair for near in by_length.values() for pair in near]
+        return in_reach & _shares_an_end(word, everyone) & exact_test
 
     return F.exists(norm_words, close)
 

@@ -15,6 +15,7 @@ from slyglot.lexicons import (
     SPOONERISM_LABEL,
 )
 from slyglot.operators.collect import positive_queries
+from slyglot.session import spread
 
 # Suffix by doc_id % 12, and the labels it is meant to earn.
 SUFFIXES = (
@@ -40,6 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text is about to be worked on (see ``session.spread``)."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def _cycle(values, counter: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (counter % len(values) + 1).cast("int"))
 
@@ -68,11 +74,20 @@ def image_ref(vec_id: Column) -> Column:
 
 def plain_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(post_id, text)`` of the documents as they are."""
-    docs = table(spark, sf_dir, "documents")
-    return docs.select(F.col("doc_id").alias("post_id"), "text")
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("post_id"), "text")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts whose text is about to be worked on."""
+    return as_posts(documents(spark, sf_dir))
+
+
+def post_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of which only the short columns are read."""
+    return as_posts(table(spark, sf_dir, "documents"))
+
+
+def as_posts(docs: DataFrame) -> DataFrame:
     """Documents as posts with an author, URIs, an embed and an evasive ending."""
     doc_id, author = F.col("doc_id"), handle(F.col("source"))
     rkey = F.concat(F.lit("r"), doc_id.cast("string"))
@@ -89,7 +104,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             images.alias("images"),
         ),
     )
-    return table(spark, sf_dir, "documents").select(
+    return docs.select(
         doc_id.alias("post_id"),
         author.alias("author_handle"),
         did(author).alias("author_did"),
@@ -115,7 +130,7 @@ def expected_labels(doc_id: Column) -> Column:
 def searchable_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(post_id, url, text)`` where each post ends with a search term."""
     doc_id, author = F.col("doc_id"), handle(F.col("source"))
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         doc_id.alias("post_id"),
         T.post_url(author, F.concat(F.lit("r"), doc_id.cast("string"))).alias("url"),
         F.concat("text", F.lit(" "), _cycle(SEARCH_SUFFIXES, doc_id)).alias("text"),

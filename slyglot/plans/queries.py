@@ -15,7 +15,7 @@ from slyglot.operators import collect, detect, evaluate, events, hashmatch, lexi
 from slyglot.operators import labelers as L
 from slyglot.operators import lexicon_prep as prep
 from slyglot.plans import corpus
-from slyglot.session import scratch_path, ship_package
+from slyglot.session import scratch_path, ship_package, spread
 from slyglot.sources import lexicon_files, posts as post_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,7 +48,7 @@ def words_lexicon(spark: SparkSession, words) -> DataFrame:
 
 def document_words(spark: SparkSession, d: str) -> DataFrame:
     """Every word of every document, as written, one per row in ``value``."""
-    docs = corpus.table(spark, d, "documents")
+    docs = corpus.documents(spark, d)
     return docs.select(F.explode(T.words(F.col("text"))).alias("value"))
 
 
@@ -58,7 +58,7 @@ def document_words(spark: SparkSession, d: str) -> DataFrame:
 @query
 def scan_labeled_csv(spark, d):
     path = scratch_path(spark, "labeled_csv")
-    rows = corpus.posts(spark, d).select("url", F.col("expected").alias("labels"))
+    rows = corpus.post_records(spark, d).select("url", F.col("expected").alias("labels"))
     post_sources.write_labeled_posts(rows, path)
     back = post_sources.read_labeled_posts(spark, path)
     return back.select(F.col("URL").alias("url"), joined("labels").alias("labels"))
@@ -66,7 +66,7 @@ def scan_labeled_csv(spark, d):
 
 @query
 def lexicon_clean(spark, d):
-    docs = corpus.table(spark, d, "documents")
+    docs = corpus.documents(spark, d)
     lines = docs.select(F.explode(F.split("text", "\n")).alias("value"))
     return lexicon_files.clean_words(lines)
 
@@ -84,7 +84,7 @@ def lexicon_pairs_last_wins(spark, d):
 
 @query
 def post_lookup_by_url(spark, d):
-    posts = corpus.posts(spark, d)
+    posts = corpus.post_records(spark, d)
     moved = F.col("post_id") % 5 == 0
     urls = posts.select(F.when(moved, F.concat("url", F.lit("x"))).otherwise(F.col("url")).alias("url"))
     found = post_sources.lookup_posts(
@@ -129,7 +129,7 @@ def reference_hashes(spark, d):
 
 @query
 def incremental_append(spark, d):
-    posts = corpus.posts(spark, d).select("post_id", "url", joined("expected").alias("labels"))
+    posts = corpus.post_records(spark, d).select("post_id", "url", joined("expected").alias("labels"))
     stored = posts.join(
         corpus.table(spark, d, "labels").select(F.col("doc_id").alias("post_id")), "post_id", "left_semi"
     )
@@ -180,7 +180,7 @@ def normalize_text(spark, d):
 
 @query
 def tokenize(spark, d):
-    docs = corpus.table(spark, d, "documents")
+    docs = corpus.documents(spark, d)
     tokens = docs.select(F.explode(T.words(F.lower("text"))).alias("word"))
     return tokens.groupBy("word").agg(F.count("*").alias("n"))
 
@@ -220,7 +220,7 @@ def phonetic_vocabulary(spark, d):
 
 @query
 def word_bigrams(spark, d):
-    docs = corpus.table(spark, d, "documents")
+    docs = corpus.documents(spark, d)
     pairs = docs.select(F.explode(T.bigrams(T.words(F.lower("text")))).alias("p")).select("p.a", "p.b")
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
 
@@ -242,25 +242,25 @@ def parse_post_url(spark, d):
 
 @query
 def did_from_uri(spark, d):
-    return corpus.posts(spark, d).select("uri", T.did_from_uri(F.col("uri")).alias("did"))
+    return corpus.post_records(spark, d).select("uri", T.did_from_uri(F.col("uri")).alias("did"))
 
 
 @query
 def build_post_url(spark, d):
-    posts = corpus.posts(spark, d)
+    posts = corpus.post_records(spark, d)
     return posts.select("post_id", T.post_url(F.col("author_handle"), F.col("uri")).alias("url"))
 
 
 @query
 def build_image_url(spark, d):
-    shown = corpus.post_images(corpus.posts(spark, d))
+    shown = corpus.post_images(corpus.post_records(spark, d))
     return shown.select("post_id", T.image_url(F.col("author_did"), F.col("cid")).alias("image_url"))
 
 
 @query
 def embed_images(spark, d):
     is_images = T.is_image_embed(F.col("embed"))
-    return corpus.posts(spark, d).select(
+    return corpus.post_records(spark, d).select(
         "post_id",
         is_images.alias("is_images"),
         long(F.when(is_images, F.size("embed.images")).otherwise(0)).alias("n_images"),
@@ -269,7 +269,7 @@ def embed_images(spark, d):
 
 @query
 def labels_to_json(spark, d):
-    return corpus.posts(spark, d).select("url", T.labels_to_json(F.col("expected")).alias("labels"))
+    return corpus.post_records(spark, d).select("url", T.labels_to_json(F.col("expected")).alias("labels"))
 
 
 # -- lexicon preparation ------------------------------------------------------
@@ -469,7 +469,7 @@ def ts_domains(spark, d):
 
 @query
 def label_ts(spark, d):
-    pages = corpus.table(spark, d, "pages")
+    pages = spread(corpus.table(spark, d, "pages"), "page_id")
     hit = detect.contains_any(F.col("html"), (*LEX.ts_words, *LEX.ts_domains))
     return pages.select("page_id", hit.alias("hit"))
 
@@ -508,13 +508,13 @@ def image_match_join(spark, d):
 
 @query
 def label_image_match(spark, d):
-    return matching_posts(spark, d, corpus.posts(spark, d))
+    return matching_posts(spark, d, corpus.post_records(spark, d))
 
 
 @query
 def label_basic(spark, d):
     posts = corpus.posts(spark, d)
-    matched = matching_posts(spark, d, posts).withColumn("image", F.lit(True))
+    matched = matching_posts(spark, d, corpus.post_records(spark, d)).withColumn("image", F.lit(True))
     # texts are labelled in the scan; only ids and short lists meet the image flags
     texts = posts.select("post_id", L.text_labels(F.col("text"), LEX).alias("text_labels"))
     return texts.join(matched, "post_id", "left").select(
@@ -526,7 +526,7 @@ def label_basic(spark, d):
 def label_missing_posts(spark, d):
     posts = corpus.posts(spark, d)
     lost = F.col("post_id") % 9 == 0
-    urls = posts.select(F.when(lost, F.concat("url", F.lit("x"))).otherwise(F.col("url")).alias("url"))
+    urls = corpus.post_records(spark, d).select(F.when(lost, F.concat("url", F.lit("x"))).otherwise(F.col("url")).alias("url"))
     labeled = L.label_evasion(posts, LEX, phonetic=False).select(
         "author_handle", "rkey", "labels", F.lit(False).alias("error")
     )
@@ -572,7 +572,7 @@ def eval_class_balance(spark, d):
 
 @query
 def eval_general_truth(spark, d):
-    posts = corpus.posts(spark, d)
+    posts = corpus.post_records(spark, d)
     return posts.select("post_id", evaluate.general_truth(F.col("expected")).alias("truth"))
 
 

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "slyglot", cores: str = "*", **conf: str) -> SparkSession:
@@ -38,6 +38,18 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when a scan has fewer splits than there are cores.
+
+    A single file of one row group is read by one task, and labeling text costs far
+    more than moving it. A table with enough splits is left alone.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores, key)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written intermediate.
 
