@@ -66,7 +66,7 @@ def _shares_an_end(word: Column, near: list[tuple[str, int]]) -> Column:
 
 
 def fuzzy_hit(norm_words: Column, lex: Lexicons) -> Column:
-    """Some word is within its allowed edits of a harmful word, ignoring context."""
+    """Some word is near, but not equal to, a harmful word; context is not looked at."""
     by_length = fuzzy_candidates(lex)
     if not by_length:
         return F.lit(False)
@@ -74,7 +74,7 @@ def fuzzy_hit(norm_words: Column, lex: Lexicons) -> Column:
     def close(word: Column) -> Column:
         exact_test = T.any_of(
             (F.length(word) == length)
-            & T.any_of(F.levenshtein(word, F.lit(h), edits) >= 0 for h, edits in near)
+            & T.any_of(F.levenshtein(word, F.lit(h), edits) >= 1 for h, edits in near)
             for length, near in sorted(by_length.items())
         )
         in_reach = F.length(word).between(min(by_length), max(by_length))
@@ -159,14 +159,12 @@ def spoonerism(raw_words: Column, score: Column, lex: Lexicons) -> Column:
     return F.coalesce(context_gate(score) & hit, F.lit(False))
 
 
-def contains_any(text: Column, patterns) -> Column:
+def contains_any(lowered: Column, patterns) -> Column:
     """Lower-cased text contains some pattern as a substring."""
-    lowered = F.lower(text)
     return F.coalesce(T.any_of(F.contains(lowered, F.lit(p)) for p in patterns), F.lit(False))
 
 
-def pair_labels(text: Column, entries) -> Column:
+def pair_labels(lowered: Column, entries) -> Column:
     """Labels whose pattern occurs in the text, in list order, without repeats."""
-    lowered = F.lower(text)
     hits = [F.when(F.contains(lowered, F.lit(p)), F.lit(label)) for p, label in entries]
     return F.array_distinct(F.array_compact(F.array(*hits)))

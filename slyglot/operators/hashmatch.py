@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from slyglot.functions.hashes import BITS, hamming
 from slyglot.lexicons import IMAGE_THRESHOLD, INLINE_LIMIT
 
-UNROLL_LIMIT = 64
 MAX_BITS = max(n for n in range(BITS + 1) if n / BITS <= IMAGE_THRESHOLD)
 BANDS = 4
 BAND_BITS = BITS // BANDS
@@ -25,12 +24,12 @@ def nearest_bits(value: Column, references: list[int]) -> Column:
     """Fewest differing bits to any reference; NULL if there is none or no hash."""
     if not references:
         return F.lit(None).cast("int")
-    literals = [F.lit(r).cast("bigint") for r in references]
-    if len(literals) == 1:
-        return hamming(value, literals[0])
-    if len(literals) <= UNROLL_LIMIT:
-        return F.least(*(hamming(value, r) for r in literals))
-    return F.array_min(F.transform(F.lit(references), lambda r: hamming(value, r)))
+    literals = F.array(*(F.lit(r).cast("bigint") for r in references))
+    # the one-element array binds the hash, so that it is computed once per image
+    nearest = F.transform(
+        F.array(value), lambda h: F.array_min(F.transform(literals, lambda r: hamming(h, r)))
+    )
+    return nearest[0]
 
 
 def with_nearest(images: DataFrame, references: DataFrame) -> DataFrame:

@@ -92,10 +92,16 @@ def label_evasion(
     return flagged.withColumn("labels", labels).drop("charsub", "homophone", "spoonerism")
 
 
-def text_labels(text: Column, lex: Lexicons) -> Column:
+def with_lowered(posts: DataFrame, text: str = "text") -> DataFrame:
+    """Add the lower-cased text once; the substring tests all read this column."""
+    return posts.withColumn("lowered", F.lower(text))
+
+
+def text_labels(lowered: Column, lex: Lexicons) -> Column:
     """The T&S label, then citation labels in list order."""
-    ts = F.when(D.contains_any(text, (*lex.ts_words, *lex.ts_domains)), F.array(F.lit(TS_LABEL)))
-    return F.concat(safe_labels(ts), safe_labels(D.pair_labels(text, lex.news)))
+    is_ts = D.contains_any(lowered, (*lex.ts_words, *lex.ts_domains))
+    ts = F.when(is_ts, F.array(F.lit(TS_LABEL)))
+    return F.concat(safe_labels(ts), safe_labels(D.pair_labels(lowered, lex.news)))
 
 
 def with_image_label(labels: Column, image_match: Column) -> Column:
@@ -106,8 +112,9 @@ def with_image_label(labels: Column, image_match: Column) -> Column:
 
 def label_basic(posts: DataFrame, image_match: Column, lex: Lexicons | None = None) -> DataFrame:
     """D18 over posts that carry an image-match flag (see ``hashmatch``)."""
-    labels = text_labels(F.col("text"), lex or Lexicons())
-    return posts.withColumn("labels", with_image_label(labels, image_match))
+    labels = text_labels(F.col("lowered"), lex or Lexicons())
+    out = with_lowered(posts).withColumn("labels", with_image_label(labels, image_match))
+    return out.drop("lowered")
 
 
 def safe_labels(labels: Column) -> Column:

@@ -452,7 +452,8 @@ def label_evasion_lexical(spark, d):
 
 @query
 def ts_words(spark, d):
-    return flag(corpus.posts(spark, d), detect.contains_any(F.col("text"), LEX.ts_words))
+    posts = L.with_lowered(corpus.posts(spark, d))
+    return flag(posts, detect.contains_any(F.col("lowered"), LEX.ts_words))
 
 
 @query
@@ -464,20 +465,21 @@ def ts_words_join(spark, d):
 
 @query
 def ts_domains(spark, d):
-    return flag(corpus.posts(spark, d), detect.contains_any(F.col("text"), LEX.ts_domains))
+    posts = L.with_lowered(corpus.posts(spark, d))
+    return flag(posts, detect.contains_any(F.col("lowered"), LEX.ts_domains))
 
 
 @query
 def label_ts(spark, d):
     pages = spread(corpus.table(spark, d, "pages"), "page_id")
-    hit = detect.contains_any(F.col("html"), (*LEX.ts_words, *LEX.ts_domains))
-    return pages.select("page_id", hit.alias("hit"))
+    hit = detect.contains_any(F.col("lowered"), (*LEX.ts_words, *LEX.ts_domains))
+    return L.with_lowered(pages, "html").select("page_id", hit.alias("hit"))
 
 
 @query
 def label_citations(spark, d):
-    return corpus.posts(spark, d).select(
-        "post_id", joined(detect.pair_labels(F.col("text"), LEX.news)).alias("labels")
+    return L.with_lowered(corpus.posts(spark, d)).select(
+        "post_id", joined(detect.pair_labels(F.col("lowered"), LEX.news)).alias("labels")
     )
 
 
@@ -513,10 +515,10 @@ def label_image_match(spark, d):
 
 @query
 def label_basic(spark, d):
-    posts = corpus.posts(spark, d)
+    posts = L.with_lowered(corpus.posts(spark, d))
     matched = matching_posts(spark, d, corpus.post_records(spark, d)).withColumn("image", F.lit(True))
     # texts are labelled in the scan; only ids and short lists meet the image flags
-    texts = posts.select("post_id", L.text_labels(F.col("text"), LEX).alias("text_labels"))
+    texts = posts.select("post_id", L.text_labels(F.col("lowered"), LEX).alias("text_labels"))
     return texts.join(matched, "post_id", "left").select(
         "post_id", joined(L.with_image_label(F.col("text_labels"), F.col("image"))).alias("labels")
     )
