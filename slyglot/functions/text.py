@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slyglot.lexicons import MIN_WORD_LENGTH
@@ -73,6 +73,17 @@ def normalize(text: Column, substitutions) -> Column:
     return out
 
 
+def once(frame: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    A later filter on an ordinary derived column is pushed below it, and the column's
+    expression is then run by the filter and again by the projection. A one-row
+    ``inline`` keeps such filters above it; filters on other columns still pass.
+    """
+    made = F.struct(*(c.alias(name) for name, c in columns.items()))
+    return frame.select("*", F.inline(F.array(made)))
+
+
 def words(text: Column) -> Column:
     """B2: all word runs, in order."""
     return F.regexp_extract_all(text, F.lit(f"({WORD_CHAR}++)"), 1)

@@ -131,8 +131,16 @@ def collect_corpus(
     existing: DataFrame,
     limit: int = SEARCH_LIMIT,
 ) -> DataFrame:
-    """positive examples, then negative ones, each URL once and none twice stored."""
-    positive = first_wins(collect_positive(posts, limit)).select("url", "labels")
-    negative = collect_negative(posts, queries, limit).select("url", "labels")
-    fresh = positive.unionByName(negative.join(positive.select("url"), "url", "left_anti"))
-    return new_rows(fresh, existing)
+    """positive examples, then negative ones, each URL once and none twice stored.
+
+    All terms are searched in one pass over the posts. Neutral queries rank after the
+    positive ones, so first-wins keeps a post found by both as positive.
+    """
+    positive = positive_queries()
+    terms = [(i, t) for i, t, _ in positive]
+    terms += [(len(positive) + i, t) for i, t in queries]
+    hits = first_wins(search_posts(posts, terms, limit))
+    labelled = weak_labels(hits, {i: label for i, _, label in positive})
+    no_labels = F.array().cast(NO_LABELS)
+    labels = F.when(F.col("pos") < len(positive), F.col("labels")).otherwise(no_labels)
+    return new_rows(labelled.select("url", labels.alias("labels")), existing)

@@ -27,16 +27,14 @@ WORK_COLUMNS = ("raw_words", "norm_words", "raw_score", "norm_score")
 
 def with_raw_words(posts: DataFrame, lex: Lexicons, text: str = "text") -> DataFrame:
     """Add the words of the text and their context score, each computed once."""
-    return posts.withColumn("raw_words", T.words(F.lower(text))).withColumn(
-        "raw_score", D.context_score(F.col("raw_words"), lex.context)
-    )
+    out = T.once(posts, raw_words=T.words(F.lower(text)))
+    return T.once(out, raw_score=D.context_score(F.col("raw_words"), lex.context))
 
 
 def with_norm_words(posts: DataFrame, lex: Lexicons, text: str = "text") -> DataFrame:
     """The same for the text with look-alike characters undone."""
-    return posts.withColumn(
-        "norm_words", T.words(T.normalize(F.col(text), lex.substitutions))
-    ).withColumn("norm_score", D.context_score(F.col("norm_words"), lex.context))
+    out = T.once(posts, norm_words=T.words(T.normalize(F.col(text), lex.substitutions)))
+    return T.once(out, norm_score=D.context_score(F.col("norm_words"), lex.context))
 
 
 def with_words(posts: DataFrame, lex: Lexicons, text: str = "text") -> DataFrame:
@@ -66,21 +64,22 @@ def with_evasion_flags(
     lex = lex or Lexicons()
     raw, norm = F.col("raw_words"), F.col("norm_words")
     score = F.col("raw_score")
-    listed = D.homophone_dictionary(raw, score, lex)
-    out = (
-        with_words(posts, lex, text)
-        .withColumn("charsub", D.charsub(norm, F.col("norm_score"), lex))
-        .withColumn("spoonerism", D.spoonerism(raw, score, lex))
-        .withColumn("homophone", listed)
-    )
-    if phonetic:
-        # posts the dictionary already flags send nothing to Python
-        candidates = F.when(~F.col("homophone"), D.phonetic_candidates(raw, score))
-        out = out.withColumn("_candidates", candidates)
-        out = out.drop(*WORK_COLUMNS).withColumn(
-            "homophone", F.col("homophone") | sounds_harmful(F.col("_candidates"), lex.harmful)
-        )
-    return out.drop("_candidates", *WORK_COLUMNS)
+    flags = {
+        "charsub": D.charsub(norm, F.col("norm_score"), lex),
+        "homophone": D.homophone_dictionary(raw, score, lex),
+        "spoonerism": D.spoonerism(raw, score, lex),
+    }
+    out = with_words(posts, lex, text)
+    if not phonetic:
+        return T.once(out, **flags).drop(*WORK_COLUMNS)
+    # posts that the dictionary already flags send nothing to Python
+    listed = T.once(out, **flags, _candidates=D.phonetic_candidates(raw, score)).drop(*WORK_COLUMNS)
+    asked = F.when(~F.col("homophone"), F.col("_candidates"))
+    heard = listed.withColumn("_sounds", sounds_harmful(asked, lex.harmful))
+    known = [c for c in listed.columns if c not in ("homophone", "_candidates")]
+    return T.once(
+        heard.withColumnRenamed("homophone", "_listed"), homophone=F.col("_listed") | F.col("_sounds")
+    ).select(*known, "homophone")
 
 
 def label_evasion(
@@ -110,11 +109,16 @@ def with_image_label(labels: Column, image_match: Column) -> Column:
     return F.concat(labels, safe_labels(image))
 
 
+def with_text_labels(posts: DataFrame, lex: Lexicons, text: str = "text") -> DataFrame:
+    """Add ``text_labels``, computed once."""
+    lowered = with_lowered(posts, text)
+    return T.once(lowered, text_labels=text_labels(F.col("lowered"), lex)).drop("lowered")
+
+
 def label_basic(posts: DataFrame, image_match: Column, lex: Lexicons | None = None) -> DataFrame:
     """D18 over posts that carry an image-match flag (see ``hashmatch``)."""
-    labels = text_labels(F.col("lowered"), lex or Lexicons())
-    out = with_lowered(posts).withColumn("labels", with_image_label(labels, image_match))
-    return out.drop("lowered")
+    out = with_text_labels(posts, lex or Lexicons())
+    return out.withColumn("labels", with_image_label(F.col("text_labels"), image_match)).drop("text_labels")
 
 
 def safe_labels(labels: Column) -> Column:

@@ -25,9 +25,16 @@ from slyglot.operators.lexicon_prep import phonetic_vocabulary
 CHUNK = 256
 
 
-def post_tokens(posts: DataFrame, tokens: str, key: str = "post_id") -> DataFrame:
-    """Distinct long words of each post as ``(post_id, word)`` rows; no shuffle."""
+def post_tokens(
+    posts: DataFrame, tokens: str, gate: Column | None = None, key: str = "post_id"
+) -> DataFrame:
+    """Distinct long words of each post that passes ``gate``; no shuffle.
+
+    The gate empties the array instead of filtering the post.
+    """
     distinct = F.array_distinct(T.long_words(F.col(tokens)))
+    if gate is not None:
+        distinct = F.when(gate, distinct)
     return posts.select(key, F.explode(distinct).alias("word"))
 
 

@@ -28,11 +28,10 @@ def by_length(lexicon: DataFrame) -> DataFrame:
 
 def homophone_lookup(entries: DataFrame) -> DataFrame:
     """C4: ``(token, related)`` in both directions from ``(word, variant)`` rows."""
-    return (
-        entries.select(F.col("word").alias("token"), F.col("variant").alias("related"))
-        .union(entries.select("variant", "word"))
-        .distinct()
-    )
+    way = lambda token, related: F.struct(token.alias("token"), related.alias("related"))
+    word, variant = F.col("word"), F.col("variant")
+    both = F.explode(F.array(way(word, variant), way(variant, word))).alias("p")
+    return entries.select(both).select("p.token", "p.related").distinct()
 
 
 def spoonerism_lookup(entries: DataFrame) -> DataFrame:

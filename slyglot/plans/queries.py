@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from slyglot.functions import text as T
 from slyglot.functions.hashes import hash_hex
-from slyglot.lexicons import Lexicons
+from slyglot.lexicons import MIN_CONTEXT, Lexicons
 from slyglot.operators import collect, detect, evaluate, events, hashmatch, lexicon_join
 from slyglot.operators import labelers as L
 from slyglot.operators import lexicon_prep as prep
@@ -362,8 +362,8 @@ def charsub_exact(spark, d):
 
 @query
 def charsub_exact_join(spark, d):
-    posts = norm_posts(spark, d).filter(T.has_two_long_words(F.col("norm_words")))
-    tokens = lexicon_join.post_tokens(posts, "norm_words")
+    gate = T.has_two_long_words(F.col("norm_words"))
+    tokens = lexicon_join.post_tokens(norm_posts(spark, d), "norm_words", gate)
     return lexicon_join.posts_with_words(tokens, words_lexicon(spark, LEX.harmful))
 
 
@@ -377,7 +377,7 @@ def charsub_fuzzy(spark, d):
 @query
 def charsub_fuzzy_join(spark, d):
     gate = detect.context_gate(F.col("norm_score")) & T.has_two_long_words(F.col("norm_words"))
-    tokens = lexicon_join.post_tokens(norm_posts(spark, d).filter(gate), "norm_words")
+    tokens = lexicon_join.post_tokens(norm_posts(spark, d), "norm_words", gate)
     near = lexicon_join.fuzzy_words(tokens, words_lexicon(spark, LEX.harmful))
     return lexicon_join.posts_with_words(tokens, near)
 
@@ -404,10 +404,8 @@ def homophone_phonetic(spark, d):
 
 @query
 def homophone_phonetic_join(spark, d):
-    candidates = detect.phonetic_candidates(F.col("raw_words"), F.col("raw_score"))
-    tokens = lexicon_join.post_tokens(
-        raw_posts(spark, d).select("post_id", candidates.alias("c")).filter("c is not null"), "c"
-    )
+    gate = detect.homophone_gate(F.col("raw_words"), F.col("raw_score"), MIN_CONTEXT + 1)
+    tokens = lexicon_join.post_tokens(raw_posts(spark, d), "raw_words", gate)
     near = lexicon_join.phonetic_words(tokens, words_lexicon(spark, LEX.harmful))
     return lexicon_join.posts_with_words(tokens, near)
 
@@ -515,10 +513,10 @@ def label_image_match(spark, d):
 
 @query
 def label_basic(spark, d):
-    posts = L.with_lowered(corpus.posts(spark, d))
+    posts = corpus.posts(spark, d)
     matched = matching_posts(spark, d, corpus.post_records(spark, d)).withColumn("image", F.lit(True))
     # texts are labelled in the scan; only ids and short lists meet the image flags
-    texts = posts.select("post_id", L.text_labels(F.col("lowered"), LEX).alias("text_labels"))
+    texts = L.with_text_labels(posts, LEX).select("post_id", "text_labels")
     return texts.join(matched, "post_id", "left").select(
         "post_id", joined(L.with_image_label(F.col("text_labels"), F.col("image"))).alias("labels")
     )

@@ -70,8 +70,7 @@ def test_other_lexicon(spark, posts):
     assert got == [spec.labels(t, lex, False) for t in texts]
     assert 3 < sum(map(bool, got)) < len(texts)
     norm = L.with_norm_words(frame, lex)
-    gated = norm.filter(detect.context_gate(F.col("norm_score")))
-    tokens = lexicon_join.post_tokens(gated, "norm_words")
+    tokens = lexicon_join.post_tokens(norm, "norm_words", detect.context_gate(F.col("norm_score")))
     lexicon = spark.createDataFrame([(w,) for w in lex.harmful], "word string")
     near = {r.word for r in lexicon_join.fuzzy_words(tokens, lexicon).collect()}
     words = {r.word for r in tokens.collect()}
@@ -88,17 +87,17 @@ def ids(frame):
 def test_join_paths_equal_inline_paths(spark, posts):
     lexicon = spark.createDataFrame([(w,) for w in LEX.harmful], "word string")
     norm, raw = L.with_norm_words(posts, LEX), L.with_raw_words(posts, LEX)
-    two = norm.filter(T.has_two_long_words(F.col("norm_words")))
-    exact = lexicon_join.posts_with_words(lexicon_join.post_tokens(two, "norm_words"), lexicon)
+    two = T.has_two_long_words(F.col("norm_words"))
+    exact = lexicon_join.posts_with_words(lexicon_join.post_tokens(norm, "norm_words", two), lexicon)
     assert ids(exact) == ids(norm.filter(detect.charsub_exact(F.col("norm_words"), LEX)))
 
-    gated = two.filter(detect.context_gate(F.col("norm_score")))
-    tokens = lexicon_join.post_tokens(gated, "norm_words")
+    gate = two & detect.context_gate(F.col("norm_score"))
+    tokens = lexicon_join.post_tokens(norm, "norm_words", gate)
     fuzzy = lexicon_join.posts_with_words(tokens, lexicon_join.fuzzy_words(tokens, lexicon))
     assert ids(fuzzy) == ids(norm.filter(detect.charsub_fuzzy(F.col("norm_words"), F.col("norm_score"), LEX)))
 
-    strict = raw.filter(detect.homophone_gate(F.col("raw_words"), F.col("raw_score"), 3))
-    tokens = lexicon_join.post_tokens(strict, "raw_words")
+    strict = detect.homophone_gate(F.col("raw_words"), F.col("raw_score"), 3)
+    tokens = lexicon_join.post_tokens(raw, "raw_words", strict)
     sounds = lexicon_join.posts_with_words(tokens, lexicon_join.phonetic_words(tokens, lexicon))
     assert ids(sounds) == {i for i, t in enumerate(TEXTS) if t and spec.has_phonetic(t, LEX)}
 

@@ -27,7 +27,24 @@ def test_labeler_is_narrow(spark, sf_dir):
     assert "Exchange" not in full and full.count("ArrowEvalPython") == 1
 
 
-def test_words_are_computed_once(spark, sf_dir):
+@pytest.mark.parametrize("phonetic", [False, True])
+def test_words_are_computed_once(spark, sf_dir, phonetic):
     posts = corpus.table(spark, sf_dir, "documents").select("doc_id", "text")
-    plan = plan_of(L.label_evasion(posts, phonetic=False))
-    assert plan.count("regexp_extract_all") == 2 and plan.count("translate(") == 1
+    labeled = L.label_evasion(posts, phonetic=phonetic)
+    # a filter on the result must not run the detectors a second time
+    for frame in (labeled, labeled.filter("size(labels) > 0"), labeled.filter("labels[0] = 'homophone'")):
+        plan = plan_of(frame)
+        assert plan.count("regexp_extract_all") == 2 and plan.count("translate(") == 1
+        assert plan.count("levenshtein(") == plan_of(labeled).count("levenshtein(")
+        assert plan.count("ArrowEvalPython") == phonetic
+
+
+def test_filter_on_other_columns_reaches_the_scan(spark, sf_dir):
+    posts = corpus.table(spark, sf_dir, "documents").select("doc_id", "text")
+    plan = plan_of(L.label_evasion(posts).filter("doc_id = 7"))
+    assert "EqualTo(doc_id,7)" in plan
+
+
+def test_hash_is_computed_once_per_image(spark, sf_dir):
+    plan = plan_of(QUERIES["label_image_match"](spark, sf_dir))
+    assert plan.count("zip_with(") <= 2
