@@ -187,36 +187,42 @@ RULES = {
 VOWELS = "AEIOUY"
 
 
-def _compile(spelling: str) -> re.Pattern:
-    return re.compile(spelling.replace("v", f"[{VOWELS}]"))
-
-
-_TABLE = {
-    letter: [(_compile(row[0]), *row[1:], *(None,) * (4 - len(row))) for row in rows]
-    for letter, rows in RULES.items()
-}
-_TABLE.update({vowel: [(_compile("^v"), "A", None, None)] for vowel in VOWELS})
+@lru_cache
+def _spellings(flags: frozenset[str]) -> dict[str, tuple[re.Pattern, list[tuple[str, str]]]]:
+    """Per letter: one pattern with a group for each row in force, and the rows' codes."""
+    table = {}
+    for letter, rows in {**RULES, **{v: (("^v", "A"),) for v in VOWELS}}.items():
+        used = [row for row in rows if len(row) < 4 or row[3] in flags]
+        pattern = "|".join(f"({row[0]})" for row in used).replace("v", f"[{VOWELS}]")
+        codes = [(row[1], row[1] if len(row) < 3 or row[2] is None else row[2]) for row in used]
+        table[letter] = re.compile(pattern), codes
+    return table
+
+
+def _letters(word: str) -> str:
+    """Upper case without accents."""
+    if not word.isascii():
+        decomposed = unicodedata.normalize("NFD", word)
+        word = "".join(c for c in decomposed if unicodedata.category(c) != "Mn")
+    return word.upper()
 
 
 @lru_cache(maxsize=200_000)
 def phonetic_codes(word: str) -> tuple[str, str]:
     """Primary and secondary code of one word; the secondary is "" if equal."""
-    decomposed = unicodedata.normalize("NFD", word)
-    letters = "".join(c for c in decomposed if unicodedata.category(c) != "Mn").upper()
-    flags = {None, "slavic" if re.search("W|K|CZ|WITZ", letters) else "plain"}
-    if letters.startswith("SCH"):
-        flags.add("sch")
+    letters = _letters(word)
+    slavic = any(sign in letters for sign in ("W", "K", "CZ", "WITZ"))
+    starts_sch = letters.startswith("SCH")
+    table = _spellings(frozenset(["slavic" if slavic else "plain", *["sch"] * starts_sch]))
     first, second, at = "", "", 0
     while at < len(letters):
-        step = 1
-        for spelling, primary, secondary, flag in _TABLE.get(letters[at], ()):
-            match = spelling.match(letters, at) if flag in flags else None
-            if match:
-                first += primary
-                second += primary if secondary is None else secondary
-                step = match.end() - at
-                break
-        at += step
+        pattern, codes = table.get(letters[at], (None, ()))
+        match = pattern.match(letters, at) if pattern else None
+        if match:
+            primary, secondary = codes[match.lastindex - 1]
+            first, second, at = first + primary, second + secondary, match.end()
+        else:
+            at += 1
     return first, "" if second == first else second
 
 
@@ -239,15 +245,6 @@ def code_agreement(left: str, right: str) -> float:
     return sum(a == b for a, b in zip(left, right)) / max(len(left), len(right))
 
 
-def similar_words(code: str, lexicon) -> frozenset[str]:
-    """Lexicon words with a code close enough to ``code``."""
-    return frozenset(
-        word
-        for word, codes, threshold in lexicon
-        if any(other and code_agreement(code, other) >= threshold for other in codes)
-    )
-
-
 def coded_lexicon(harmful) -> list[tuple[str, tuple[str, str], float]]:
     return [(w, phonetic_codes(w), threshold_for(w, PHONETIC_THRESHOLD)) for w in harmful]
 
@@ -257,9 +254,23 @@ def word_matcher(harmful: tuple[str, ...]):
     """A remembering test "sounds like some word of ``harmful`` other than itself"."""
     lexicon = coded_lexicon(harmful)
 
+    @lru_cache(maxsize=1_000)
+    def within_reach(size: int) -> list[tuple[str, str, float]]:
+        # at best the shorter of two codes agrees throughout
+        return [
+            (word, code, threshold)
+            for word, codes, threshold in lexicon
+            for code in codes
+            if code and min(size, len(code)) / max(size, len(code)) >= threshold
+        ]
+
     @lru_cache(maxsize=50_000)
     def near(code: str) -> frozenset[str]:
-        return similar_words(code, lexicon)
+        return frozenset(
+            word
+            for word, other, threshold in within_reach(len(code))
+            if code_agreement(code, other) >= threshold
+        )
 
     @lru_cache(maxsize=200_000)
     def matches(word: str) -> bool:

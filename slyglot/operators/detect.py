@@ -39,10 +39,14 @@ def context_gate(score: Column, minimum: int = MIN_CONTEXT) -> Column:
     return score >= minimum
 
 
+def is_harmful(word: Column, lex: Lexicons) -> Column:
+    return word.isin(list(lex.harmful))
+
+
 def charsub_exact(norm_words: Column, lex: Lexicons) -> Column:
     """D3: a normalised word is a harmful word."""
-    hit = F.exists(norm_words, lambda w: w.isin(list(lex.harmful)))
-    return F.coalesce(T.has_two_long_words(norm_words) & hit, F.lit(False))
+    hit = F.exists(norm_words, lambda w: is_harmful(w, lex))
+    return F.coalesce(hit & T.has_two_long_words(norm_words), F.lit(False))
 
 
 def fuzzy_candidates(lex: Lexicons) -> dict[int, list[tuple[str, int]]]:
@@ -65,36 +69,39 @@ def _shares_an_end(word: Column, near: list[tuple[str, int]]) -> Column:
     return F.left(word, F.lit(size)).isin(starts) | F.right(word, F.lit(size)).isin(ends)
 
 
-def fuzzy_hit(norm_words: Column, lex: Lexicons) -> Column:
-    """Some word is near, but not equal to, a harmful word; context is not looked at."""
+def is_near_harmful(word: Column, lex: Lexicons) -> Column:
+    """A word within its allowed edits of a harmful word, but not equal to it."""
     by_length = fuzzy_candidates(lex)
     if not by_length:
         return F.lit(False)
-
-    def close(word: Column) -> Column:
-        exact_test = T.any_of(
-            (F.length(word) == length)
-            & T.any_of(F.levenshtein(word, F.lit(h), edits) >= 1 for h, edits in near)
-            for length, near in sorted(by_length.items())
-        )
-        in_reach = F.length(word).between(min(by_length), max(by_length))
-        everyone = [pair for near in by_length.values() for pair in near]
-        return in_reach & _shares_an_end(word, everyone) & exact_test
-
-    return F.exists(norm_words, close)
+    within_edits = T.any_of(
+        (F.length(word) == length)
+        & T.any_of(F.levenshtein(word, F.lit(h), edits) >= 1 for h, edits in near)
+        for length, near in sorted(by_length.items())
+    )
+    in_reach = F.length(word).between(min(by_length), max(by_length))
+    everyone = [pair for near in by_length.values() for pair in near]
+    return in_reach & _shares_an_end(word, everyone) & within_edits
 
 
 def charsub_fuzzy(norm_words: Column, norm_score: Column, lex: Lexicons) -> Column:
     """A normalised word is close to a harmful word, in harmful context."""
+    hit = F.exists(norm_words, lambda w: is_near_harmful(w, lex))
     gate = context_gate(norm_score) & T.has_two_long_words(norm_words)
-    return F.coalesce(gate & fuzzy_hit(norm_words, lex), F.lit(False))
+    return F.coalesce(hit & gate, F.lit(False))
+
 
+def charsub(norm_words: Column, lex: Lexicons) -> Column:
+    """Exact match, or close match in context.
 
-def charsub(norm_words: Column, norm_score: Column, lex: Lexicons) -> Column:
-    """Exact match, or close match in context."""
-    exact = F.exists(norm_words, lambda w: w.isin(list(lex.harmful)))
-    close = context_gate(norm_score) & fuzzy_hit(norm_words, lex)
-    return F.coalesce(T.has_two_long_words(norm_words) & (exact | close), F.lit(False))
+    One pass over the words settles most posts. Only a post with a suspicious word
+    goes on to ask whether it is an exact one and how harmful the context is.
+    """
+    suspicious = F.exists(norm_words, lambda w: is_harmful(w, lex) | is_near_harmful(w, lex))
+    exact = F.exists(norm_words, lambda w: is_harmful(w, lex))
+    in_context = context_gate(context_score(norm_words, lex.context))
+    hit = suspicious & (exact | in_context) & T.has_two_long_words(norm_words)
+    return F.coalesce(hit, F.lit(False))
 
 
 def homophone_gate(raw_words: Column, score: Column, minimum: int = MIN_CONTEXT) -> Column:
@@ -105,7 +112,7 @@ def homophone_dictionary(raw_words: Column, score: Column, lex: Lexicons) -> Col
     """A long word is listed as a homophone of a harmful word."""
     fires = [w for w in lex.firing_homophones() if len(w) >= T.MIN_WORD_LENGTH]
     hit = F.exists(raw_words, lambda w: w.isin(fires)) if fires else F.lit(False)
-    return F.coalesce(homophone_gate(raw_words, score) & hit, F.lit(False))
+    return F.coalesce(context_gate(score) & hit & T.has_two_long_words(raw_words), F.lit(False))
 
 
 def phonetic_candidates(raw_words: Column, score: Column) -> Column:

@@ -22,7 +22,7 @@ from slyglot.lexicons import (
 )
 from slyglot.operators import detect as D
 
-WORK_COLUMNS = ("raw_words", "norm_words", "raw_score", "norm_score")
+WORK_COLUMNS = ("raw_words", "raw_score", "norm_words")
 
 
 def with_raw_words(posts: DataFrame, lex: Lexicons, text: str = "text") -> DataFrame:
@@ -32,13 +32,13 @@ def with_raw_words(posts: DataFrame, lex: Lexicons, text: str = "text") -> DataF
 
 
 def with_norm_words(posts: DataFrame, lex: Lexicons, text: str = "text") -> DataFrame:
-    """The same for the text with look-alike characters undone."""
-    out = T.once(posts, norm_words=T.words(T.normalize(F.col(text), lex.substitutions)))
-    return T.once(out, norm_score=D.context_score(F.col("norm_words"), lex.context))
+    """Add the words of the text with look-alike characters undone."""
+    return T.once(posts, norm_words=T.words(T.normalize(F.col(text), lex.substitutions)))
 
 
-def with_words(posts: DataFrame, lex: Lexicons, text: str = "text") -> DataFrame:
-    return with_norm_words(with_raw_words(posts, lex, text), lex, text)
+def with_norm_score(posts: DataFrame, lex: Lexicons) -> DataFrame:
+    """Add the context score of the normalised words."""
+    return T.once(posts, norm_score=D.context_score(F.col("norm_words"), lex.context))
 
 
 def evasion_labels(charsub: Column, homophone: Column, spoonerism: Column) -> Column:
@@ -62,14 +62,13 @@ def with_evasion_flags(
     plan stays in the JVM.
     """
     lex = lex or Lexicons()
-    raw, norm = F.col("raw_words"), F.col("norm_words")
-    score = F.col("raw_score")
+    raw, score = F.col("raw_words"), F.col("raw_score")
     flags = {
-        "charsub": D.charsub(norm, F.col("norm_score"), lex),
+        "charsub": D.charsub(F.col("norm_words"), lex),
         "homophone": D.homophone_dictionary(raw, score, lex),
         "spoonerism": D.spoonerism(raw, score, lex),
     }
-    out = with_words(posts, lex, text)
+    out = with_norm_words(with_raw_words(posts, lex, text), lex, text)
     if not phonetic:
         return T.once(out, **flags).drop(*WORK_COLUMNS)
     # posts that the dictionary already flags send nothing to Python

@@ -346,7 +346,8 @@ def context_score(spark, d):
 
 @query
 def context_score_normalized(spark, d):
-    return norm_posts(spark, d).select("post_id", long("norm_score").alias("score"))
+    posts = L.with_norm_score(norm_posts(spark, d), LEX)
+    return posts.select("post_id", long("norm_score").alias("score"))
 
 
 @query
@@ -369,22 +370,22 @@ def charsub_exact_join(spark, d):
 
 @query
 def charsub_fuzzy(spark, d):
-    return flag(
-        norm_posts(spark, d), detect.charsub_fuzzy(F.col("norm_words"), F.col("norm_score"), LEX)
-    )
+    posts = L.with_norm_score(norm_posts(spark, d), LEX)
+    return flag(posts, detect.charsub_fuzzy(F.col("norm_words"), F.col("norm_score"), LEX))
 
 
 @query
 def charsub_fuzzy_join(spark, d):
     gate = detect.context_gate(F.col("norm_score")) & T.has_two_long_words(F.col("norm_words"))
-    tokens = lexicon_join.post_tokens(norm_posts(spark, d), "norm_words", gate)
+    posts = L.with_norm_score(norm_posts(spark, d), LEX)
+    tokens = lexicon_join.post_tokens(posts, "norm_words", gate)
     near = lexicon_join.fuzzy_words(tokens, words_lexicon(spark, LEX.harmful))
     return lexicon_join.posts_with_words(tokens, near)
 
 
 @query
 def detect_charsub(spark, d):
-    return flag(norm_posts(spark, d), detect.charsub(F.col("norm_words"), F.col("norm_score"), LEX))
+    return flag(norm_posts(spark, d), detect.charsub(F.col("norm_words"), LEX))
 
 
 @query

@@ -69,7 +69,7 @@ def test_other_lexicon(spark, posts):
     got = [r.labels for r in L.label_evasion(frame, lex, phonetic=False).orderBy("post_id").collect()]
     assert got == [spec.labels(t, lex, False) for t in texts]
     assert 3 < sum(map(bool, got)) < len(texts)
-    norm = L.with_norm_words(frame, lex)
+    norm = L.with_norm_score(L.with_norm_words(frame, lex), lex)
     tokens = lexicon_join.post_tokens(norm, "norm_words", detect.context_gate(F.col("norm_score")))
     lexicon = spark.createDataFrame([(w,) for w in lex.harmful], "word string")
     near = {r.word for r in lexicon_join.fuzzy_words(tokens, lexicon).collect()}
@@ -86,7 +86,8 @@ def ids(frame):
 
 def test_join_paths_equal_inline_paths(spark, posts):
     lexicon = spark.createDataFrame([(w,) for w in LEX.harmful], "word string")
-    norm, raw = L.with_norm_words(posts, LEX), L.with_raw_words(posts, LEX)
+    norm = L.with_norm_score(L.with_norm_words(posts, LEX), LEX)
+    raw = L.with_raw_words(posts, LEX)
     two = T.has_two_long_words(F.col("norm_words"))
     exact = lexicon_join.posts_with_words(lexicon_join.post_tokens(norm, "norm_words", two), lexicon)
     assert ids(exact) == ids(norm.filter(detect.charsub_exact(F.col("norm_words"), LEX)))
