@@ -1,8 +1,8 @@
 """Detectors D1-D11 as column expressions.
 
 Each takes word arrays that the caller computed once per post (see
-``operators.labelers.with_words``) and stays inside one stage: no explode, no
-shuffle, no per-row Python. The lexicons are bounded by ``Lexicons`` and become
+``operators.labelers.with_raw_words``) and stays inside one stage: no shuffle, no
+per-row Python. The lexicons are bounded by ``Lexicons`` and become
 literals (hash-set lookups) in the plan.
 """
 

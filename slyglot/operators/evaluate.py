@@ -139,11 +139,11 @@ def _long_form(row: DataFrame, section: Column, names) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
-def report(rows: DataFrame, times: DataFrame, seconds: str) -> DataFrame:
+def report(rows: DataFrame, times: DataFrame | None = None, seconds: str = "seconds") -> DataFrame:
     """Balance, general, per-label, latency and error figures in long form.
 
     ``rows`` carries ``expected``, ``predicted`` and ``error``. All figures over it
-    come from one aggregate; ``times`` is the measured table.
+    come from one aggregate; ``times`` is the table of measured times, if there is one.
     """
     labels = [GENERAL_LABEL, *SPECIFIC_LABELS]
     pairs = _prediction_pairs()
@@ -165,13 +165,15 @@ def report(rows: DataFrame, times: DataFrame, seconds: str) -> DataFrame:
     ]
     for i, label in enumerate(labels):
         cells = {n: F.col(f"l{i}.{n}") for n in CELLS}
-        figures = {**cells, **ratio_metrics(**cells)}
-        plain += [(label, n, value) for n, value in figures.items()]
+        plain += [(label, n, value) for n, value in {**cells, **ratio_metrics(**cells)}.items()]
     entries = [
         F.struct(F.lit(s).alias("section"), F.lit(n).alias("metric"), v.cast("double").alias("value"))
         for s, n, v in plain
     ]
+    figures = summary.select(F.inline(F.array(*entries)))
+    if times is None:
+        return figures
     latency = latency_summary(times, seconds)
-    return summary.select(F.inline(F.array(*entries))).union(
+    return figures.union(
         _long_form(latency, F.lit("latency"), latency.columns)
     )

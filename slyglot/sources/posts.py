@@ -33,13 +33,17 @@ def write_labeled_posts(rows: DataFrame, path: str, mode: str = "append") -> Non
 def lookup_posts(urls: DataFrame, posts: DataFrame) -> DataFrame:
     """A5: the post behind each URL; NULL columns where there is none.
 
-    ``posts`` holds one row per (author_handle, rkey). A URL asked for very often
-    skews only the left side, which adaptive execution splits.
+    ``posts`` holds one row per (author_handle, rkey). It is cut to the wanted posts
+    first, so a short URL list never shuffles the post table; a long one uses the same
+    partitioning for both joins. A URL asked for very often skews only the left side,
+    which adaptive execution splits.
     """
+    keys = ["author_handle", "rkey"]
     wanted = urls.withColumns(
         {"author_handle": T.post_handle(F.col("url")), "rkey": T.post_rkey(F.col("url"))}
     )
-    return wanted.join(posts.drop("url"), ["author_handle", "rkey"], "left")
+    found = posts.drop("url").join(wanted.select(keys).distinct(), keys, "left_semi")
+    return wanted.join(found, keys, "left")
 
 
 def resolve_handles(requests: DataFrame, accounts: DataFrame) -> DataFrame:
