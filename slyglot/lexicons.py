@@ -203,6 +203,9 @@ class Lexicons:
                     "keep it as a DataFrame and use slyglot.operators.lexicon_join"
                 )
 
+        if any(len(w) < MIN_WORD_LENGTH for w in self.harmful):
+            raise ValueError(f"harmful words need at least {MIN_WORD_LENGTH} characters")
+
     def high_confidence(self) -> tuple[str, ...]:
         return tuple(w for w in self.harmful if len(w) >= HIGH_CONFIDENCE_LENGTH)
 

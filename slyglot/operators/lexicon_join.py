@@ -9,18 +9,29 @@ then skews only the semi-join back to posts, which adaptive execution splits.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slyglot.functions import text as T
 from slyglot.lexicons import (
+    CHARSUB_LABEL,
     CHARSUB_THRESHOLD,
+    HOMOPHONE_LABEL,
+    MIN_CONTEXT,
     MIN_WORD_LENGTH,
     PHONETIC_THRESHOLD,
     SHORT_WORD_LENGTH,
     SHORT_WORD_PENALTY,
+    SPECIFIC_LABELS,
+    SPOONERISM_LABEL,
+    Lexicons,
 )
+from slyglot.operators import detect as D
+from slyglot.operators import labelers as L
 from slyglot.operators.lexicon_prep import phonetic_vocabulary
+from slyglot.session import scratch_path
 
 CHUNK = 256
 
@@ -185,3 +196,92 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str = "post_id")
         .select(key, "pattern")
         .distinct()
     )
+
+
+def match_keys(posts: DataFrame, lex: Lexicons, key: str = "post_id") -> DataFrame:
+    """Everything about a post that a lexicon can match, as ``(post_id, kind, key)`` rows.
+
+    The gates decide which kinds a post has: its normalised words, those again in
+    harmful context, its raw words in context and in strict context, its neighbouring
+    pairs, and its words with first letters swapped.
+    """
+    words = L.with_norm_words(L.with_raw_words(posts.select(key, "text"), lex), lex)
+    words = L.with_norm_score(words, lex)
+    raw, norm, score = F.col("raw_words"), F.col("norm_words"), F.col("raw_score")
+    two_norm = T.has_two_long_words(norm)
+    pairs = T.bigrams(raw)
+    wide = F.filter(pairs, lambda p: (F.length(p["a"]) > 2) & (F.length(p["b"]) > 2))
+    swapped = F.flatten(F.transform(wide, lambda p: F.array(*T.swap_initials(p["a"], p["b"]))))
+    in_context = D.context_gate(score)
+    parts = {
+        "norm": F.when(two_norm, T.long_words(norm)),
+        "norm_context": F.when(two_norm & D.context_gate(F.col("norm_score")), T.long_words(norm)),
+        "raw": F.when(D.homophone_gate(raw, score), T.long_words(raw)),
+        "raw_strict": F.when(D.homophone_gate(raw, score, MIN_CONTEXT + 1), T.long_words(raw)),
+        "pair": F.when(in_context, F.transform(pairs, lambda p: F.concat_ws(" ", p["a"], p["b"]))),
+        "swap": F.when(in_context, swapped),
+    }
+
+    def tagged(kind: str, values: Column) -> Column:
+        made = F.transform(
+            F.array_distinct(values), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("key"))
+        )
+        return F.coalesce(made, F.array().cast("array<struct<kind: string, key: string>>"))
+
+    everything = F.concat(*(tagged(kind, values) for kind, values in parts.items()))
+    return words.select(key, F.explode(everything).alias("k")).select(key, "k.kind", "k.key")
+
+
+def label_evasion_join(
+    posts: DataFrame,
+    harmful: DataFrame,
+    related: DataFrame,
+    swaps: DataFrame,
+    lex: Lexicons,
+    phonetic: bool = True,
+    key: str = "post_id",
+) -> DataFrame:
+    """D12 for lexicons of any size: ``(post_id, labels)`` of every post.
+
+    ``harmful`` is ``(word)``, ``related`` is ``(token, related)`` (C4) and ``swaps`` is
+    ``(s1, s2, o1, o2)`` (C5); ``lex`` gives substitutions and context weights. Texts are
+    read once: their match keys are written to the shared scratch folder, and a single
+    equi-join on ``(kind, key)`` finds all labels.
+    """
+    spark = posts.sparkSession
+    path = scratch_path(spark, "match_keys")
+    match_keys(posts, lex, key).write.parquet(path)
+    keys = spark.read.parquet(path)
+    bad = harmful.select("word").distinct()
+
+    def words_of(kind: str) -> DataFrame:
+        return keys.filter(F.col("kind") == kind).select(F.col("key").alias("word"))
+
+    def target(frame: DataFrame, column: str, kind: str, label: str) -> DataFrame:
+        return frame.select(
+            F.lit(kind).alias("kind"), F.col(column).alias("key"), F.lit(label).alias("label")
+        )
+
+    listed = related.select("token", F.col("related").alias("word")).join(bad, "word", "left_semi")
+    phrases = swaps.select(
+        F.concat_ws(" ", "s1", "s2").alias("pair"), F.explode(F.array("o1", "o2")).alias("word")
+    ).join(bad, "word", "left_semi")
+    targets = [
+        target(bad, "word", "norm", CHARSUB_LABEL),
+        target(fuzzy_words(words_of("norm_context"), bad), "word", "norm_context", CHARSUB_LABEL),
+        target(listed, "token", "raw", HOMOPHONE_LABEL),
+        target(phrases, "pair", "pair", SPOONERISM_LABEL),
+        target(bad, "word", "swap", SPOONERISM_LABEL),
+    ]
+    if phonetic:
+        sounds = phonetic_words(words_of("raw_strict"), bad)
+        targets.append(target(sounds, "word", "raw_strict", HOMOPHONE_LABEL))
+    hits = keys.join(reduce(DataFrame.union, targets).distinct(), ["kind", "key"])
+    found = hits.groupBy(key).agg(*(
+        F.bool_or(F.col("label") == label).alias(name)
+        for name, label in zip(("charsub", "homophone", "spoonerism"), SPECIFIC_LABELS)
+    ))
+    flags = [F.coalesce(name, F.lit(False)) for name in ("charsub", "homophone", "spoonerism")]
+    return posts.select(key).join(found, key, "left").select(
+        key, L.evasion_labels(*flags).alias("labels")
+    )

@@ -325,6 +325,7 @@ ORACLES = {
     "spoonerism_swap": hit("initial_swap_ids"),
     "detect_spoonerism": hit("spoonerism_ids"),
     "label_evasion_lexical": sql("SELECT post_id, labels FROM labeled"),
+    "label_evasion_join": sql("SELECT post_id, labels FROM labeled"),
     "ts_words": hit("ts_word_ids"),
     "ts_words_join": sql("SELECT post_id FROM ts_word_ids"),
     "ts_domains": hit("ts_domain_ids"),

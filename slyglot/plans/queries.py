@@ -449,6 +449,22 @@ def label_evasion_lexical(spark, d):
     return L.label_evasion(posts, LEX, phonetic=False).select("post_id", joined("labels").alias("labels"))
 
 
+@query
+def label_evasion_join(spark, d):
+    """The large-lexicon path with dictionary homophones, over the same lexicons."""
+    entries = [(w, v) for w, variants in LEX.homophones for v in variants]
+    related = prep.homophone_lookup(spark.createDataFrame(entries, "word string, variant string"))
+    swaps = prep.spoonerism_lookup(spark.createDataFrame(
+        [(*o, *s, i) for i, (o, s) in enumerate(LEX.spoonerisms)],
+        "o1 string, o2 string, s1 string, s2 string, pos int",
+    ))
+    harmful = words_lexicon(spark, LEX.harmful)
+    labeled = lexicon_join.label_evasion_join(
+        corpus.posts(spark, d), harmful, related, swaps, LEX, phonetic=False
+    )
+    return labeled.select("post_id", joined("labels").alias("labels"))
+
+
 @query
 def ts_words(spark, d):
     posts = L.with_lowered(corpus.posts(spark, d))

@@ -9,6 +9,7 @@ from slyglot.functions import text as T
 from slyglot.lexicons import Lexicons
 from slyglot.operators import detect, lexicon_join
 from slyglot.operators import labelers as L
+from slyglot.operators import lexicon_prep as prep
 from slyglot.plans import corpus
 from tests import spec
 
@@ -103,6 +104,19 @@ def test_join_paths_equal_inline_paths(spark, posts):
     assert ids(sounds) == {i for i, t in enumerate(TEXTS) if t and spec.has_phonetic(t, LEX)}
 
 
+@pytest.mark.parametrize("phonetic", [False, True])
+def test_labels_by_join_equal_brute_force(spark, posts, phonetic):
+    entries = [(w, v) for w, variants in LEX.homophones for v in variants]
+    related = prep.homophone_lookup(spark.createDataFrame(entries, "word string, variant string"))
+    swaps = spark.createDataFrame(
+        [(*s, *o) for o, s in LEX.spoonerisms], "s1 string, s2 string, o1 string, o2 string"
+    )
+    lexicon = spark.createDataFrame([(w,) for w in LEX.harmful], "word string")
+    out = lexicon_join.label_evasion_join(posts, lexicon, related, swaps, LEX, phonetic)
+    got = {r.post_id: r.labels for r in out.collect()}
+    assert got == {i: spec.labels(t, LEX, phonetic) for i, t in enumerate(TEXTS)}
+
+
 def test_substring_join(spark):
     texts = ["", "spamming the Platform", "x" * 255 + "phishing", "x" * 250 + "User Data" + "y" * 600, "none", None]
     texts.append("ab" * 400 + "virality")

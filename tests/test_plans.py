@@ -11,7 +11,7 @@ def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES.keys() - {"scan_labeled_csv"}))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - {"scan_labeled_csv", "label_evasion_join"}))
 def test_no_cross_join_and_narrow_scan(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
