@@ -131,12 +131,14 @@ def error_rate(rows: DataFrame, error: str = "error") -> DataFrame:
     )
 
 
+def _figure(section: Column, metric: str, value: Column) -> Column:
+    return F.struct(
+        section.alias("section"), F.lit(metric).alias("metric"), value.cast("double").alias("value")
+    )
+
+
 def _long_form(row: DataFrame, section: Column, names) -> DataFrame:
-    entries = [
-        F.struct(section.alias("section"), F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"))
-        for n in names
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    return row.select(F.inline(F.array(*(_figure(section, n, F.col(n)) for n in names))))
 
 
 def report(rows: DataFrame, times: DataFrame | None = None, seconds: str = "seconds") -> DataFrame:
@@ -163,14 +165,19 @@ def report(rows: DataFrame, times: DataFrame | None = None, seconds: str = "seco
         ("errors", "errors", F.col("errors")),
         ("errors", "rate", F.try_divide(F.col("errors"), F.col("total"))),
     ]
-    for i, label in enumerate(labels):
-        cells = {n: F.col(f"l{i}.{n}") for n in CELLS}
-        plain += [(label, n, value) for n, value in {**cells, **ratio_metrics(**cells)}.items()]
-    entries = [
-        F.struct(F.lit(s).alias("section"), F.lit(n).alias("metric"), v.cast("double").alias("value"))
-        for s, n, v in plain
-    ]
-    figures = summary.select(F.inline(F.array(*entries)))
+    cells = F.array(*(
+        F.struct(F.lit(label).alias("label"), *(F.col(f"l{i}.{n}").alias(n) for n in CELLS))
+        for i, label in enumerate(labels)
+    ))
+
+    def of_label(row: Column) -> Column:
+        counts = {n: row[n] for n in CELLS}
+        figures = {**counts, **ratio_metrics(**counts)}
+        return F.array(*(_figure(row["label"], n, value) for n, value in figures.items()))
+
+    totals = F.array(*(_figure(F.lit(section), n, value) for section, n, value in plain))
+    per_label = F.flatten(F.transform(cells, of_label))
+    figures = summary.select(F.inline(F.concat(totals, per_label)))
     if times is None:
         return figures
     latency = latency_summary(times, seconds)
