@@ -111,6 +111,26 @@ def _spanning(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i[keep], j[keep]
 
 
+def links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs of `nodes.fp` within `radius`."""
+    if radius > 4:
+        raise ValueError("buckets beyond `block` are only split for a radius of at most 4")
+    signed = [_signed(m) for m in masks(radius)]
+    tables = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(signed)])
+    keyed = nodes.select("fp", F.posexplode(tables).alias("tab", "key"))
+    buckets = checkpointed(
+        keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
+    )
+    found = buckets.where("n = 2").select("a", "b").where(_near(F.col("a"), F.col("b"), radius))
+    many = buckets.where("n > 2").select("key", "n")
+    members = keyed.join(many, "key")
+    small = members.where(F.col("n") <= block).groupBy("key").agg(F.collect_list("fp").alias("fps"))
+    found = found.union(small.select("fps").mapInArrow(lambda b: _bucket_links(b, radius), "a long, b long"))
+    if not many.where(F.col("n") > block).isEmpty():
+        found = found.union(_hot_links(members.where(F.col("n") > block), signed))
+    return found.distinct()
+
+
 def _points(batches: Iterator[pa.RecordBatch], signed: list[int]) -> Iterator[pa.RecordBatch]:
     flips = []
     for mask in signed:
