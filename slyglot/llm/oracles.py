@@ -1,3 +1,25 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    # Exact containment of every item in every document, without sketches.
+    "op5_benchmark_decontamination": r"""
+WITH item AS (
+  SELECT w, min(item_id) AS item_id, least(5, len(w)) AS k
+  FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark)
+  WHERE len(w) > 0 GROUP BY w
+), item_shingle AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM item)
+), size AS (SELECT item_id, count(*) AS n_shingles FROM item_shingle GROUP BY item_id),
+doc AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+doc_shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM doc, (SELECT DISTINCT k FROM item) WHERE len(w) >= k)
+), matched AS (
+  SELECT doc_id, item_id, count(*) AS n_matched FROM doc_shingle JOIN item_shingle USING (s) GROUP BY ALL
+)
+SELECT doc_id, item_id, n_shingles, n_matched, n_matched / n_shingles AS containment
+FROM matched JOIN size USING (item_id) WHERE n_matched >= ceil(0.8 * n_shingles - 1e-9)
+""",
+}

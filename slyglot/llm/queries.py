@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slyglot.session import ship_package
 
-from . import piece_bpe, simhash_cover
+from . import decontaminate, piece_bpe, simhash_cover, url_markov
 from .shared import table
 
 
@@ -22,10 +22,21 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_cover.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode(table(spark, sf_dir, "documents"), tokenizer_file(), digest_only=True)
 
 
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_markov.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -38,6 +49,8 @@ QUERIES = {
     query.__name__: _shipped(query)
     for query in (
         op4_simhash_near_dedup,
+        op5_benchmark_decontamination,
         op6_sentencepiece,
+        op7_url_filter,
     )
 }
