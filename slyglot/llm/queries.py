@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slyglot.session import ship_package
 
-from . import decontaminate, piece_bpe, simhash_cover, url_markov
+from . import decontaminate, hyper_lang, piece_bpe, quality_gam, simhash_cover, url_markov
 from .shared import table
 
 
@@ -18,6 +18,11 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_gam.scores(docs, quality_gam.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_cover.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_markov.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return hyper_lang.identify(docs, *hyper_lang.prototypes(docs))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -48,9 +58,11 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES = {
     query.__name__: _shipped(query)
     for query in (
+        op3_quality_classifier,
         op4_simhash_near_dedup,
         op5_benchmark_decontamination,
         op6_sentencepiece,
         op7_url_filter,
+        op10_language_id,
     )
 }
