@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from slyglot.session import ship_package
 
-from . import decontaminate, hyper_lang, piece_bpe, quality_gam, simhash_cover, url_markov
+from . import decontaminate, hyper_lang, kmeans_tree, piece_bpe, quality_gam, simhash_cover, url_markov
 from .shared import table
 
 
@@ -42,6 +43,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_markov.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return hyper_lang.identify(docs, *hyper_lang.prototypes(docs))
@@ -63,6 +68,7 @@ QUERIES = {
         op5_benchmark_decontamination,
         op6_sentencepiece,
         op7_url_filter,
+        op9_nearest_neighbours,
         op10_language_id,
     )
 }
