@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slyglot.session import ship_package
 
-from . import decontaminate, hyper_lang, kmeans_tree, piece_bpe, quality_gam, simhash_cover, url_markov
+from . import decontaminate, html_wrapper, hyper_lang, kmeans_tree, piece_bpe, quality_gam, simhash_cover, url_markov
 from .shared import table
 
 
@@ -43,6 +43,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_markov.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -68,6 +72,7 @@ QUERIES = {
         op5_benchmark_decontamination,
         op6_sentencepiece,
         op7_url_filter,
+        op8_html_extraction,
         op9_nearest_neighbours,
         op10_language_id,
     )
