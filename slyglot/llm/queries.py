@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slyglot.session import ship_package
 
-from . import decontaminate, html_wrapper, hyper_lang, kmeans_tree, piece_bpe, quality_gam, simhash_cover, url_markov
+from . import decontaminate, html_wrapper, hyper_lang, kmeans_tree, pii_crf, piece_bpe, quality_gam, secret_forest, simhash_cover, url_markov
 from .shared import table
 
 
@@ -19,6 +19,14 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.detect(table(spark, sf_dir, "documents"), pii_crf.learn(pii_crf.labelled_table(spark)))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_forest.scan(table(spark, sf_dir, "documents"), *secret_forest.learn(secret_forest.labelled_table(spark)))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_gam.scores(docs, quality_gam.learn(docs, table(spark, sf_dir, "labels")))
@@ -67,6 +75,8 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES = {
     query.__name__: _shipped(query)
     for query in (
+        op1_pii,
+        op2_secret_scan,
         op3_quality_classifier,
         op4_simhash_near_dedup,
         op5_benchmark_decontamination,
