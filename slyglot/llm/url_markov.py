@@ -91,10 +91,10 @@ def _threshold(scored: DataFrame) -> DataFrame:
         F.count_if(F.col("action") == "allow").alias("yes"), F.count_if(F.col("action") == "block").alias("no")
     )
     # Bins are bounded: a ratio of smoothed chances cannot leave a few dozen units.
-    below, whole = W.orderBy("bin").rowsBetween(W.unboundedPreceding, -1), W.orderBy("bin").rowsBetween(
-        W.unboundedPreceding, W.unboundedFollowing)
-    gain = F.coalesce(F.sum("no").over(below), F.lit(0)) / F.sum("no").over(whole) - F.coalesce(F.sum("yes").over(below), F.lit(0)) / F.sum("yes").over(whole)
-    best = bins.select("bin", F.round(gain, 12).alias("gain")).agg(F.max(F.struct("gain", (-F.col("bin")).alias("low"))).alias("b"))
+    below = W.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.orderBy("bin").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    share = lambda kind: F.try_divide(F.coalesce(F.sum(kind).over(below), F.lit(0)), F.sum(kind).over(whole))
+    best = bins.select("bin", F.round(share("no") - share("yes"), 12).alias("gain")).where("gain IS NOT NULL").agg(F.max(F.struct("gain", (-F.col("bin")).alias("low"))).alias("b"))
     return best.select(F.coalesce(-F.col("b.low") / BINS, F.lit(0.0)).alias("threshold"))
 
 
