@@ -1,8 +1,9 @@
-"""Phonetic keys (Double Metaphone, Philips 2000) over distinct words.
+"""Phonetic keys: a column function from a word to two codes.
 
-The encoder is a table of published spelling rules, matched left to right. Spark
-decides which words reach it: each Arrow batch is reduced to its distinct words
-first, and every worker remembers the words it has seen.
+Matching takes the key as an argument. ``skeleton_key`` is made of built-in expressions
+and runs inside the scan of the posts. ``phonetic_key`` (Double Metaphone, Philips 2000)
+is an optional key outside the hot path: apply it to a distinct vocabulary and hand the
+keyed table to ``lexicon_join.phonetic_words``.
 """
 
 from __future__ import annotations
@@ -11,14 +12,10 @@ import re
 import unicodedata
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
-
-from slyglot.lexicons import PHONETIC_THRESHOLD, threshold_for
+from pyspark.sql.types import StringType, StructField, StructType
 
 # The rules, by the letter they start at. ``v`` stands for a vowel.
 # A row is (spelling with context, primary code, secondary code, only-if flag); a
@@ -240,61 +237,15 @@ def phonetic_key(word: pa.Array) -> pa.Array:
     )
 
 
-def code_agreement(left: str, right: str) -> float:
-    """Share of equal positions of two non-empty codes."""
-    return sum(a == b for a, b in zip(left, right)) / max(len(left), len(right))
-
-
-def coded_lexicon(harmful) -> list[tuple[str, tuple[str, str], float]]:
-    return [(w, phonetic_codes(w), threshold_for(w, PHONETIC_THRESHOLD)) for w in harmful]
-
-
-@lru_cache(maxsize=8)
-def word_matcher(harmful: tuple[str, ...]):
-    """A remembering test "sounds like some word of ``harmful`` other than itself"."""
-    lexicon = coded_lexicon(harmful)
-
-    @lru_cache(maxsize=1_000)
-    def within_reach(size: int) -> list[tuple[str, str, float]]:
-        # at best the shorter of two codes agrees throughout
-        return [
-            (word, code, threshold)
-            for word, codes, threshold in lexicon
-            for code in codes
-            if code and min(size, len(code)) / max(size, len(code)) >= threshold
-        ]
-
-    @lru_cache(maxsize=50_000)
-    def near(code: str) -> frozenset[str]:
-        return frozenset(
-            word
-            for word, other, threshold in within_reach(len(code))
-            if code_agreement(code, other) >= threshold
-        )
-
-    @lru_cache(maxsize=200_000)
-    def matches(word: str) -> bool:
-        return any(code and near(code) - {word} for code in phonetic_codes(word))
-
-    return matches
-
-
-def sounds_harmful(tokens: Column, harmful: tuple[str, ...]) -> Column:
-    """Some word sounds like a harmful word other than itself; False for NULL.
-
-    Takes an array of words per row. Python sees every distinct word of an Arrow
-    batch once; the per-row answer is computed on the dictionary indices.
-    """
+def skeleton_key(word: Column) -> Column:
+    """Two codes from built-in expressions: the consonants, and the consonants by sound."""
+    by_sound = F.translate(word, "cqxzv", "kkssf")
+    return F.struct(
+        F.regexp_replace(word, "[aeiouy]", "").alias("primary"),
+        F.regexp_replace(by_sound, "[aeiouhy]", "").alias("secondary"),
+    )
 
-    @F.arrow_udf(BooleanType())
-    def any_match(batch: pa.Array) -> pa.Array:
-        matches = word_matcher(harmful)
-        encoded = batch.flatten().dictionary_encode()
-        hit = np.array([matches(w) for w in encoded.dictionary.to_pylist()], dtype=bool)
-        rows = pc.list_parent_indices(batch).to_numpy(zero_copy_only=False)
-        out = np.zeros(len(batch), dtype=bool)
-        if len(rows):
-            out[rows[hit[encoded.indices.to_numpy(zero_copy_only=False)]]] = True
-        return pa.array(out)
 
-    return any_match(tokens)
+def codes_of(key: Column) -> Column:
+    """The distinct non-empty codes of a key."""
+    return F.filter(F.array_distinct(F.array(key["primary"], key["secondary"])), lambda c: c != "")

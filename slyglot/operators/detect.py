@@ -14,7 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from slyglot.functions import text as T
-from slyglot.lexicons import MIN_CONTEXT, Lexicons, max_edits
+from slyglot.functions.phonetic import codes_of
+from slyglot.lexicons import MIN_CONTEXT, PHONETIC_THRESHOLD, Lexicons, max_edits, threshold_for
 
 
 def context_score(tokens: Column, weights: dict[str, int]) -> Column:
@@ -121,6 +122,54 @@ def phonetic_candidates(raw_words: Column, score: Column) -> Column:
     return F.when(gate, F.array_distinct(T.long_words(raw_words)))
 
 
+def codes_agree(left: Column, right: Column, needed: Column) -> Column:
+    """Two non-empty codes agree in the needed share of positions.
+
+    Equality and lengths settle nearly all pairs, so few are compared by position.
+    """
+    a, b = F.length(left), F.length(right)
+    return (
+        F.when(left == right, F.lit(True))
+        .when(F.least(a, b) / F.greatest(a, b) < needed, F.lit(False))
+        .otherwise(T.code_similarity(left, right) >= needed)
+    )
+
+
+def _coded(harmful: str, key) -> Column:
+    """``(word, code, needed)`` for each code of a harmful word."""
+    word, needed = F.lit(harmful), F.lit(threshold_for(harmful, PHONETIC_THRESHOLD))
+    return F.transform(
+        codes_of(key(word)),
+        lambda c: F.struct(word.alias("word"), c.alias("code"), needed.alias("needed")),
+    )
+
+
+def sounds_harmful(candidates: Column, lex: Lexicons, key) -> Column:
+    """Some word sounds like a harmful word other than itself; False for NULL.
+
+    The lexicon's codes are constants, folded once when the plan is made.
+    """
+    if not lex.harmful:
+        return F.lit(False)
+    known = F.flatten(F.array(*(_coded(h, key) for h in lex.harmful)))
+
+    def heard(word: Column) -> Column:
+        near = lambda code: F.exists(
+            known, lambda k: (k["word"] != word) & codes_agree(code, k["code"], k["needed"])
+        )
+        return F.exists(codes_of(key(word)), near)
+
+    return F.coalesce(F.exists(candidates, heard), F.lit(False))
+
+
+def homophone(raw_words: Column, score: Column, lex: Lexicons, key) -> Column:
+    """The dictionary, then the phonetic match for posts it does not flag."""
+    candidates = phonetic_candidates(raw_words, score)
+    return F.when(homophone_dictionary(raw_words, score, lex), True).otherwise(
+        sounds_harmful(candidates, lex, key)
+    )
+
+
 def is_listed_spoonerism(a: Column, b: Column, lex: Lexicons) -> Column:
     pairs = lex.firing_spoonerisms()
     firsts = sorted({p[0] for p in pairs})

@@ -1,4 +1,10 @@
-"""Label evaluation E1-E11. Each is one aggregate over (expected, predicted) rows."""
+"""Label evaluation E1-E11. Each is one aggregate over (expected, predicted) rows.
+
+A row whose expected or predicted labels are NULL is an error. It is never correct, is
+listed as a mismatch, and is in no class and no confusion cell; ``errors`` counts it, so
+that positives, negatives and errors of the labels, and likewise the four cells and
+errors, add up to all rows.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +18,13 @@ CELLS = ("tp", "fp", "tn", "fn")
 
 
 def same_labels(expected: str = "expected", predicted: str = "predicted") -> Column:
-    """Equal as sorted lists (repeats count)."""
-    return F.array_sort(expected) == F.array_sort(predicted)
+    """Equal as sorted lists (repeats count); False where either is NULL."""
+    return F.coalesce(F.array_sort(expected) == F.array_sort(predicted), F.lit(False))
+
+
+def is_unlabelled() -> Column:
+    """A row that cannot be scored: one of its label lists is NULL."""
+    return F.col("expected").isNull() | F.col("predicted").isNull()
 
 
 def exact_match(rows: DataFrame) -> DataFrame:
@@ -27,17 +38,23 @@ def exact_match(rows: DataFrame) -> DataFrame:
 
 
 def mismatches(rows: DataFrame) -> DataFrame:
-    """Rows whose label lists differ."""
+    """Rows whose label lists differ or are missing."""
     return rows.filter(~same_labels())
 
 
 def class_balance(rows: DataFrame) -> DataFrame:
-    """Total, positive (any expected label) and negative rows."""
-    return rows.agg(
-        F.count("*").alias("total"),
-        F.count_if(F.size("expected") > 0).alias("positives"),
-        F.count_if(F.size("expected") == 0).alias("negatives"),
-    )
+    """Total, positive (any expected label) and negative rows, and rows without labels."""
+    return rows.agg(*(c.alias(name) for name, c in _balance().items()))
+
+
+def _balance() -> dict[str, Column]:
+    scored = ~is_unlabelled()
+    return {
+        "total": F.count("*"),
+        "positives": F.count_if(scored & (F.size("expected") > 0)),
+        "negatives": F.count_if(scored & (F.size("expected") == 0)),
+        "unlabelled": F.count_if(is_unlabelled()),
+    }
 
 
 def general_truth(expected: Column) -> Column:
@@ -47,12 +64,14 @@ def general_truth(expected: Column) -> Column:
 
 
 def confusion_cells(truth: Column, predicted: Column) -> dict[str, Column]:
-    """E5: the four counts as aggregates; all zero over no rows."""
+    """E5: the four counts as aggregates; all zero over no rows. NULL is in no cell."""
+    known = truth.isNotNull() & predicted.isNotNull()
+    truth, predicted = truth & known, predicted & known
     return {
         "tp": F.count_if(truth & predicted),
-        "fp": F.count_if(~truth & predicted),
-        "tn": F.count_if(~truth & ~predicted),
-        "fn": F.count_if(truth & ~predicted),
+        "fp": F.count_if(known & ~truth & predicted),
+        "tn": F.count_if(known & ~truth & ~predicted),
+        "fn": F.count_if(known & truth & ~predicted),
     }
 
 
@@ -84,18 +103,26 @@ def _prediction_pairs() -> dict[str, tuple[Column, Column]]:
     return pairs
 
 
-def _label_rows(rows: DataFrame, labels) -> DataFrame:
-    """One row per label with its cells, from a single pass over the rows."""
+def _cell_aggregates(labels) -> list[Column]:
+    """The cells of every label as one struct each, named ``l0``, ``l1``, ..."""
     pairs = _prediction_pairs()
-    aggregates = [
+    return [
         F.struct(*(c.alias(n) for n, c in confusion_cells(*pairs[label]).items())).alias(f"l{i}")
         for i, label in enumerate(labels)
     ]
-    entries = [
+
+
+def _cell_array(labels) -> Column:
+    """The structs of ``_cell_aggregates`` as an array of (label, cells)."""
+    return F.array(*(
         F.struct(F.lit(label).alias("label"), *(F.col(f"l{i}.{n}").alias(n) for n in CELLS))
         for i, label in enumerate(labels)
-    ]
-    return rows.agg(*aggregates).select(F.inline(F.array(*entries)))
+    ))
+
+
+def _label_rows(rows: DataFrame, labels) -> DataFrame:
+    """One row per label with its cells, from a single pass over the rows."""
+    return rows.agg(*_cell_aggregates(labels)).select(F.inline(_cell_array(labels)))
 
 
 def _with_metrics(cells: DataFrame) -> DataFrame:
@@ -148,27 +175,17 @@ def report(rows: DataFrame, times: DataFrame | None = None, seconds: str = "seco
     come from one aggregate; ``times`` is the table of measured times, if there is one.
     """
     labels = [GENERAL_LABEL, *SPECIFIC_LABELS]
-    pairs = _prediction_pairs()
-    aggregates = [
-        F.struct(*(c.alias(n) for n, c in confusion_cells(*pairs[label]).items())).alias(f"l{i}")
-        for i, label in enumerate(labels)
-    ]
+    balance = _balance()
     summary = rows.agg(
-        F.count("*").alias("total"),
-        F.count_if(F.size("expected") > 0).alias("positives"),
-        F.count_if(F.size("expected") == 0).alias("negatives"),
-        F.count_if("error").alias("errors"),
-        *aggregates,
+        *(balance[n].alias(n) for n in ("total", "positives", "negatives")),
+        F.count_if(F.col("error") | is_unlabelled()).alias("errors"),
+        *_cell_aggregates(labels),
     )
     plain = [("balance", n, F.col(n)) for n in ("total", "positives", "negatives")]
     plain += [
         ("errors", "errors", F.col("errors")),
         ("errors", "rate", F.try_divide(F.col("errors"), F.col("total"))),
     ]
-    cells = F.array(*(
-        F.struct(F.lit(label).alias("label"), *(F.col(f"l{i}.{n}").alias(n) for n in CELLS))
-        for i, label in enumerate(labels)
-    ))
 
     def of_label(row: Column) -> Column:
         counts = {n: row[n] for n in CELLS}
@@ -176,7 +193,7 @@ def report(rows: DataFrame, times: DataFrame | None = None, seconds: str = "seco
         return F.array(*(_figure(row["label"], n, value) for n, value in figures.items()))
 
     totals = F.array(*(_figure(F.lit(section), n, value) for section, n, value in plain))
-    per_label = F.flatten(F.transform(cells, of_label))
+    per_label = F.flatten(F.transform(_cell_array(labels), of_label))
     figures = summary.select(F.inline(F.concat(totals, per_label)))
     if times is None:
         return figures

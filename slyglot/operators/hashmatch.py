@@ -1,93 +1,51 @@
-"""Image-hash matching D16-D17.
+"""Image-hash matching D16-D17: the exact nearest reference, for any number of references.
 
-Reference images are a short curated list. Up to ``INLINE_LIMIT`` distinct hashes
-are checked and embedded in the plan; a longer list goes through a banded equi-join
-that finds every reference within the label threshold.
+References are packed into blocks of a fixed size, one array per block. Every distinct
+image hash meets every block once and takes the least distance to it, so rows grow with
+images times blocks and never with pairs. Blocks are broadcast while there are few of
+them; beyond that the same rows come from a join by block number.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slyglot.functions.hashes import BITS, hamming
-from slyglot.lexicons import IMAGE_THRESHOLD, INLINE_LIMIT
+from slyglot.lexicons import IMAGE_THRESHOLD
 
 MAX_BITS = max(n for n in range(BITS + 1) if n / BITS <= IMAGE_THRESHOLD)
-BANDS = 4
-BAND_BITS = BITS // BANDS
-
-
-def nearest_bits(value: Column, references: list[int]) -> Column:
-    """Fewest differing bits to any reference; NULL if there is none or no hash."""
-    if not references:
-        return F.lit(None).cast("int")
-    literals = F.array(*(F.lit(r).cast("bigint") for r in references))
-    # the one-element array binds the hash, so that it is computed once per image
-    nearest = F.transform(
-        F.array(value), lambda h: F.array_min(F.transform(literals, lambda r: hamming(h, r)))
-    )
-    return nearest[0]
+BLOCK = 1024
+#: Blocks that are broadcast at most: 8 MB of hashes.
+BROADCAST_BLOCKS = 1024
 
 
-def with_nearest(images: DataFrame, references: DataFrame) -> DataFrame:
-    """Add ``bits``, the fewest differing bits to any reference hash.
-
-    NULL stands for an infinite distance (no hash, or no reference). With a long
-    reference list, images beyond the label threshold are NULL too.
-    """
+def reference_blocks(references: DataFrame, n_blocks: int) -> DataFrame:
+    """``(block, refs)``: the distinct reference hashes, dealt by hash to ``n_blocks`` arrays."""
     known = references.select("hash").filter("hash is not null").distinct()
-    rows = known.limit(INLINE_LIMIT + 1).collect()
-    if len(rows) <= INLINE_LIMIT:
-        return images.withColumn(
-            "bits", nearest_bits(F.col("hash"), sorted(r.hash for r in rows))
-        )
-    return images.join(banded_matches(images, known), "hash", "left")
+    block = F.pmod(F.xxhash64("hash"), F.lit(n_blocks)).cast("int")
+    return known.groupBy(block.alias("block")).agg(F.collect_list("hash").alias("refs"))
 
 
-def band_value(value: Column, band: int) -> Column:
-    mask = (1 << BAND_BITS) - 1
-    return F.shiftrightunsigned(value, band * BAND_BITS).bitwiseAND(F.lit(mask)).cast("int")
+def nearest(images: DataFrame, references: DataFrame) -> DataFrame:
+    """``(hash, bits)`` of every distinct image hash; no row where there is no reference."""
+    count = references.filter("hash is not null").distinct().count()
+    n_blocks = max(1, -(-count // BLOCK))
+    blocks = reference_blocks(references, n_blocks)
+    if n_blocks <= BROADCAST_BLOCKS:
+        blocks = F.broadcast(blocks)
+    hashes = images.select("hash").filter("hash is not null").distinct()
+    met = hashes.select("hash", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
+    least = F.array_min(F.transform("refs", lambda r: hamming(F.col("hash"), r)))
+    return met.join(blocks, "block").select("hash", least.alias("bits")).groupBy("hash").agg(F.min("bits").alias("bits"))
 
 
-def banded_matches(images: DataFrame, references: DataFrame, radius: int = MAX_BITS) -> DataFrame:
-    """``(hash, bits)``: nearest reference of each distinct hash within ``radius`` bits.
+def with_nearest(images: DataFrame, references: DataFrame) -> DataFrame:
+    """Add ``bits``, the fewest differing bits to any reference hash.
 
-    Two hashes within the radius agree to within ``radius // BANDS`` bits in some
-    band, so joining on all near values of a band loses none. Copies of an image
-    collapse before the join.
+    NULL stands for an infinite distance: no hash, or no reference.
     """
-    slack = radius // BANDS
-    flips = [
-        sum(1 << b for b in chosen)
-        for n in range(slack + 1)
-        for chosen in combinations(range(BAND_BITS), n)
-    ]
-
-    def banded(frame: DataFrame, name: str) -> DataFrame:
-        bands = F.array(*(
-            F.struct(F.lit(i).alias("band"), band_value(F.col("hash"), i).alias("part"))
-            for i in range(BANDS)
-        ))
-        return frame.select("hash").distinct().select(
-            F.col("hash").alias(name), F.explode(bands).alias("b")
-        ).select(name, "b.band", "b.part")
-
-    probes = banded(references, "reference").withColumn("flip", F.explode(F.lit(flips)))
-    probes = probes.select(
-        "reference", "band", F.col("part").bitwiseXOR(F.col("flip")).alias("part")
-    )
-    bits = hamming(F.col("hash"), F.col("reference"))
-    return (
-        banded(images.filter("hash is not null"), "hash")
-        .join(probes, ["band", "part"])
-        .withColumn("bits", bits)
-        .filter(F.col("bits") <= radius)
-        .groupBy("hash")
-        .agg(F.min("bits").alias("bits"))
-    )
+    return images.join(nearest(images, references), "hash", "left").select(*images.columns, "bits")
 
 
 def image_matches(images: DataFrame, references: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slyglot.functions import text as T
-from slyglot.functions.phonetic import sounds_harmful
+from slyglot.functions.phonetic import skeleton_key
 from slyglot.lexicons import (
     CHARSUB_LABEL,
     GENERAL_LABEL,
@@ -54,38 +54,29 @@ def evasion_labels(charsub: Column, homophone: Column, spoonerism: Column) -> Co
 
 
 def with_evasion_flags(
-    posts: DataFrame, lex: Lexicons | None = None, phonetic: bool = True, text: str = "text"
+    posts: DataFrame, lex: Lexicons | None = None, phonetic: bool = True, text: str = "text", key=skeleton_key
 ) -> DataFrame:
     """Add boolean columns ``charsub``, ``homophone`` and ``spoonerism``.
 
-    With ``phonetic`` off, homophones come from the dictionary only and the whole
-    plan stays in the JVM.
+    With ``phonetic`` off, homophones come from the dictionary only. ``key`` gives the
+    codes of a word from built-in expressions, so the whole plan stays in the JVM.
     """
     lex = lex or Lexicons()
     raw, score = F.col("raw_words"), F.col("raw_score")
     flags = {
         "charsub": D.charsub(F.col("norm_words"), lex),
-        "homophone": D.homophone_dictionary(raw, score, lex),
+        "homophone": D.homophone(raw, score, lex, key) if phonetic else D.homophone_dictionary(raw, score, lex),
         "spoonerism": D.spoonerism(raw, score, lex),
     }
     out = with_norm_words(with_raw_words(posts, lex, text), lex, text)
-    if not phonetic:
-        return T.once(out, **flags).drop(*WORK_COLUMNS)
-    # posts that the dictionary already flags send nothing to Python
-    listed = T.once(out, **flags, _candidates=D.phonetic_candidates(raw, score)).drop(*WORK_COLUMNS)
-    asked = F.when(~F.col("homophone"), F.col("_candidates"))
-    heard = listed.withColumn("_sounds", sounds_harmful(asked, lex.harmful))
-    known = [c for c in listed.columns if c not in ("homophone", "_candidates")]
-    return T.once(
-        heard.withColumnRenamed("homophone", "_listed"), homophone=F.col("_listed") | F.col("_sounds")
-    ).select(*known, "homophone")
+    return T.once(out, **flags).drop(*WORK_COLUMNS)
 
 
 def label_evasion(
-    posts: DataFrame, lex: Lexicons | None = None, phonetic: bool = True, text: str = "text"
+    posts: DataFrame, lex: Lexicons | None = None, phonetic: bool = True, text: str = "text", key=skeleton_key
 ) -> DataFrame:
     """Add ``labels`` for disguised harmful language. A NULL text gets ``[]``."""
-    flagged = with_evasion_flags(posts, lex, phonetic, text)
+    flagged = with_evasion_flags(posts, lex, phonetic, text, key)
     labels = evasion_labels(F.col("charsub"), F.col("homophone"), F.col("spoonerism"))
     return flagged.withColumn("labels", labels).drop("charsub", "homophone", "spoonerism")
 

@@ -1,10 +1,10 @@
-"""Lexicon matching as joins, for lexicons too large to inline.
+"""Lexicon matching as joins, for lexicons of any size.
 
-Every match is an equi-join on a derived key followed by the exact test, so the work
-is hash-partitioned and nothing is broadcast by force: Spark broadcasts the lexicon
-side only while it is under its own size threshold. Approximate matches are joined
-against the distinct vocabulary first, and a word that fills a third of the posts
-then skews only the semi-join back to posts, which adaptive execution splits.
+Work goes in two steps. The distinct vocabulary of the posts is matched with the lexicon
+by equi-joins on keys that cannot miss a match; then one narrow pass over the posts probes
+the words that matched. The lexicon is measured first and broadcast only while it is
+small; a larger one joins by sorted shuffle, with the same rows. The side made from texts
+is never the one that is built, whatever size Spark estimates for it.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slyglot.functions import text as T
+from slyglot.functions.phonetic import skeleton_key
 from slyglot.lexicons import (
     CHARSUB_LABEL,
     CHARSUB_THRESHOLD,
@@ -34,6 +35,36 @@ from slyglot.operators.lexicon_prep import phonetic_vocabulary
 from slyglot.session import scratch_path
 
 CHUNK = 256
+#: A lexicon is broadcast up to so many rows and characters; its keys are a few times as many.
+BROADCAST_ROWS = 200_000
+BROADCAST_CHARS = 4_000_000
+#: Pattern anchors that are tested within the text scan at most.
+INLINE_ANCHORS = 10_000
+#: Shortest pattern of each length class; the anchor of a class is as long.
+ANCHORS = (1, 2, 3, 4, 6, 8)
+
+
+def is_small(lexicon: DataFrame) -> bool:
+    """Whether a lexicon may be broadcast. Counts its rows and characters: one job on it alone."""
+    size = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in lexicon.columns), F.lit(0))
+    found = lexicon.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("chars")).first()
+    return found.n <= BROADCAST_ROWS and found.chars <= BROADCAST_CHARS
+
+
+def build_side(frame: DataFrame, small: bool) -> DataFrame:
+    """The lexicon side of a join: built if small, else joined by sorted shuffle."""
+    return F.broadcast(frame) if small else frame.hint("merge")
+
+
+def settled(frame: DataFrame, name: str) -> DataFrame:
+    """`frame` written to the shared scratch folder and read again.
+
+    Runs the first of the two steps now. What is read back has a known size, so Spark
+    broadcasts it in the second step only under its own limit.
+    """
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
 
 
 def post_tokens(
@@ -50,8 +81,12 @@ def post_tokens(
 
 
 def posts_with_words(tokens: DataFrame, matched: DataFrame, key: str = "post_id") -> DataFrame:
-    """Ids of posts that have any matched word."""
-    return tokens.join(matched.select("word"), "word", "left_semi").select(key).distinct()
+    """Ids of posts that have any matched word.
+
+    Hand in a ``settled`` table, or a lexicon as ``build_side``, to keep the tokens from
+    being shuffled.
+    """
+    return tokens.join(matched, "word", "left_semi").select(key).distinct()
 
 
 def _threshold(length: str, base: float) -> str:
@@ -108,16 +143,22 @@ def fuzzy_words(vocabulary: DataFrame, lexicon: DataFrame) -> DataFrame:
     wanted = F.expr(_threshold("length(target)", CHARSUB_THRESHOLD))
     return (
         keyed(words, "word", near, "sequence(-k, k)")
-        .join(keyed(targets, "target", "array(length(target))", "array(0)"), ["l", "i", "part"])
+        .join(
+            build_side(keyed(targets, "target", "array(length(target))", "array(0)"), is_small(targets)),
+            ["l", "i", "part"],
+        )
         .filter((F.col("word") != F.col("target")) & (similarity >= wanted))
         .select("word")
         .distinct()
     )
 
 
-def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame) -> DataFrame:
+def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame, key=skeleton_key) -> DataFrame:
     """D7 at scale: vocabulary words that sound like a lexicon word other than themselves.
 
+    ``key`` is any function from a word column to two codes, a UDF included: it sees each
+    distinct word once.
+
     Codes agreeing at all but ``m`` of ``n`` positions share one of ``m + 1`` even
     pieces in place. With ``m = 0`` that is equality of the whole code.
     """
@@ -127,16 +168,16 @@ def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame) -> DataFrame:
     }
 
     def keyed(frame: DataFrame, name: str, codes: str, word_classes: Column) -> DataFrame:
-        key = "named_struct('cls', cls, 'n', n, 'i', i, 'part', {part})"
+        piece = "named_struct('cls', cls, 'n', n, 'i', i, 'part', {part})"
         limit = "CASE cls " + " ".join(f"WHEN '{c}' THEN {t!r}D" for c, t in classes.items()) + " END"
         misses = f"array_max(filter(sequence(0, n), x -> (n - x) / n >= {limit}))"
         pieces = (
             "flatten(transform(sequence(length(code), length(code) + length(code) DIV 4 + 1), "
             f"n -> flatten(transform(filter(array({misses}), m -> n - length(code) <= m), "
-            f"m -> {_segments('code', 'n', '(m + 1)', 'array(0)', key)}))))"
+            f"m -> {_segments('code', 'n', '(m + 1)', 'array(0)', piece)}))))"
         )
         return (
-            phonetic_vocabulary(frame)
+            phonetic_vocabulary(frame, key)
             .select("word", F.explode(F.array_distinct(F.array("primary", "secondary"))).alias("code"))
             .filter(F.length("code") > 0)
             .withColumn("cls", F.explode(word_classes))
@@ -159,7 +200,10 @@ def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame) -> DataFrame:
     )
     return (
         keyed(words, "word", "code", both)
-        .join(keyed(lexicon, "target", "target_code", own_class), ["cls", "n", "i", "part"])
+        .join(
+            build_side(keyed(lexicon, "target", "target_code", own_class), is_small(lexicon.select("word"))),
+            ["cls", "n", "i", "part"],
+        )
         .filter((F.col("word") != F.col("target")) & (similarity >= wanted))
         .select("word")
         .distinct()
@@ -169,35 +213,74 @@ def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame) -> DataFrame:
 def substring_hits(posts: DataFrame, patterns: DataFrame, key: str = "post_id") -> DataFrame:
     """D13-D15 at scale: distinct ``(post_id, pattern)`` where the text contains the pattern.
 
-    Text is cut into pieces that overlap by the longest pattern; each position of a
-    piece is keyed by as many characters as the shortest pattern has.
+    Patterns fall into length classes, and a class is anchored by as many characters as
+    its shortest pattern may have, so one short pattern does not loosen the others. Texts
+    are cut into pieces that overlap by the longest pattern. A short list of anchors is
+    tested inside the scan, and only positions that fit one are turned into rows; for a
+    longer list every position meets the anchors in the join. The rows are the same.
     """
     patterns = patterns.select("pattern").filter(F.length("pattern") > 0).distinct()
-    sizes = patterns.agg(F.min(F.length("pattern")), F.max(F.length("pattern"))).first()
-    anchor, longest = (sizes[0] or 1), (sizes[1] or 1)
+    size = F.length("pattern")
+    own = reduce(lambda found, a: F.when(size >= a, F.lit(a)).otherwise(found), ANCHORS, F.lit(ANCHORS[0]))
+    anchored = patterns.withColumn("cls", own).withColumn("anchor", F.expr("substring(pattern, 1, cls)"))
+    classes = anchored.groupBy("cls").agg(F.max(size).alias("longest")).orderBy("cls").collect()  # one row per class
+    if not classes:
+        return posts.select(key, F.lit("").alias("pattern")).limit(0)
+    longest = max(r.longest for r in classes)
+    anchors = anchored.select("cls", "anchor").distinct().limit(INLINE_ANCHORS + 1).collect()
+    inline = len(anchors) <= INLINE_ANCHORS
     pieces = F.expr(
         f"transform(sequence(0, (length(lowered) - 1) DIV {CHUNK}), "
         f"c -> substring(lowered, c * {CHUNK} + 1, {CHUNK + longest - 1}))"
     )
-    starts = F.expr(
-        f"transform(sequence(1, least({CHUNK}, length(piece))), p -> substring(piece, p, {longest}))"
-    )
+
+    def starts(anchor: int, reach: int) -> Column:
+        """``(cls, ahead)`` at the positions of a piece that may start a pattern of the class."""
+        position = F.sequence(F.lit(1), F.least(F.lit(CHUNK), F.length("piece") - anchor + 1))
+        if inline:
+            wanted = [r.anchor for r in anchors if r.cls == anchor]
+            position = F.filter(position, lambda p: F.substring(F.col("piece"), p, F.lit(anchor)).isin(wanted))
+        ahead = F.transform(position, lambda p: F.struct(
+            F.lit(anchor).alias("cls"), F.substring(F.col("piece"), p, F.lit(reach)).alias("ahead")))
+        return F.when(F.length("piece") >= anchor, ahead)
+
+    found = F.concat(*(
+        F.coalesce(starts(r.cls, r.longest), F.array().cast("array<struct<cls: int, ahead: string>>")) for r in classes
+    ))
     at = (
         posts.select(key, F.lower("text").alias("lowered"))
         .filter(F.length("lowered") > 0)
         .select(key, F.explode(pieces).alias("piece"))
-        .select(key, F.explode(F.array_distinct(starts)).alias("ahead"))
-        .withColumn("anchor", F.substring("ahead", 1, anchor))
+        .select(key, F.explode(F.array_distinct(found)).alias("s"))
+        .select(key, "s.cls", "s.ahead", F.expr("substring(s.ahead, 1, s.cls)").alias("anchor"))
     )
-    anchored = patterns.withColumn("anchor", F.substring("pattern", 1, anchor))
-    return (
-        at.join(anchored, "anchor")
-        .filter(F.startswith("ahead", "pattern"))
-        .select(key, "pattern")
-        .distinct()
+    side = build_side(anchored.select("cls", "anchor", "pattern"), is_small(patterns))
+    return at.join(side, ["cls", "anchor"]).filter(F.startswith("ahead", "pattern")).select(key, "pattern").distinct()
+
+
+def cited_labels(posts: DataFrame, entries: DataFrame, key: str = "post_id") -> DataFrame:
+    """D15 at scale: ``(post_id, labels)`` of every post, in list order, without repeats.
+
+    ``entries`` is ``(pos, pattern, label)`` of any size. A post has at most one entry of
+    each label, so its list is bounded by the labels, not by the hits.
+    """
+    hits = substring_hits(posts, entries, key)
+    by_pattern = entries.select("pos", "pattern", "label")
+    first = (
+        hits.join(build_side(by_pattern, is_small(by_pattern)), "pattern")
+        .groupBy(key, "label").agg(F.min("pos").alias("pos"))
+        .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "label"))).alias("found"))
+    )
+    return posts.select(key).join(first, key, "left").select(
+        key, L.safe_labels(F.transform("found", lambda f: f["label"])).alias("labels")
     )
 
 
+def ts_posts(posts: DataFrame, patterns: DataFrame, key: str = "post_id") -> DataFrame:
+    """D13/D14 at scale: ids of posts that contain any pattern."""
+    return substring_hits(posts, patterns, key).select(key).distinct()
+
+
 def match_keys(posts: DataFrame, lex: Lexicons, key: str = "post_id") -> DataFrame:
     """Everything about a post that a lexicon can match, as ``(post_id, kind, key)`` rows.
 
@@ -240,22 +323,27 @@ def label_evasion_join(
     lex: Lexicons,
     phonetic: bool = True,
     key: str = "post_id",
+    sound=skeleton_key,
 ) -> DataFrame:
     """D12 for lexicons of any size: ``(post_id, labels)`` of every post.
 
     ``harmful`` is ``(word)``, ``related`` is ``(token, related)`` (C4) and ``swaps`` is
-    ``(s1, s2, o1, o2)`` (C5); ``lex`` gives substitutions and context weights. Texts are
-    read once: their match keys are written to the shared scratch folder, and a single
-    equi-join on ``(kind, key)`` finds all labels.
+    ``(s1, s2, o1, o2)`` (C5); ``lex`` gives substitutions and context weights. Harmful
+    words under the least length are left out, as ``Lexicons`` has none.
+
+    The first step, run when called, matches the distinct gated vocabulary and settles the
+    targets: what a post must hold to earn a label. The second is one narrow pass.
     """
-    spark = posts.sparkSession
-    path = scratch_path(spark, "match_keys")
-    match_keys(posts, lex, key).write.parquet(path)
-    keys = spark.read.parquet(path)
-    bad = harmful.select("word").distinct()
+    bad = harmful.select("word").filter(F.length("word") >= MIN_WORD_LENGTH).distinct()
+    keys = match_keys(posts, lex, key)
+    near = keys.filter(F.col("kind").isin("norm_context", "raw_strict")).groupBy(F.col("key").alias("word")).agg(
+        F.bool_or(F.col("kind") == "norm_context").alias("norm_context"),
+        F.bool_or(F.col("kind") == "raw_strict").alias("raw_strict"),
+    )
+    vocabulary = settled(near, "vocabulary")
 
     def words_of(kind: str) -> DataFrame:
-        return keys.filter(F.col("kind") == kind).select(F.col("key").alias("word"))
+        return vocabulary.filter(kind).select("word")
 
     def target(frame: DataFrame, column: str, kind: str, label: str) -> DataFrame:
         return frame.select(
@@ -274,10 +362,10 @@ def label_evasion_join(
         target(bad, "word", "swap", SPOONERISM_LABEL),
     ]
     if phonetic:
-        sounds = phonetic_words(words_of("raw_strict"), bad)
+        sounds = phonetic_words(words_of("raw_strict"), bad, sound)
         targets.append(target(sounds, "word", "raw_strict", HOMOPHONE_LABEL))
-    hits = keys.join(reduce(DataFrame.union, targets).distinct(), ["kind", "key"])
-    found = hits.groupBy(key).agg(*(
+    wanted = settled(reduce(DataFrame.union, targets).distinct(), "targets")
+    found = keys.join(wanted, ["kind", "key"]).groupBy(key).agg(*(
         F.bool_or(F.col("label") == label).alias(name)
         for name, label in zip(("charsub", "homophone", "spoonerism"), SPECIFIC_LABELS)
     ))

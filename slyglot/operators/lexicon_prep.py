@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slyglot.functions import text as T
-from slyglot.functions.phonetic import phonetic_key
+from slyglot.functions.phonetic import codes_of, skeleton_key
 from slyglot.lexicons import HIGH_CONFIDENCE_LENGTH, MIN_WORD_LENGTH
 from slyglot.sources.lexicon_files import clean_words
 
@@ -40,18 +40,17 @@ def spoonerism_lookup(entries: DataFrame) -> DataFrame:
     return entries.groupBy("s1", "s2").agg(last).select("s1", "s2", "original.*")
 
 
-def phonetic_vocabulary(vocabulary: DataFrame) -> DataFrame:
-    """Codes of each distinct word: one shuffle, then Arrow batches of new words only."""
-    return vocabulary.select("word").distinct().withColumn("key", phonetic_key("word")).select(
+def phonetic_vocabulary(vocabulary: DataFrame, key=skeleton_key) -> DataFrame:
+    """Both codes of each distinct word, by any key function."""
+    return vocabulary.select("word").distinct().withColumn("key", key(F.col("word"))).select(
         "word", "key.primary", "key.secondary"
     )
 
 
-def phonetic_index(lexicon: DataFrame) -> DataFrame:
+def phonetic_index(lexicon: DataFrame, key=skeleton_key) -> DataFrame:
     """``(code, word)`` rows for both codes of each word, empty codes skipped."""
-    keys = phonetic_vocabulary(lexicon)
-    code = F.explode(F.array_distinct(F.array("primary", "secondary"))).alias("code")
-    return keys.select(code, "word").filter(F.length("code") > 0)
+    keys = phonetic_vocabulary(lexicon, key)
+    return keys.select(F.explode(codes_of(F.struct("primary", "secondary"))).alias("code"), "word")
 
 
 def reverse_substitutions(entries: DataFrame) -> DataFrame:

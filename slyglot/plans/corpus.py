@@ -15,7 +15,6 @@ from slyglot.lexicons import (
     SPOONERISM_LABEL,
 )
 from slyglot.operators.collect import positive_queries
-from slyglot.session import spread
 
 # Suffix by doc_id % 12, and the labels it is meant to earn.
 SUFFIXES = (
@@ -42,8 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose text is about to be worked on (see ``session.spread``)."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def _cycle(values, counter: Column) -> Column:

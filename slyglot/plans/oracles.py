@@ -111,6 +111,18 @@ PARTS = {
     "related": "SELECT word, variant AS other FROM dictionary UNION SELECT variant, word FROM dictionary",
     "homophone_ids": """SELECT DISTINCT post_id FROM raw JOIN related USING (word) JOIN harmful ON other = bad
  JOIN raw_two USING (post_id) JOIN raw_score USING (post_id) WHERE score >= 2 AND length(word) >= 4""",
+    "raw_codes": """SELECT word, code FROM (SELECT word, unnest([regexp_replace(word, '[aeiouy]', '', 'g'),
+  regexp_replace(translate(word, 'cqxzv', 'kkssf'), '[aeiouhy]', '', 'g')]) AS code
+  FROM (SELECT DISTINCT word FROM raw WHERE length(word) >= 4)) WHERE code <> ''""",
+    "harmful_codes": """SELECT bad, known FROM (SELECT bad, unnest([regexp_replace(bad, '[aeiouy]', '', 'g'),
+  regexp_replace(translate(bad, 'cqxzv', 'kkssf'), '[aeiouhy]', '', 'g')]) AS known FROM harmful) WHERE known <> ''""",
+    "sounding": f"""SELECT DISTINCT word FROM raw_codes JOIN harmful_codes ON word <> bad
+  AND least(length(code), length(known))::DOUBLE / greatest(length(code), length(known)) >= 0.8::DOUBLE
+ WHERE len(list_filter(range(1, least(length(code), length(known)) + 1), lambda i: code[i] = known[i]))::DOUBLE
+  / greatest(length(code), length(known)) >= CASE WHEN length(bad) < 6 THEN {0.8 + 0.05!r}::DOUBLE ELSE 0.8::DOUBLE END""",
+    "phonetic_ids": """SELECT DISTINCT post_id FROM raw JOIN sounding USING (word) JOIN raw_two USING (post_id)
+ JOIN raw_score USING (post_id) WHERE score >= 3""",
+    "heard_ids": "SELECT post_id FROM homophone_ids UNION SELECT post_id FROM phonetic_ids",
     "neighbours": "SELECT a.post_id, a.word AS a, b.word AS b FROM raw a JOIN raw b ON a.post_id = b.post_id AND b.i = a.i + 1",
     "swap_pairs": """SELECT s1, s2 FROM swaps
  WHERE o1 IN (SELECT bad FROM harmful) OR o2 IN (SELECT bad FROM harmful)""",
@@ -121,6 +133,9 @@ PARTS = {
  (b[1] || a[2:] IN (SELECT bad FROM harmful) OR a[1] || b[2:] IN (SELECT bad FROM harmful))""",
     "spoonerism_ids": "SELECT post_id FROM listed_swap_ids UNION SELECT post_id FROM initial_swap_ids",
     "flags": """SELECT post_id, post_id IN (SELECT post_id FROM charsub_ids) AS charsub,
+ post_id IN (SELECT post_id FROM heard_ids) AS homophone,
+ post_id IN (SELECT post_id FROM spoonerism_ids) AS spoonerism FROM posts""",
+    "lexical_flags": """SELECT post_id, post_id IN (SELECT post_id FROM charsub_ids) AS charsub,
  post_id IN (SELECT post_id FROM homophone_ids) AS homophone,
  post_id IN (SELECT post_id FROM spoonerism_ids) AS spoonerism FROM posts""",
     "labeled": "SELECT *, " + labels_of(
@@ -200,10 +215,14 @@ PARTS = {
 }
 
 
+PARTS["lexical_labeled"] = PARTS["labeled"].replace("FROM flags", "FROM lexical_flags")
+PARTS["known_cells"] = PARTS["cells"].replace("USING (post_id)", "USING (post_id) WHERE post_id % 10 <> 0")
+PARTS["known_metrics"] = PARTS["metrics"].replace("FROM cells", "FROM known_cells")
+
 # The same parts over the documents as they are.
 ON_POSTS = (
     "posts", "raw", "norm", "raw_score", "norm_score", "raw_two", "norm_two", "exact_ids",
-    "near_words", "fuzzy_ids", "charsub_ids", "neighbours", "listed_swap_ids",
+    "near_words", "fuzzy_ids", "charsub_ids", "homophone_ids", "raw_codes", "sounding", "phonetic_ids", "heard_ids", "neighbours", "listed_swap_ids",
     "initial_swap_ids", "spoonerism_ids",
 )
 for _name in ON_POSTS[1:]:
@@ -324,7 +343,18 @@ ORACLES = {
     "spoonerism_dict": hit("listed_swap_ids"),
     "spoonerism_swap": hit("initial_swap_ids"),
     "detect_spoonerism": hit("spoonerism_ids"),
-    "label_evasion_lexical": sql("SELECT post_id, labels FROM labeled"),
+    "label_evasion": sql("SELECT post_id, labels FROM labeled"),
+    "label_evasion_lexical": sql("SELECT post_id, labels FROM lexical_labeled"),
+    "phonetic_vocabulary": sql("""SELECT word, regexp_replace(word, '[aeiouy]', '', 'g') AS primary,
+ regexp_replace(translate(word, 'cqxzv', 'kkssf'), '[aeiouhy]', '', 'g') AS secondary FROM vocabulary"""),
+    "phonetic_index": sql("""SELECT DISTINCT code, word FROM (SELECT word, unnest([regexp_replace(word, '[aeiouy]', '', 'g'),
+  regexp_replace(translate(word, 'cqxzv', 'kkssf'), '[aeiouhy]', '', 'g')]) AS code FROM vocabulary WHERE length(word) >= 4)
+ WHERE code <> ''"""),
+    "homophone_phonetic": hit("phonetic_ids"),
+    "homophone_phonetic_join": sql("SELECT post_id FROM phonetic_ids"),
+    "detect_homophone": hit("heard_ids"),
+    "label_citations_join": sql("""SELECT post_id, coalesce(labels, '') AS labels
+ FROM posts LEFT JOIN citations USING (post_id)"""),
     "label_evasion_join": sql("SELECT post_id, labels FROM labeled"),
     "ts_words": hit("ts_word_ids"),
     "ts_words_join": sql("SELECT post_id FROM ts_word_ids"),
@@ -337,6 +367,11 @@ ORACLES = {
     "hash_min_distance": sql("SELECT cid, bits, round(bits / 64.0::DOUBLE, 6) AS distance FROM nearest"),
     "image_match_join": sql("""SELECT DISTINCT lower(lpad(to_hex(hash), 16, '0')) AS hash, bits
  FROM nearest WHERE bits <= 19"""),
+    "hash_min_distance_long": """WITH h AS (SELECT DISTINCT CAST(list_sum(list_transform(range(1, 65), lambda i:
+  CASE WHEN embedding[i] > 0 THEN (2::HUGEINT ** (i - 1))::HUGEINT ELSE 0::HUGEINT END)) AS UBIGINT) AS ref FROM embeddings),
+ n AS (SELECT xor(ref, 18446744073709551615::UBIGINT) AS hash FROM h)
+ SELECT lower(lpad(to_hex(hash), 16, '0')) AS hash, CAST(min(bit_count(xor(hash, ref))) AS BIGINT) AS bits
+ FROM n CROSS JOIN h GROUP BY hash""",
     "label_image_match": sql("SELECT post_id FROM image_ids"),
     "label_basic": sql("""SELECT post_id, concat_ws(',',
  CASE WHEN post_id IN (SELECT post_id FROM ts_word_ids) OR post_id IN (SELECT post_id FROM ts_domain_ids) THEN 't-and-s' END,
@@ -353,11 +388,12 @@ ORACLES = {
  FROM truth t JOIN labeled l USING (post_id)
  WHERE t_charsub <> charsub OR t_homophone <> homophone OR t_spoonerism <> spoonerism"""),
     "eval_class_balance": sql("""SELECT count(*) AS total, count(*) FILTER (t_any) AS positives,
- count(*) FILTER (NOT t_any) AS negatives FROM truth"""),
+ count(*) FILTER (NOT t_any) AS negatives, count(*) FILTER (t_any IS NULL) AS unlabelled FROM truth"""),
     "eval_general_truth": sql("SELECT post_id, t_any AS truth FROM truth"),
     "eval_confusion": sql("""SELECT count(*) FILTER (toxic = 1 AND hit) AS tp, count(*) FILTER (toxic <> 1 AND hit) AS fp,
  count(*) FILTER (toxic <> 1 AND NOT hit) AS tn, count(*) FILTER (toxic = 1 AND NOT hit) AS fn
  FROM (SELECT toxic, doc_id IN (SELECT post_id FROM plain_charsub_ids)
+  OR doc_id IN (SELECT post_id FROM plain_heard_ids)
   OR doc_id IN (SELECT post_id FROM plain_spoonerism_ids) AS hit FROM labels SEMI JOIN documents USING (doc_id))"""),
     "eval_general": sql("""SELECT label, tp, fp, tn, fn, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision,
  round(recall, 6) AS recall, round(f1, 6) AS f1 FROM metrics WHERE label = 'linguistic-evasion'"""),
@@ -378,6 +414,21 @@ ORACLES = {
  UNION ALL SELECT 'latency', 'avg_time', avg(value) FROM events
  UNION ALL SELECT 'latency', 'max_time', max(value) FROM events
  UNION ALL SELECT 'latency', 'min_time', min(value) FROM events)"""),
+    "eval_report_null_labels": sql("""SELECT section, metric, round(value, 6) AS value FROM (
+ SELECT 'balance' AS section, 'total' AS metric, count(*)::DOUBLE AS value FROM truth
+ UNION ALL SELECT 'balance', 'positives', count(*) FILTER (t_any AND post_id % 10 <> 0) FROM truth
+ UNION ALL SELECT 'balance', 'negatives', count(*) FILTER (NOT t_any AND post_id % 10 <> 0) FROM truth
+ UNION ALL SELECT 'errors', 'errors', count(*) FILTER (post_id % 10 = 0) FROM posts
+ UNION ALL SELECT 'errors', 'rate', count(*) FILTER (post_id % 10 = 0)::DOUBLE / count(*) FROM posts
+ UNION ALL SELECT label, unnest(['tp', 'fp', 'tn', 'fn', 'accuracy', 'precision', 'recall', 'f1']),
+  unnest([tp, fp, tn, fn, accuracy, precision, recall, f1]) FROM known_metrics)"""),
+    "eval_exact_match_null_labels": sql("""SELECT count(*) FILTER (same) AS num_correct, count(*) AS total,
+ round(count(*) FILTER (same)::DOUBLE / count(*), 6) AS ratio FROM
+ (SELECT t_charsub = charsub AND t_homophone = homophone AND t_spoonerism = spoonerism AND post_id % 10 <> 0 AS same
+  FROM truth JOIN flags USING (post_id))"""),
+    "eval_mismatches_null_labels": sql("""SELECT post_id, l.labels AS predicted
+ FROM truth t JOIN labeled l USING (post_id)
+ WHERE post_id % 10 = 0 OR t_charsub <> charsub OR t_homophone <> homophone OR t_spoonerism <> spoonerism"""),
     "collect_positive": sql("""SELECT CAST(pos AS BIGINT) AS pos, post_id, url, 'linguistic-evasion,' || label AS labels
  FROM hits"""),
     "collect_first_wins": sql("""SELECT url, post_id, CAST(pos AS BIGINT) AS pos, 'linguistic-evasion,' || label AS labels

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from slyglot.functions import text as T
 from slyglot.functions.hashes import hash_hex
+from slyglot.functions.phonetic import skeleton_key
 from slyglot.lexicons import MIN_CONTEXT, Lexicons
 from slyglot.operators import collect, detect, evaluate, events, hashmatch, lexicon_join
 from slyglot.operators import labelers as L
 from slyglot.operators import lexicon_prep as prep
 from slyglot.plans import corpus
-from slyglot.session import scratch_path, ship_package, spread
+from slyglot.session import scratch_path, ship_package
 from slyglot.sources import lexicon_files, posts as post_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,7 +139,7 @@ def incremental_append(spark, d):
 
 @query
 def label_events_post(spark, d):
-    labeled = L.label_evasion(corpus.posts(spark, d), LEX, phonetic=False)
+    labeled = L.label_evasion(corpus.posts(spark, d), LEX)
     return events.post_events(labeled, LABELER_DID).select(
         "created_by",
         joined("event.create_label_vals").alias("labels"),
@@ -365,7 +366,8 @@ def charsub_exact(spark, d):
 def charsub_exact_join(spark, d):
     gate = T.has_two_long_words(F.col("norm_words"))
     tokens = lexicon_join.post_tokens(norm_posts(spark, d), "norm_words", gate)
-    return lexicon_join.posts_with_words(tokens, words_lexicon(spark, LEX.harmful))
+    lexicon = words_lexicon(spark, LEX.harmful)
+    return lexicon_join.posts_with_words(tokens, lexicon_join.build_side(lexicon, lexicon_join.is_small(lexicon)))
 
 
 @query
@@ -380,7 +382,7 @@ def charsub_fuzzy_join(spark, d):
     posts = L.with_norm_score(norm_posts(spark, d), LEX)
     tokens = lexicon_join.post_tokens(posts, "norm_words", gate)
     near = lexicon_join.fuzzy_words(tokens, words_lexicon(spark, LEX.harmful))
-    return lexicon_join.posts_with_words(tokens, near)
+    return lexicon_join.posts_with_words(tokens, lexicon_join.settled(near, "near"))
 
 
 @query
@@ -400,7 +402,7 @@ def homophone_dict(spark, d):
 def homophone_phonetic(spark, d):
     posts = raw_posts(spark, d)
     candidates = detect.phonetic_candidates(F.col("raw_words"), F.col("raw_score"))
-    return flag(posts.select("post_id", candidates.alias("c")), L.sounds_harmful(F.col("c"), LEX.harmful))
+    return flag(posts.select("post_id", candidates.alias("c")), detect.sounds_harmful(F.col("c"), LEX, skeleton_key))
 
 
 @query
@@ -408,13 +410,13 @@ def homophone_phonetic_join(spark, d):
     gate = detect.homophone_gate(F.col("raw_words"), F.col("raw_score"), MIN_CONTEXT + 1)
     tokens = lexicon_join.post_tokens(raw_posts(spark, d), "raw_words", gate)
     near = lexicon_join.phonetic_words(tokens, words_lexicon(spark, LEX.harmful))
-    return lexicon_join.posts_with_words(tokens, near)
+    return lexicon_join.posts_with_words(tokens, lexicon_join.settled(near, "near"))
 
 
 @query
 def detect_homophone(spark, d):
-    flagged = L.with_evasion_flags(corpus.posts(spark, d).select("post_id", "text"), LEX)
-    return flagged.select("post_id", F.col("homophone").alias("hit"))
+    posts = raw_posts(spark, d)
+    return flag(posts, detect.homophone(F.col("raw_words"), F.col("raw_score"), LEX, skeleton_key))
 
 
 @query
@@ -451,7 +453,7 @@ def label_evasion_lexical(spark, d):
 
 @query
 def label_evasion_join(spark, d):
-    """The large-lexicon path with dictionary homophones, over the same lexicons."""
+    """The large-lexicon path with all four kinds of match, over the same lexicons."""
     entries = [(w, v) for w, variants in LEX.homophones for v in variants]
     related = prep.homophone_lookup(spark.createDataFrame(entries, "word string, variant string"))
     swaps = prep.spoonerism_lookup(spark.createDataFrame(
@@ -460,7 +462,7 @@ def label_evasion_join(spark, d):
     ))
     harmful = words_lexicon(spark, LEX.harmful)
     labeled = lexicon_join.label_evasion_join(
-        corpus.posts(spark, d), harmful, related, swaps, LEX, phonetic=False
+        corpus.posts(spark, d), harmful, related, swaps, LEX
     )
     return labeled.select("post_id", joined("labels").alias("labels"))
 
@@ -475,7 +477,7 @@ def ts_words(spark, d):
 def ts_words_join(spark, d):
     patterns = spark.createDataFrame([(w,) for w in LEX.ts_words], "pattern string")
     posts = corpus.posts(spark, d).select("post_id", "text")
-    return lexicon_join.substring_hits(posts, patterns).select("post_id").distinct()
+    return lexicon_join.ts_posts(posts, patterns)
 
 
 @query
@@ -486,7 +488,7 @@ def ts_domains(spark, d):
 
 @query
 def label_ts(spark, d):
-    pages = spread(corpus.table(spark, d, "pages"), "page_id")
+    pages = corpus.table(spark, d, "pages")
     hit = detect.contains_any(F.col("lowered"), (*LEX.ts_words, *LEX.ts_domains))
     return L.with_lowered(pages, "html").select("page_id", hit.alias("hit"))
 
@@ -498,6 +500,14 @@ def label_citations(spark, d):
     )
 
 
+@query
+def label_citations_join(spark, d):
+    entries = [(i, domain, label) for i, (domain, label) in enumerate(LEX.news)]
+    entries = spark.createDataFrame(entries, "pos int, pattern string, label string")
+    labeled = lexicon_join.cited_labels(corpus.posts(spark, d).select("post_id", "text"), entries)
+    return labeled.select("post_id", joined("labels").alias("labels"))
+
+
 @query
 def hash_min_distance(spark, d):
     references = post_sources.reference_hashes(corpus.reference_images(spark, d))
@@ -517,12 +527,20 @@ def matching_posts(spark, d, posts: DataFrame) -> DataFrame:
 
 @query
 def image_match_join(spark, d):
-    """The banded path for a long reference list, over the same references."""
+    """Distinct image hashes within the threshold of a reference."""
     references = post_sources.reference_hashes(corpus.reference_images(spark, d))
-    near = hashmatch.banded_matches(corpus.images(spark, d), references)
+    near = hashmatch.nearest(corpus.images(spark, d), references).filter(F.col("bits") <= hashmatch.MAX_BITS)
     return near.select(hash_hex(F.col("hash")).alias("hash"), long("bits").alias("bits"))
 
 
+@query
+def hash_min_distance_long(spark, d):
+    """Every hash is a reference; the images are their negatives."""
+    known = corpus.images(spark, d)
+    negatives = known.withColumn("hash", F.bitwise_not("hash"))
+    return hashmatch.nearest(negatives, known).select(hash_hex(F.col("hash")).alias("hash"), long("bits").alias("bits"))
+
+
 @query
 def label_image_match(spark, d):
     return matching_posts(spark, d, corpus.post_records(spark, d))
@@ -544,7 +562,7 @@ def label_missing_posts(spark, d):
     posts = corpus.posts(spark, d)
     lost = F.col("post_id") % 9 == 0
     urls = corpus.post_records(spark, d).select(F.when(lost, F.concat("url", F.lit("x"))).otherwise(F.col("url")).alias("url"))
-    labeled = L.label_evasion(posts, LEX, phonetic=False).select(
+    labeled = L.label_evasion(posts, LEX).select(
         "author_handle", "rkey", "labels", F.lit(False).alias("error")
     )
     return post_sources.lookup_posts(urls, labeled).select(
@@ -561,7 +579,7 @@ def predictions(spark, d) -> DataFrame:
     """``(post_id, expected, predicted, error)``; a NULL text counts as an error."""
     posts = corpus.posts(spark, d).select("post_id", "text", "expected")
     flagged = posts.withColumn("error", F.col("text").isNull())
-    return L.label_evasion(flagged, LEX, phonetic=False).select(
+    return L.label_evasion(flagged, LEX).select(
         "post_id", "expected", F.col("labels").alias("predicted"), "error"
     )
 
@@ -595,9 +613,9 @@ def eval_general_truth(spark, d):
 
 @query
 def eval_confusion(spark, d):
-    posts = L.with_evasion_flags(corpus.plain_posts(spark, d), LEX, phonetic=False)
+    posts = L.with_evasion_flags(corpus.plain_posts(spark, d), LEX)
     marks = corpus.table(spark, d, "labels").select(F.col("doc_id").alias("post_id"), "toxic")
-    rows = posts.select("post_id", (F.col("charsub") | F.col("spoonerism")).alias("hit")).join(marks, "post_id")
+    rows = posts.select("post_id", (F.col("charsub") | F.col("homophone") | F.col("spoonerism")).alias("hit")).join(marks, "post_id")
     return evaluate.confusion(rows, F.col("toxic") == 1, F.col("hit"))
 
 
@@ -611,6 +629,27 @@ def eval_per_label(spark, d):
     return rounded(evaluate.evaluate_per_label(predictions(spark, d)), *evaluate.METRICS)
 
 
+def partly_labelled(spark, d) -> DataFrame:
+    """Predictions of which every tenth row has no expected labels."""
+    known = F.when(F.col("post_id") % 10 != 0, F.col("expected"))
+    return predictions(spark, d).withColumn("expected", known)
+
+
+@query
+def eval_report_null_labels(spark, d):
+    return rounded(evaluate.report(partly_labelled(spark, d)), "value")
+
+
+@query
+def eval_exact_match_null_labels(spark, d):
+    return rounded(evaluate.exact_match(partly_labelled(spark, d)), "ratio")
+
+
+@query
+def eval_mismatches_null_labels(spark, d):
+    return evaluate.mismatches(partly_labelled(spark, d)).select("post_id", joined("predicted").alias("predicted"))
+
+
 @query
 def eval_latency_summary(spark, d):
     times = evaluate.latency_summary(corpus.table(spark, d, "events"), "value")

@@ -96,10 +96,10 @@ def read_homophones(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_spoonerisms(spark: SparkSession, path: str) -> DataFrame:
-    """A4: ``(o1, o2, s1, s2, pos)``."""
+    """A4: ``(o1, o2, s1, s2, pos)``. Entries that are no pairs match no two words and are left out."""
     return _read_json(spark, path, SPOONERISM_SCHEMA).select(
         F.posexplode("spoonerisms").alias("pos", "entry")
-    ).select(
+    ).filter("size(entry.original) = 2 AND size(entry.spoonerism) = 2").select(
         F.col("entry.original")[0].alias("o1"),
         F.col("entry.original")[1].alias("o2"),
         F.col("entry.spoonerism")[0].alias("s1"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from slyglot.functions.phonetic import phonetic_codes
 from slyglot.lexicons import Lexicons
 
 
@@ -57,10 +56,15 @@ def has_charsub(text, lex):
     return near and score(everything, lex) >= 2
 
 
+def skeletons(word):
+    by_sound = word.translate(str.maketrans("cqxzv", "kkssf"))
+    return re.sub("[aeiouy]", "", word), re.sub("[aeiouhy]", "", by_sound)
+
+
 def sounds_like(word, harmful):
     best = 0.0
-    for p in filter(None, phonetic_codes(word)):
-        for q in filter(None, phonetic_codes(harmful)):
+    for p in filter(None, skeletons(word)):
+        for q in filter(None, skeletons(harmful)):
             best = max(best, sum(a == b for a, b in zip(p, q)) / max(len(p), len(q)))
     return best >= limit(harmful, 0.8)
 

@@ -44,7 +44,7 @@ def rows(spark):
 def test_exact_match_and_mismatches(rows):
     assert tuple(E.exact_match(rows).first()) == (2, 6, 2 / 6)
     assert E.mismatches(rows).count() == 4
-    assert tuple(E.class_balance(rows).first()) == (6, 4, 2)
+    assert tuple(E.class_balance(rows).first()) == (6, 4, 2, 0)
 
 
 def test_general_truth_is_implied_by_a_specific_label(rows):

@@ -43,13 +43,13 @@ def test_threshold_boundary():
     assert hashmatch.MAX_BITS == 19 and 19 / 64 <= 0.3 < 20 / 64
 
 
-def test_banded_join_finds_all_within_threshold(spark, monkeypatch):
+def test_long_reference_lists_give_the_same_rows(spark, monkeypatch):
     images, references = frames(spark)
-    got = {r.hash: r.bits for r in hashmatch.banded_matches(images, references).collect()}
-    assert got == {h: b for h, b in WANTED.items() if b <= 19}
-    monkeypatch.setattr(hashmatch, "INLINE_LIMIT", 3)
-    long_list = {r.hash: r.bits for r in hashmatch.with_nearest(images, references).collect()}
-    assert long_list == {h: b if b is not None and b <= 19 else None for h, b in {**WANTED, None: None}.items()}
+    monkeypatch.setattr(hashmatch, "BLOCK", 3)
+    for most in (1024, 0):
+        monkeypatch.setattr(hashmatch, "BROADCAST_BLOCKS", most)
+        got = {r.hash: r.bits for r in hashmatch.with_nearest(images, references).collect()}
+        assert got == {**WANTED, None: None}
 
 
 def test_posts_with_match(spark):

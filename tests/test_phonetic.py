@@ -2,7 +2,7 @@
 
 import pytest
 
-from slyglot.functions.phonetic import phonetic_codes
+from slyglot.functions.phonetic import phonetic_codes, phonetic_key
 from slyglot.operators import lexicon_prep as prep
 
 CODES = {
@@ -31,7 +31,7 @@ def test_secondary_codes():
 
 def test_vocabulary_job_and_index(spark):
     words = spark.createDataFrame([(w,) for w in ("kill", "kyll", "kill", "smith", "123", None)], "word string")
-    got = {r.word: (r.primary, r.secondary) for r in prep.phonetic_vocabulary(words).collect()}
+    got = {r.word: (r.primary, r.secondary) for r in prep.phonetic_vocabulary(words, phonetic_key).collect()}
     assert got == {"kill": ("KL", ""), "kyll": ("KL", ""), "smith": ("SM0", "XMT"), "123": ("", ""), None: (None, None)}
-    index = {(r.code, r.word) for r in prep.phonetic_index(words.dropna()).collect()}
+    index = {(r.code, r.word) for r in prep.phonetic_index(words.dropna(), phonetic_key).collect()}
     assert index == {("KL", "kill"), ("KL", "kyll"), ("SM0", "smith"), ("XMT", "smith")}

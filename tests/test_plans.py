@@ -24,7 +24,7 @@ def test_labeler_is_narrow(spark, sf_dir):
     assert "Exchange" not in lexical and "Python" not in lexical and "Join" not in lexical
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in lexical
     full = plan_of(L.label_evasion(posts.select("doc_id", "text")))
-    assert "Exchange" not in full and full.count("ArrowEvalPython") == 1
+    assert "Exchange" not in full and "Python" not in full and "Join" not in full
 
 
 @pytest.mark.parametrize("phonetic", [False, True])
@@ -36,7 +36,6 @@ def test_words_are_computed_once(spark, sf_dir, phonetic):
         plan = plan_of(frame)
         assert plan.count("regexp_extract_all") == 2 and plan.count("translate(") == 1
         assert plan.count("levenshtein(") == plan_of(labeled).count("levenshtein(")
-        assert plan.count("ArrowEvalPython") == phonetic
 
 
 def test_filter_on_other_columns_reaches_the_scan(spark, sf_dir):
