@@ -1,9 +1,9 @@
 """Lexicons: the fixed word lists, and the bounded form the detectors inline.
 
-``Lexicons`` holds small driver-side tuples. Everything in it is embedded in the
-query plan as literals, so its size is checked on construction; a lexicon beyond
-``INLINE_LIMIT`` entries stays a DataFrame and goes through
-``operators.lexicon_join`` instead.
+``Lexicons`` holds driver-side tuples. Everything in it is embedded in the query plan as
+literals, which suits curated lists. A long list stays a DataFrame and goes through
+``operators.lexicon_join``, which gives the same rows at any size; files are brought to
+the driver only up to ``INLINE_LIMIT`` rows.
 """
 
 from __future__ import annotations
@@ -196,13 +196,6 @@ class Lexicons:
     news: tuple[tuple[str, str], ...] = last_wins(NEWS_ENTRIES)
 
     def __post_init__(self):
-        for name in self.__dataclass_fields__:
-            if len(getattr(self, name)) > INLINE_LIMIT:
-                raise ValueError(
-                    f"{name} has more than {INLINE_LIMIT} entries; "
-                    "keep it as a DataFrame and use slyglot.operators.lexicon_join"
-                )
-
         if any(len(w) < MIN_WORD_LENGTH for w in self.harmful):
             raise ValueError(f"harmful words need at least {MIN_WORD_LENGTH} characters")
 

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slyglot.lexicons import (
     GENERAL_LABEL,
-    INLINE_LIMIT,
     NEUTRAL_TERMS,
     NEUTRAL_TOPICS,
     POSITIVE_TERMS,
     SEARCH_LIMIT,
 )
-from slyglot.sources.lexicon_files import bounded_rows
+from slyglot.operators.lexicon_join import build_side, is_small, substring_hits
 from slyglot.operators.topk import first_per_key, top_k_per_key
 
 NO_LABELS = "array<string>"
@@ -29,13 +28,18 @@ def positive_queries() -> list[tuple[int, str, str]]:
     return [(i, t, label) for i, (t, label) in enumerate(listed)]
 
 
-def term_hits(posts: DataFrame, terms: list[tuple[int, str]], id_column: str = "post_id") -> DataFrame:
-    """``(term_pos, term, post)`` for every term a lower-cased post text contains.
+def term_hits(posts: DataFrame, terms: list[tuple[int, str]] | DataFrame, id_column: str = "post_id") -> DataFrame:
+    """``(pos, term, post)`` for every term a lower-cased post text contains.
 
-    The bounded term list is inlined, so a post meets all terms in its own scan task.
+    A list is inlined, so a post meets all terms in its own scan task. A DataFrame
+    ``(pos, term)`` of any size is joined and gives the same rows; a URL is fetched for
+    the posts that were hit only.
     """
-    if len(terms) > INLINE_LIMIT:
-        raise ValueError("too many terms to inline; use lexicon_join.substring_hits")
+    if isinstance(terms, DataFrame):
+        listed = terms.select("pos", "term", F.lower("term").alias("pattern"))
+        hits = substring_hits(posts, listed, id_column)
+        found = hits.join(build_side(listed, is_small(listed)), "pattern").select("pos", "term", id_column)
+        return found.join(posts.select(id_column, "url"), id_column).select("pos", "term", id_column, "url")
     lowered = F.col("_lowered")
     found = [
         F.when(F.contains(lowered, F.lit(t.lower())), F.struct(F.lit(i).alias("pos"), F.lit(t).alias("term")))
@@ -48,13 +52,17 @@ def term_hits(posts: DataFrame, terms: list[tuple[int, str]], id_column: str = "
     )
 
 
-def search_posts(posts: DataFrame, terms, limit: int = SEARCH_LIMIT) -> DataFrame:
-    """The first ``limit`` posts (by id) of every term."""
-    return top_k_per_key(term_hits(posts, terms), "pos", [F.col("post_id")], limit)
+def search_posts(posts: DataFrame, terms, limit: int = SEARCH_LIMIT, id_column: str = "post_id") -> DataFrame:
+    """The first ``limit`` posts (by id) of every term, listed or in a DataFrame."""
+    return top_k_per_key(term_hits(posts, terms, id_column), "pos", [F.col(id_column)], limit)
 
 
-def weak_labels(hits: DataFrame, labels: dict[int, str]) -> DataFrame:
-    """each hit takes the general label and its term's label."""
+def weak_labels(hits: DataFrame, labels: dict[int, str] | DataFrame) -> DataFrame:
+    """each hit takes the general label and its term's label, from ``(pos, label)``."""
+    if isinstance(labels, DataFrame):
+        own = labels.select("pos", F.col("label").alias("_label"))
+        found = hits.join(build_side(own, is_small(own)), "pos", "left")
+        return found.withColumn("labels", F.array(F.lit(GENERAL_LABEL), F.col("_label"))).drop("_label")
     own = F.create_map(*(F.lit(x) for item in labels.items() for x in item))
     return hits.withColumn("labels", F.array(F.lit(GENERAL_LABEL), own[F.col("pos")]))
 
@@ -64,8 +72,13 @@ def first_wins(hits: DataFrame) -> DataFrame:
     return first_per_key(hits, "url", F.struct("pos", "post_id"))
 
 
-def collect_positive(posts: DataFrame, limit: int = SEARCH_LIMIT) -> DataFrame:
-    """all labelled hits, before deduplication."""
+def collect_positive(posts: DataFrame, limit: int = SEARCH_LIMIT, queries: DataFrame | None = None) -> DataFrame:
+    """all labelled hits, before deduplication.
+
+    ``queries`` is ``(pos, term, label)`` of any size; by default the fixed list.
+    """
+    if queries is not None:
+        return weak_labels(search_posts(posts, queries.select("pos", "term"), limit), queries)
     queries = positive_queries()
     hits = search_posts(posts, [(i, t) for i, t, _ in queries], limit)
     return weak_labels(hits, {i: label for i, _, label in queries})
@@ -74,25 +87,29 @@ def collect_positive(posts: DataFrame, limit: int = SEARCH_LIMIT) -> DataFrame:
 def expand_queries(terms: DataFrame, topics: DataFrame, seed: str = "0") -> DataFrame:
     """every base term, then sampled terms each with sampled topics.
 
-    ``terms`` is ``(pos, term)``, of any size; ``topics`` is a short ``(topic)`` list,
-    checked and inlined. Sampling orders by a seeded hash, so reruns agree.
+    ``terms`` is ``(pos, term)`` and ``topics`` is ``(topic)``, each of any size. Only the
+    few sampled terms meet all topics; of these every task keeps the first few for each
+    term before the shuffle. Sampling orders by a seeded hash, so reruns agree.
     """
     by_hash = lambda *parts: F.md5(F.concat_ws("|", F.lit(seed), *parts))
     sampled = (
         terms.withColumn("h", by_hash("term")).orderBy("h", "term").limit(BASE_SAMPLE)
     )
-    topic_list = [r.topic for r in bounded_rows(topics.select("topic").distinct())]
-    options = F.array(*(
-        F.struct(by_hash("term", F.lit(t)).alias("h"), F.lit(t).alias("topic")) for t in topic_list
-    ))
-    chosen = F.slice(F.array_sort(options), 1, TOPIC_SAMPLE)
-    expanded = sampled.select("pos", "term", F.posexplode(chosen).alias("rank", "option"))
+    # at most BASE_SAMPLE rows, as one row of an array, so that topics stream past them
+    few = sampled.agg(F.collect_list(F.struct("pos", "term")).alias("few"), F.lit(1).alias("one"))
+    options = (
+        topics.select("topic").distinct().withColumn("one", F.lit(1))
+        .join(F.broadcast(few), "one").select("topic", F.explode("few").alias("t"))
+        .select("t.pos", "t.term", "topic").withColumn("h", by_hash("term", "topic"))
+    )
+    ranks = Window.partitionBy("pos", "term").orderBy("h", "topic")
+    expanded = options.withColumn("rank", F.row_number().over(ranks) - 1).filter(F.col("rank") < TOPIC_SAMPLE)
     base = terms.select(
         F.lit(0).alias("round"), "pos", F.lit(0).alias("rank"), F.col("term").alias("query")
     )
     return base.union(
         expanded.select(
-            F.lit(1), "pos", "rank", F.concat_ws(" ", "term", F.col("option.topic"))
+            F.lit(1), "pos", "rank", F.concat_ws(" ", "term", "topic")
         )
     )
 

@@ -12,6 +12,7 @@ from slyglot.lexicons import Lexicons
 from slyglot.operators import collect, evaluate, hashmatch
 from slyglot.operators import labelers as L
 from slyglot.operators.events import post_events, write_events
+from slyglot.operators.lexicon_join import settled
 from slyglot.plans.corpus import post_images
 from slyglot.sources.posts import lookup_posts, read_labeled_posts, write_labeled_posts
 
@@ -40,8 +41,11 @@ def basic_labeler(images: DataFrame, references: DataFrame, lex: Lexicons) -> La
 
     def labeler(posts: DataFrame) -> DataFrame:
         matched = hashmatch.posts_with_match(post_images(posts), matches)
-        flagged = posts.join(matched.withColumn("_image", F.lit(True)), "post_id", "left")
-        return L.label_basic(flagged, F.col("_image"), lex).drop("_image")
+        # texts are labelled in the scan; only ids and short lists meet the image flags
+        texts = L.with_text_labels(posts, lex).drop("text", "embed")
+        flagged = texts.join(matched.withColumn("_image", F.lit(True)), "post_id", "left")
+        labels = L.with_image_label(F.col("text_labels"), F.col("_image"))
+        return flagged.withColumn("labels", labels).drop("_image", "text_labels")
 
     return labeler
 
@@ -49,8 +53,11 @@ def basic_labeler(images: DataFrame, references: DataFrame, lex: Lexicons) -> La
 def evaluate_basic(
     examples: DataFrame, posts: DataFrame, labeler: Labeler, created_by: str = "", emit_to: str = ""
 ) -> tuple[DataFrame, DataFrame]:
-    """Exact-match summary and mismatches; label events are appended when asked for."""
-    rows = scored_examples(examples, posts, labeler)
+    """Exact-match summary and mismatches; label events are appended when asked for.
+
+    Posts are labelled once: all results read one written table.
+    """
+    rows = settled(scored_examples(examples, posts, labeler), "scored")
     if emit_to:
         write_events(post_events(rows.withColumn("labels", F.col("predicted")), created_by), emit_to)
     return evaluate.exact_match(rows), evaluate.mismatches(rows)

@@ -83,6 +83,52 @@ def lexicon_pairs_last_wins(spark, d):
     return lexicon_files.last_entry_wins(entries, "domain", "label", "page_id")
 
 
+@query
+def scan_lexicon_files(spark, d):
+    """One- and two-column list files, written in order and read by the file readers."""
+    words, pairs = scratch_path(spark, "word_list"), scratch_path(spark, "pair_list")
+    names = corpus.table(spark, d, "part").select(F.concat(F.lit("  "), F.initcap("p_name"), F.lit(" ")).alias("value"))
+    names.write.text(words)
+    parts = F.split("url", "/")
+    lines = F.concat_ws(",", F.try_element_at(parts, F.lit(3)), F.concat(F.lit(" "), F.try_element_at(parts, F.lit(4))))
+    pages = corpus.table(spark, d, "pages").select("page_id", lines.alias("value"))
+    pages.orderBy("page_id").select("value").write.text(pairs)
+    listed = lexicon_files.read_words(spark, words).select("word", F.lit(None).cast("string").alias("label"))
+    return listed.union(lexicon_files.read_pairs(spark, pairs).select("domain", "label"))
+
+
+@query
+def scan_json_lexicons(spark, d):
+    """JSON lexicons made from turns of three words or more, in files of many documents.
+
+    A key is written twice in its document, and every third pair has three words.
+    """
+    turns = corpus.table(spark, d, "conversations").select(
+        F.concat_ws("_", F.lit("k"), "conv_id", "turn").alias("key"), "turn", T.words(F.lower("text")).alias("w")
+    ).filter(F.size("w") > 2)
+    w = lambda i: F.element_at("w", i)
+    name = lambda text, value: F.concat(F.lit('"'), text, F.lit('":"'), value, F.lit('"'))
+    listed = lambda *items: F.concat(F.lit('["'), F.concat_ws('","', *items), F.lit('"]'))
+    original = F.when(F.col("turn") % 3 == 0, listed(w(1), w(2), w(3))).otherwise(listed(w(1), w(2)))
+    document = F.concat(
+        F.lit('{"character_substitutions":{'), name(F.col("key"), w(1)), F.lit(","), name(F.col("key"), w(-1)),
+        F.lit('},"homophones":{"'), F.col("key"), F.lit('":'), listed(w(1), w(2), w(3)),
+        F.lit('},"spoonerisms":[{"original":'), original, F.lit(',"spoonerism":'), listed(w(2), w(1)), F.lit("}]}"),
+    )
+    n_files = -(-turns.count() // 200) or 1
+    file = F.pmod(F.xxhash64("key"), F.lit(n_files))
+    arrays = turns.groupBy(file.alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(document), ","), F.lit("]")).alias("value"))
+    path = scratch_path(spark, "json_lexicons")
+    arrays.write.partitionBy("file").text(path)
+    row = lambda kind, key, value: [F.lit(kind).alias("kind"), key.alias("key"), value.alias("value"), long("pos").alias("pos")]
+    subs = lexicon_files.read_substitutions(spark, path).select(*row("substitution", F.col("source"), F.col("target")))
+    homs = lexicon_files.read_homophones(spark, path).select(*row("homophone", F.col("word"), F.array_join("variants", " ")))
+    swaps = lexicon_files.read_spoonerisms(spark, path).select(
+        *row("spoonerism", F.concat_ws(" ", "o1", "o2"), F.concat_ws(" ", "s1", "s2")))
+    return subs.union(homs).union(swaps)
+
+
 @query
 def post_lookup_by_url(spark, d):
     posts = corpus.post_records(spark, d)
@@ -113,6 +159,14 @@ def search_top_k_per_term(spark, d):
     return hits.select(long("pos").alias("pos"), "term", "post_id", "url")
 
 
+@query
+def search_top_k_join(spark, d):
+    """The search for term lists of any size, over the same terms."""
+    terms = spark.createDataFrame([(i, t) for i, t, _ in collect.positive_queries()], "pos int, term string")
+    hits = collect.search_posts(corpus.searchable_posts(spark, d), terms)
+    return hits.select(long("pos").alias("pos"), "term", "post_id", "url")
+
+
 @query
 def query_labels(spark, d):
     return post_sources.query_labels(
@@ -677,6 +731,14 @@ def collect_positive(spark, d):
     return hits.select(long("pos").alias("pos"), "post_id", "url", joined("labels").alias("labels"))
 
 
+@query
+def collect_positive_join(spark, d):
+    """Weak labels for term lists of any size, over the same terms."""
+    queries = spark.createDataFrame(collect.positive_queries(), "pos int, term string, label string")
+    hits = collect.collect_positive(corpus.searchable_posts(spark, d), queries=queries)
+    return hits.select(long("pos").alias("pos"), "post_id", "url", joined("labels").alias("labels"))
+
+
 @query
 def collect_first_wins(spark, d):
     hits = collect.first_wins(collect.collect_positive(corpus.searchable_posts(spark, d)))

@@ -109,7 +109,7 @@ def read_spoonerisms(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bounded_rows(frame: DataFrame, limit: int = INLINE_LIMIT) -> list:
-    """Rows of a small table on the driver; refuses a table over ``limit`` rows."""
+    """Rows of a small table on the driver. A longer one belongs in ``lexicon_tables``."""
     rows = frame.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(
@@ -119,6 +119,19 @@ def bounded_rows(frame: DataFrame, limit: int = INLINE_LIMIT) -> list:
     return rows
 
 
+def lexicon_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All lexicon files of a folder as DataFrames, of any size, for ``lexicon_join``."""
+    words = {"ts_words": "t-and-s-words.csv", "ts_domains": "t-and-s-domains.csv"}
+    return {
+        "harmful": read_words(spark, f"{folder}/harmful_words.txt", MIN_WORD_LENGTH),
+        "substitutions": read_substitutions(spark, f"{folder}/char_substitutions.json"),
+        "homophones": read_homophones(spark, f"{folder}/homophones.json"),
+        "spoonerisms": read_spoonerisms(spark, f"{folder}/spoonerisms.json"),
+        "news": read_pairs(spark, f"{folder}/news-domains.csv"),
+        **{name: read_words(spark, f"{folder}/{file}") for name, file in words.items()},
+    }
+
+
 def load_lexicons(spark: SparkSession, folder: str) -> Lexicons:
     """All lexicon files of a folder, checked to be small enough to inline."""
     subs = bounded_rows(read_substitutions(spark, f"{folder}/char_substitutions.json"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from slyglot.functions import text as T
 from slyglot.operators.topk import any_per_key
 
+# Column names of the labelled files, and suffixes of image files.
 LABELED_SCHEMA = "URL string, Labels string"
 IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png")
 
@@ -52,14 +53,15 @@ def resolve_handles(requests: DataFrame, accounts: DataFrame) -> DataFrame:
     return requests.join(one_per_handle, "handle", "left")
 
 
-def query_labels(labels: DataFrame, uri_patterns: list[str], sources: list[str]) -> DataFrame:
-    """Labels on URIs matching any pattern (``*`` = any text), from given sources."""
+def query_labels(labels: DataFrame, uri_patterns: list[str], sources: list[str] | None = None) -> DataFrame:
+    """Labels on URIs matching any pattern (``*`` = any text), from given sources or from all."""
 
     def like(pattern: str):
         escaped = pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
         return F.col("uri").like(escaped.replace("*", "%"))
 
-    return labels.filter(T.any_of(map(like, uri_patterns)) & F.col("src").isin(sources))
+    matching = labels.filter(T.any_of(map(like, uri_patterns)))
+    return matching.filter(F.col("src").isin(sources)) if sources else matching
 
 
 def reference_hashes(images: DataFrame) -> DataFrame:

@@ -164,6 +164,23 @@ def test_news_label_is_not_repeated(spark):
     assert frame.select(detect.pair_labels(F.col("lowered"), lex.news)).first()[0] == ["x", "y"]
 
 
-def test_oversized_lexicon_is_refused():
-    with pytest.raises(ValueError, match="lexicon_join"):
-        Lexicons(ts_words=tuple(map(str, range(10_001))))
+def test_long_lists_give_the_same_rows_inline_and_joined(spark):
+    words = tuple(f"term{i:05d}" for i in range(3000)) + LEX.ts_words
+    texts = ["a term00017 b", "TERM02999", "term0", None, "spamming", "none"] + [t for t in TEXTS if t]
+    posts = spark.createDataFrame(list(enumerate(texts)), "post_id long, text string")
+    wanted = {i for i, t in enumerate(texts) if t and any(w in t.lower() for w in words)}
+    patterns = spark.createDataFrame([(w,) for w in words], "pattern string")
+    assert {r.post_id for r in lexicon_join.ts_posts(posts, patterns).collect()} == wanted
+    before = lexicon_join.INLINE_ANCHORS, lexicon_join.BROADCAST_ROWS
+    lexicon_join.INLINE_ANCHORS = lexicon_join.BROADCAST_ROWS = 0
+    try:
+        assert {r.post_id for r in lexicon_join.ts_posts(posts, patterns).collect()} == wanted
+    finally:
+        lexicon_join.INLINE_ANCHORS, lexicon_join.BROADCAST_ROWS = before
+
+
+def test_citation_labels_by_join_keep_list_order(spark):
+    entries = spark.createDataFrame([(0, "a.com", "x"), (1, "b.com", "y"), (2, "c.com", "x"), (3, "z", "q")], "pos int, pattern string, label string")
+    posts = spark.createDataFrame([(1, "c.com B.com a.com"), (2, "nothing"), (3, None)], "post_id long, text string")
+    got = {r.post_id: r.labels for r in lexicon_join.cited_labels(posts, entries).collect()}
+    assert got == {1: ["x", "y"], 2: [], 3: []}
