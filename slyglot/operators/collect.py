@@ -32,14 +32,12 @@ def term_hits(posts: DataFrame, terms: list[tuple[int, str]] | DataFrame, id_col
     """``(pos, term, post)`` for every term a lower-cased post text contains.
 
     A list is inlined, so a post meets all terms in its own scan task. A DataFrame
-    ``(pos, term)`` of any size is joined and gives the same rows; a URL is fetched for
-    the posts that were hit only.
+    ``(pos, term)`` of any size is joined and gives the same rows.
     """
     if isinstance(terms, DataFrame):
         listed = terms.select("pos", "term", F.lower("term").alias("pattern"))
-        hits = substring_hits(posts, listed, id_column)
-        found = hits.join(build_side(listed, is_small(listed)), "pattern").select("pos", "term", id_column)
-        return found.join(posts.select(id_column, "url"), id_column).select("pos", "term", id_column, "url")
+        hits = substring_hits(posts, listed, [id_column, "url"])
+        return hits.join(build_side(listed, is_small(listed)), "pattern").select("pos", "term", id_column, "url")
     lowered = F.col("_lowered")
     found = [
         F.when(F.contains(lowered, F.lit(t.lower())), F.struct(F.lit(i).alias("pos"), F.lit(t).alias("term")))
@@ -95,11 +93,10 @@ def expand_queries(terms: DataFrame, topics: DataFrame, seed: str = "0") -> Data
     sampled = (
         terms.withColumn("h", by_hash("term")).orderBy("h", "term").limit(BASE_SAMPLE)
     )
-    # at most BASE_SAMPLE rows, as one row of an array, so that topics stream past them
-    few = sampled.agg(F.collect_list(F.struct("pos", "term")).alias("few"), F.lit(1).alias("one"))
+    # one array of at most BASE_SAMPLE terms, found once, that topics stream past
+    few = sampled.agg(F.collect_list(F.struct("pos", "term"))).scalar()
     options = (
-        topics.select("topic").distinct().withColumn("one", F.lit(1))
-        .join(F.broadcast(few), "one").select("topic", F.explode("few").alias("t"))
+        topics.select("topic").distinct().select("topic", F.explode(few).alias("t"))
         .select("t.pos", "t.term", "topic").withColumn("h", by_hash("term", "topic"))
     )
     ranks = Window.partitionBy("pos", "term").orderBy("h", "topic")

@@ -210,7 +210,7 @@ def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame, key=skeleton_key)
     )
 
 
-def substring_hits(posts: DataFrame, patterns: DataFrame, key: str = "post_id") -> DataFrame:
+def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] = "post_id") -> DataFrame:
     """D13-D15 at scale: distinct ``(post_id, pattern)`` where the text contains the pattern.
 
     Patterns fall into length classes, and a class is anchored by as many characters as
@@ -219,13 +219,14 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str = "post_id")
     tested inside the scan, and only positions that fit one are turned into rows; for a
     longer list every position meets the anchors in the join. The rows are the same.
     """
+    keys = [key] if isinstance(key, str) else key
     patterns = patterns.select("pattern").filter(F.length("pattern") > 0).distinct()
     size = F.length("pattern")
     own = reduce(lambda found, a: F.when(size >= a, F.lit(a)).otherwise(found), ANCHORS, F.lit(ANCHORS[0]))
     anchored = patterns.withColumn("cls", own).withColumn("anchor", F.expr("substring(pattern, 1, cls)"))
     classes = anchored.groupBy("cls").agg(F.max(size).alias("longest")).orderBy("cls").collect()  # one row per class
     if not classes:
-        return posts.select(key, F.lit("").alias("pattern")).limit(0)
+        return posts.select(*keys, F.lit("").alias("pattern")).limit(0)
     longest = max(r.longest for r in classes)
     anchors = anchored.select("cls", "anchor").distinct().limit(INLINE_ANCHORS + 1).collect()
     inline = len(anchors) <= INLINE_ANCHORS
@@ -248,14 +249,14 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str = "post_id")
         F.coalesce(starts(r.cls, r.longest), F.array().cast("array<struct<cls: int, ahead: string>>")) for r in classes
     ))
     at = (
-        posts.select(key, F.lower("text").alias("lowered"))
+        posts.select(*keys, F.lower("text").alias("lowered"))
         .filter(F.length("lowered") > 0)
-        .select(key, F.explode(pieces).alias("piece"))
-        .select(key, F.explode(F.array_distinct(found)).alias("s"))
-        .select(key, "s.cls", "s.ahead", F.expr("substring(s.ahead, 1, s.cls)").alias("anchor"))
+        .select(*keys, F.explode(pieces).alias("piece"))
+        .select(*keys, F.explode(F.array_distinct(found)).alias("s"))
+        .select(*keys, "s.cls", "s.ahead", F.expr("substring(s.ahead, 1, s.cls)").alias("anchor"))
     )
     side = build_side(anchored.select("cls", "anchor", "pattern"), is_small(patterns))
-    return at.join(side, ["cls", "anchor"]).filter(F.startswith("ahead", "pattern")).select(key, "pattern").distinct()
+    return at.join(side, ["cls", "anchor"]).filter(F.startswith("ahead", "pattern")).select(*keys, "pattern").distinct()
 
 
 def cited_labels(posts: DataFrame, entries: DataFrame, key: str = "post_id") -> DataFrame:

@@ -145,9 +145,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(cid, hash)`` of every embedding taken as an image."""
-    return table(spark, sf_dir, "embeddings").select(
-        image_cid(F.col("vec_id")).alias("cid"), sign_hash(F.col("embedding")).alias("hash")
-    )
+    vectors = table(spark, sf_dir, "embeddings").select(image_cid(F.col("vec_id")).alias("cid"), "embedding")
+    return T.once(vectors, hash=sign_hash(F.col("embedding"))).drop("embedding")
 
 
 def reference_images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,10 +154,10 @@ def reference_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = table(spark, sf_dir, "embeddings").groupBy("label").agg(
         F.min_by("embedding", "vec_id").alias("embedding")
     )
+    first = T.once(first, hash=sign_hash(F.col("embedding")))
     suffix = F.when(F.col("label") % 4 == 3, ".txt").when(F.col("label") % 2 == 1, ".png").otherwise(".jpg")
     return first.select(
-        F.concat(F.lit("ref"), F.col("label").cast("string"), suffix).alias("path"),
-        sign_hash(F.col("embedding")).alias("hash"),
+        F.concat(F.lit("ref"), F.col("label").cast("string"), suffix).alias("path"), "hash"
     )
 
 

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from slyglot.plans.oracles import ORACLES
+from slyglot.plans.queries import QUERIES
 from tests.compare import connect, differences
 
 
@@ -25,6 +27,5 @@ def test_query_matches_oracle(spark, con, sf_dir, name):
     assert differences(frame, con, entry_module.oracle_sql()[name]) == ""
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries().keys() - entry_module.oracle_sql().keys()))
-def test_query_without_oracle_has_rows(spark, sf_dir, name):
-    assert entry_module.queries()[name](spark, sf_dir).count() > 0
+def test_every_library_query_has_an_oracle():
+    assert QUERIES.keys() == ORACLES.keys()
