@@ -7,11 +7,11 @@ keeps the positions whose vector has an odd product with v. Any r differing posi
 span at most r dimensions, so some v is orthogonal to all of them and its mask keeps none
 of them: each pair within the radius shares a key in some table, with certainty.
 
-Equal fingerprints are one node. Buckets of two are compared in the JVM, larger ones in
-numpy blocks. A bucket beyond `BLOCK` nodes is not gathered: two fingerprints within four
-bits have a common neighbour two flips from both, so every member is spread over the flips
-of its masked-out bits and joins the smallest member at the same point. That is linear in
-the bucket, finds exactly the same components, and its points are dealt out by hash.
+Equal fingerprints are one node. The members of a bucket are compared in numpy blocks. A
+bucket beyond `BLOCK` nodes is not gathered: two fingerprints within four bits have a
+common neighbour two flips from both, so every member is spread over the flips of its
+masked-out bits and joins the smallest member at the same point. That is linear in the
+bucket, finds exactly the same components, and its points are dealt out by hash.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -31,6 +31,8 @@ BITS = 64
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
+#: Low bits of a bucket key that hold the number of its table.
+TABLE = 31
 #: Nodes of a bucket that one task compares with each other.
 BLOCK = 4096
 
@@ -76,10 +78,6 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return picked.mapInArrow(hashed, "doc_id long, fp long")
 
 
-def _near(a: Column, b: Column, radius: int) -> Column:
-    return F.bit_count(a.bitwiseXOR(b)) <= radius
-
-
 def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = [], []
@@ -116,16 +114,13 @@ def links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFra
     if radius > 4:
         raise ValueError("buckets beyond `block` are only split for a radius of at most 4")
     signed = [_signed(m) for m in masks(radius)]
-    tables = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(signed)])
-    keyed = nodes.select("fp", F.posexplode(tables).alias("tab", "key"))
-    buckets = checkpointed(
-        keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
-    )
-    found = buckets.where("n = 2").select("a", "b").where(_near(F.col("a"), F.col("b"), radius))
-    many = buckets.where("n > 2").select("key", "n")
-    members = keyed.join(many, "key")
+    # The low bits of a key are the number of its table.
+    keys = [F.xxhash64(F.col("fp").bitwiseAND(F.lit(m))).bitwiseAND(F.lit(~TABLE)).bitwiseOR(F.lit(i)) for i, m in enumerate(signed)]
+    keyed = nodes.select("fp", F.explode(F.array(*keys)).alias("key"))
+    many = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    members = keyed.join(many.hint("merge"), "key")
     small = members.where(F.col("n") <= block).groupBy("key").agg(F.collect_list("fp").alias("fps"))
-    found = found.union(small.select("fps").mapInArrow(lambda b: _bucket_links(b, radius), "a long, b long"))
+    found = small.select("fps").mapInArrow(lambda b: _bucket_links(b, radius), "a long, b long")
     if not many.where(F.col("n") > block).isEmpty():
         found = found.union(_hot_links(members.where(F.col("n") > block), signed))
     return found.distinct()
@@ -139,8 +134,8 @@ def _points(batches: Iterator[pa.RecordBatch], signed: list[int]) -> Iterator[pa
         flips.append(np.r_[np.zeros(1, np.uint64), bits, bits[i] | bits[j]].view(np.int64))
     for batch in batches:
         for start in range(0, batch.num_rows, 500):
-            key, fp, tab = (np.array(c) for c in batch.slice(start, 500).columns)
-            ways = [flips[t] for t in tab]
+            key, fp = (np.array(c) for c in batch.slice(start, 500).columns)
+            ways = [flips[t] for t in key & TABLE]
             sizes = [len(w) for w in ways]
             fps = np.repeat(fp, sizes)
             yield pa.RecordBatch.from_pydict({"key": np.repeat(key, sizes), "fp": fps, "point": fps ^ np.concatenate(ways)})
@@ -148,7 +143,7 @@ def _points(batches: Iterator[pa.RecordBatch], signed: list[int]) -> Iterator[pa
 
 def _hot_links(members: DataFrame, signed: list[int]) -> DataFrame:
     """Links within large buckets through common points two flips away."""
-    points = members.select("key", "fp", "tab").mapInArrow(lambda b: _points(b, signed), "key long, fp long, point long")
+    points = members.select("key", "fp").mapInArrow(lambda b: _points(b, signed), "key long, fp long, point long")
     first = points.groupBy("key", "point").agg(F.min("fp").alias("a"), F.max("fp").alias("top")).where("a <> top")
     return points.join(first.select("key", "point", "a"), ["key", "point"]).where("a <> fp").select("a", F.col("fp").alias("b"))
 
