@@ -135,26 +135,30 @@ def codes_agree(left: Column, right: Column, needed: Column) -> Column:
     )
 
 
-def _coded(harmful: str, key) -> Column:
-    """``(word, code, needed)`` for each code of a harmful word."""
-    word, needed = F.lit(harmful), F.lit(threshold_for(harmful, PHONETIC_THRESHOLD))
-    return F.transform(
-        codes_of(key(word)),
-        lambda c: F.struct(word.alias("word"), c.alias("code"), needed.alias("needed")),
-    )
-
-
 def sounds_harmful(candidates: Column, lex: Lexicons, key) -> Column:
     """Some word sounds like a harmful word other than itself; False for NULL.
 
-    The lexicon's codes are constants, folded once when the plan is made.
+    The lexicon's codes are constants, folded when the plan is made. Codes of fewer than
+    ten characters agree well enough only if they are equal or differ in one position;
+    then one of their first two pairs of characters is the same. That is looked up before
+    the codes are compared with each entry.
     """
     if not lex.harmful:
         return F.lit(False)
-    known = F.flatten(F.array(*(_coded(h, key) for h in lex.harmful)))
+    codes = [(h, key(F.lit(h))[part]) for h in lex.harmful for part in ("primary", "secondary")]
+    known = F.array(*(
+        F.struct(F.lit(h).alias("word"), code.alias("code"), F.lit(threshold_for(h, PHONETIC_THRESHOLD)).alias("needed"))
+        for h, code in codes
+    ))
+    equal = F.array(*(code for _, code in codes))
+    pairs = [F.array(*(F.substring(code, at, 2) for _, code in codes)) for at in (1, 3)]
+
+    def may_agree(code: Column) -> Column:
+        shared = F.array_contains(pairs[0], F.substring(code, 1, 2)) | F.array_contains(pairs[1], F.substring(code, 3, 2))
+        return F.array_contains(equal, code) | (F.length(code) >= 9) | ((F.length(code) >= 4) & shared)
 
     def heard(word: Column) -> Column:
-        near = lambda code: F.exists(
+        near = lambda code: may_agree(code) & F.exists(
             known, lambda k: (k["word"] != word) & codes_agree(code, k["code"], k["needed"])
         )
         return F.exists(codes_of(key(word)), near)

@@ -38,6 +38,8 @@ CHUNK = 256
 #: A lexicon is broadcast up to so many rows and characters; its keys are a few times as many.
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 4_000_000
+#: Patterns that every text is searched for one by one at most.
+INLINE_PATTERNS = 256
 #: Pattern anchors that are tested within the text scan at most.
 INLINE_ANCHORS = 10_000
 #: Shortest pattern of each length class; the anchor of a class is as long.
@@ -217,16 +219,21 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] =
     its shortest pattern may have, so one short pattern does not loosen the others. Texts
     are cut into pieces that overlap by the longest pattern. A short list of anchors is
     tested inside the scan, and only positions that fit one are turned into rows; for a
-    longer list every position meets the anchors in the join. The rows are the same.
+    longer list every position meets the anchors in the join. A few patterns are simply
+    searched for. The rows are the same.
     """
     keys = [key] if isinstance(key, str) else key
     patterns = patterns.select("pattern").filter(F.length("pattern") > 0).distinct()
+    few = patterns.limit(INLINE_PATTERNS + 1).collect()
+    if len(few) <= INLINE_PATTERNS:
+        lowered = posts.select(*keys, F.lower("text").alias("lowered"))
+        listed = F.array(*(F.lit(p.pattern) for p in few)).cast("array<string>")
+        found = F.filter(listed, lambda p: F.contains(F.col("lowered"), p))
+        return lowered.select(*keys, F.explode(found).alias("pattern")).distinct()
     size = F.length("pattern")
     own = reduce(lambda found, a: F.when(size >= a, F.lit(a)).otherwise(found), ANCHORS, F.lit(ANCHORS[0]))
     anchored = patterns.withColumn("cls", own).withColumn("anchor", F.expr("substring(pattern, 1, cls)"))
     classes = anchored.groupBy("cls").agg(F.max(size).alias("longest")).orderBy("cls").collect()  # one row per class
-    if not classes:
-        return posts.select(*keys, F.lit("").alias("pattern")).limit(0)
     longest = max(r.longest for r in classes)
     anchors = anchored.select("cls", "anchor").distinct().limit(INLINE_ANCHORS + 1).collect()
     inline = len(anchors) <= INLINE_ANCHORS

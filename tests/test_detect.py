@@ -117,7 +117,9 @@ def test_labels_by_join_equal_brute_force(spark, posts, phonetic):
     assert got == {i: spec.labels(t, LEX, phonetic) for i, t in enumerate(TEXTS)}
 
 
-def test_substring_join(spark):
+@pytest.mark.parametrize("inline", [0, 256])
+def test_substring_join(spark, monkeypatch, inline):
+    monkeypatch.setattr(lexicon_join, "INLINE_PATTERNS", inline)
     texts = ["", "spamming the Platform", "x" * 255 + "phishing", "x" * 250 + "User Data" + "y" * 600, "none", None]
     texts.append("ab" * 400 + "virality")
     posts = spark.createDataFrame(list(enumerate(texts)), "post_id long, text string")
@@ -164,19 +166,19 @@ def test_news_label_is_not_repeated(spark):
     assert frame.select(detect.pair_labels(F.col("lowered"), lex.news)).first()[0] == ["x", "y"]
 
 
-def test_long_lists_give_the_same_rows_inline_and_joined(spark):
+def test_long_lists_give_the_same_rows_inline_and_joined(spark, monkeypatch):
     words = tuple(f"term{i:05d}" for i in range(3000)) + LEX.ts_words
     texts = ["a term00017 b", "TERM02999", "term0", None, "spamming", "none"] + [t for t in TEXTS if t]
     posts = spark.createDataFrame(list(enumerate(texts)), "post_id long, text string")
     wanted = {i for i, t in enumerate(texts) if t and any(w in t.lower() for w in words)}
     patterns = spark.createDataFrame([(w,) for w in words], "pattern string")
     assert {r.post_id for r in lexicon_join.ts_posts(posts, patterns).collect()} == wanted
-    before = lexicon_join.INLINE_ANCHORS, lexicon_join.BROADCAST_ROWS
-    lexicon_join.INLINE_ANCHORS = lexicon_join.BROADCAST_ROWS = 0
-    try:
-        assert {r.post_id for r in lexicon_join.ts_posts(posts, patterns).collect()} == wanted
-    finally:
-        lexicon_join.INLINE_ANCHORS, lexicon_join.BROADCAST_ROWS = before
+    monkeypatch.setattr(lexicon_join, "INLINE_PATTERNS", 10_000)
+    assert {r.post_id for r in lexicon_join.ts_posts(posts, patterns).collect()} == wanted
+    for name in ("INLINE_PATTERNS", "INLINE_ANCHORS", "BROADCAST_ROWS"):
+        monkeypatch.setattr(lexicon_join, name, 0)
+    assert {r.post_id for r in lexicon_join.ts_posts(posts, patterns).collect()} == wanted
+    assert lexicon_join.ts_posts(posts, patterns.limit(0)).count() == 0
 
 
 def test_citation_labels_by_join_keep_list_order(spark):
