@@ -53,6 +53,10 @@ def test_blocks_of_one_page():
     assert html_wrapper.extract(FULL, set(), set()) == "Title & more\nOne two three\nFour <five> six\na\nb\nx\ny"
     for text, expected in (("", ""), ("plain < text", "plain < text"), ("<p>a<p>b</p></i>c", "a\nb\nc"), ("<p>a<br>b", "a b"), ("<script>x", ""), ("<div hidden>x</div>y", "y")):
         assert html_wrapper.extract(text, set(), set()) == expected
+    own = "<header><h1>Site</h1></header><article><header><h1>Title</h1><p>By me</p><div class=share><h2>Share</h2></div></header><p>Text</p></article>"
+    assert html_wrapper.extract(own, set(), set()) == "Title\nText"
+    named = '<div class="site-header">Site</div><div class="entry-header"><h1 class="page-header">Title</h1></div><p>Text</p>'
+    assert html_wrapper.extract(named, set(), set()) == "Title\nText"
     assert html_wrapper.extract("<div>" * 3000 + "x", set(), set()) == "x"
 
 
