@@ -14,7 +14,7 @@ what is collected; every text is scored, in one narrow pass.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -69,7 +69,7 @@ def features(text: str) -> list[float]:
     ]
 
 
-def _matrix(texts: list[str]) -> np.ndarray:
+def _matrix(texts: Iterable[str]) -> np.ndarray:
     return np.array([features(t) for t in texts], np.float64).reshape(-1, len(FEATURES))
 
 
@@ -197,7 +197,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveM
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix([t.as_py() for t in batch.column(2)])
+            x = _matrix(t.as_py() for t in batch.column(2))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "y": batch.column(1), "x": pa.array(list(x), pa.list_(pa.float64()))})
 
     found = rows.select("doc_id", "y", "text").mapInArrow(measured, "doc_id long, y double, x array<double>").toPandas()
@@ -215,7 +215,7 @@ def scores(docs: DataFrame, model: AdditiveModel, threshold: float = THRESHOLD)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(_matrix([t.as_py() for t in batch.column(2)]))
+            score = model.score(_matrix(t.as_py() for t in batch.column(2)))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "held_out": batch.column(1), "score": score,
                 "predicted": pa.array((score >= threshold).astype(np.int32)),
@@ -231,7 +231,7 @@ def accepted(docs: DataFrame, model: AdditiveModel, threshold: float = THRESHOLD
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(_matrix([t.as_py() or "" for t in batch.column(at)]))
+            score = model.score(_matrix(t.as_py() or "" for t in batch.column(at)))
             yield batch.filter(pa.array(score >= threshold))
 
     return docs.mapInArrow(kept, docs.schema)
