@@ -38,7 +38,7 @@ SPACE = "▁"
 HALF = 22
 #: Characters encoded together, and words remembered by a worker.
 CHUNK_CHARS = 2_000_000
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 ROUNDS = 200
 #: Cells of a pair table, as a power of two.
 CELLS = 21
