@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -358,15 +359,34 @@ def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
                 windows.append((i, tokens))
                 sequences.append(field.ids(token_features(_spaced(tokens, text))))
     added: list[list[Span]] = [[] for _ in texts]
+    taken = [_joined(base) for base in bases]
     for (i, tokens), labels in zip(windows, field.decode(sequences)):
         for kind, first, last in _entities(labels.tolist()):
             start, end = tokens[first][1], tokens[last][2]
-            clear = all(end <= s or e <= start for _, s, e in [*bases[i], *added[i]])
+            # Windows come in the order of the text, so only the last added span can overlap.
+            clear = _clear(taken[i], start, end) and (not added[i] or added[i][-1][2] <= start)
             if clear and _plausible(kind, texts[i][start:end]):
                 added[i].append((kind, start, end))
     return [(base, sorted([*base, *more], key=_order)) for base, more in zip(bases, added)]
 
 
+def _joined(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans, sorted by start, cover."""
+    starts, ends = [], []
+    for _, start, end in spans:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def _clear(stretches: tuple[list[int], list[int]], start: int, end: int) -> bool:
+    at = bisect_left(stretches[0], end)
+    return at == 0 or stretches[1][at - 1] <= start
+
+
 def _entities(labels: list[int]) -> Iterator[tuple[str, int, int]]:
     start = -1
     for i, label in enumerate([*labels, 0]):

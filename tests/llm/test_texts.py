@@ -52,6 +52,14 @@ def test_field_finds_held_out_examples_and_keeps_base_spans(field):
     assert got >= 0.9 * wanted and extra <= 0.05 * wanted
 
 
+def test_added_spans_stay_clear_of_base_spans():
+    spans = [("ip", 3, 9), ("phone", 5, 20), ("card", 6, 8), ("email", 30, 35)]
+    stretches = pii_crf._joined(spans)
+    for start in range(40):
+        for end in range(start + 1, 41):
+            assert pii_crf._clear(stretches, start, end) == all(end <= a or b <= start for _, a, b in spans)
+
+
 def test_viterbi_finds_the_best_path(field):
     rng = np.random.default_rng(2)
     small = pii_crf.Field({}, rng.normal(size=(5, len(pii_crf.LABELS))), rng.normal(size=(len(pii_crf.LABELS),) * 2))
