@@ -14,7 +14,6 @@ shuffle, and each different URL counts once, so no host or URL is a hot spot.
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -118,15 +117,14 @@ def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     counts = checkpointed(grams.groupBy("gram").agg(F.count_if("yes").alias("yes"), F.count_if("no").alias("no")))
     ratios = checkpointed(_ratios(counts))
 
-    def scored(frame: DataFrame, keys: list[str]) -> DataFrame:
-        rows = frame.withColumn("row", F.monotonically_increasing_id())
-        spelled = rows.select("row", *keys, F.explode_outer(_grams(F.col("read"))).alias("gram"))
-        return spelled.join(F.broadcast(ratios), "gram", "left").groupBy("row", *keys).agg(
+    def scored(rows: DataFrame, keys: list[str]) -> DataFrame:
+        spelled = rows.select(*keys, F.explode_outer(_grams(F.col("read"))).alias("gram"))
+        return spelled.join(F.broadcast(ratios), "gram", "left").groupBy(*keys).agg(
             F.round(F.coalesce(F.avg("ratio"), F.lit(0.0)), 9).alias("score"))
 
     known = different.where("action IS NOT NULL").withColumn("held", held).where("held")
-    threshold = _threshold(scored(known, ["action", "held"]))
-    verdict = F.coalesce("action", F.when(F.col("score") >= F.col("threshold"), "allow").otherwise("block"))
-    judged = scored(urls, ["page_id", "host", "path", "rule", "action"])
-    # One row of one number: its join is a lookup.
-    return judged.join(F.broadcast(threshold)).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
+    threshold = _threshold(scored(known, ["read", "action", "held"])).scalar()
+    verdict = F.coalesce("action", F.when(F.col("score") >= threshold, "allow").otherwise("block"))
+    # Rows are numbered in the scan, which gives the same numbers when a task is run again.
+    judged = scored(urls.withColumn("row", F.monotonically_increasing_id()), ["row", "page_id", "host", "path", "rule", "action"])
+    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
