@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from slyglot.session import scratch_path
 
-from .shared import checkpointed, whole_text
+from .shared import checkpointed, named, whole_text
 
 SHINGLE = 5
 SHARE = 0.8
@@ -92,7 +92,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
     """doc_id, item_id, n_shingles, n_matched, containment of every pair at or above `share`.
 
     item_id stands for all items of the same words. Rows that share a doc_id are one
-    document. NULL and wordless texts and items match nothing; an empty table on either
+    document; a row without a doc_id has no name to return and gives no row. NULL and wordless texts and items match nothing; an empty table on either
     side gives no rows; other columns are ignored. A passage in very many documents costs
     one row each: items are broadcast while under `BROADCAST_ROWS` shingles, and a larger
     list joins by shuffle with the same result.
@@ -123,6 +123,10 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """The rows of `docs` that contain no item at `share` or more."""
-    hit = contained_items(docs, benchmark, share).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"] == hit["hit_id"], "left_anti")
+    """The rows of `docs` that contain no item at `share` or more.
+
+    Rows without an id are told apart by a hash of their text.
+    """
+    key = named(docs["doc_id"], docs["text"])
+    hit = contained_items(docs.select(key.alias("doc_id"), docs["text"]), benchmark, share).select(F.col("doc_id").alias("hit_id")).distinct()
+    return docs.join(hit, key == hit["hit_id"], "left_anti")

@@ -32,6 +32,12 @@ def whole_text(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def named(doc_id: Column, text: Column) -> Column:
+    """The id as a long; for a NULL id a hash of the text, from 2^62 up, above all usual ids."""
+    stand_in = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return F.coalesce(doc_id.cast("long"), stand_in)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id written as text, modulo `folds`; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

@@ -24,8 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slyglot.session import scratch_path
+
 from .components import components
-from .shared import checkpointed, whole_text
+from .shared import checkpointed, named, whole_text
 
 BITS = 64
 SHINGLE = 4
@@ -165,9 +167,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of `docs` whose doc_id names its component: one document of each group.
+    """One row of `docs` for each group of near-duplicates: that of the smallest doc_id.
 
-    Rows repeated with the same doc_id stay together.
+    A row without an id goes by a hash of its text and stays only where its group has no
+    id. Of rows repeated with the same id and text one stays, whichever.
     """
-    kept = near_duplicates(docs, shingle, radius).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
+    key = named(docs["doc_id"], docs["text"])
+    placed = near_duplicates(docs.select(key.alias("doc_id"), docs["text"]), shingle, radius)
+    kept = placed.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n"))
+    path = scratch_path(docs.sparkSession, "kept")
+    kept.write.parquet(path)
+    kept = docs.sparkSession.read.parquet(path)
+    rows = docs.join(kept.where("n = 1"), key == kept["kept_id"], "left_semi")
+    if kept.where("n > 1").isEmpty():
+        return rows
+    again = docs.join(kept.where("n > 1"), key == kept["kept_id"], "left_semi")
+    return rows.unionByName(again.dropDuplicates(["doc_id", "text"]))
