@@ -129,4 +129,8 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
     """
     key = named(docs["doc_id"], docs["text"])
     hit = contained_items(docs.select(key.alias("doc_id"), docs["text"]), benchmark, share).select(F.col("doc_id").alias("hit_id")).distinct()
+    # A written list has a size before the join is planned, so texts are shuffled only beside a long one.
+    path = scratch_path(docs.sparkSession, "contaminated")
+    hit.write.parquet(path)
+    hit = docs.sparkSession.read.parquet(path)
     return docs.join(hit, key == hit["hit_id"], "left_anti")
