@@ -178,8 +178,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     path = scratch_path(docs.sparkSession, "kept")
     kept.write.parquet(path)
     kept = docs.sparkSession.read.parquet(path)
-    rows = docs.join(kept.where("n = 1"), key == kept["kept_id"], "left_semi")
+    # The ids kept grow with the rows: joined by shuffle at every size.
+    rows = docs.join(kept.where("n = 1").hint("merge"), key == kept["kept_id"], "left_semi")
     if kept.where("n > 1").isEmpty():
         return rows
-    again = docs.join(kept.where("n > 1"), key == kept["kept_id"], "left_semi")
+    again = docs.join(kept.where("n > 1").hint("merge"), key == kept["kept_id"], "left_semi")
     return rows.unionByName(again.dropDuplicates(["doc_id", "text"]))
