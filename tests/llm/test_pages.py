@@ -76,3 +76,13 @@ def test_constant_nodes_become_template_and_copies_do_not(spark):
     assert {found[i].text for i in range(8, 17)} == {whole} and found[8].n_chars == len(whole)
     assert found[17].text == found[18].text == "" and found[18].n_chars == 0
     assert html_wrapper.main_text(pages(spark, [])).count() == 0
+
+
+def test_prose_and_article_lists_at_a_path_of_links_stay(spark):
+    links = "".join(f"<li><a href=/{j}>Link number {j}</a></li>" for j in range(5))
+    bare = lambda i: f"<body><div><p>Story {i} is told here</p><ul>{links}{'<li>Plain prose in a list</li>' if i == 19 else ''}</ul></div></body>"
+    own = lambda i: f"<body><article><p>Story {i} is told here</p><ul><li><a href=/{i}>Source of story {i}</a></li></ul></article></body>"
+    rows = [(f"http://a.org/{i}", bare(i)) for i in range(20)] + [(f"http://b.org/{i}", own(i)) for i in range(20)]
+    found = {r.page_id: r.text for r in html_wrapper.main_text(pages(spark, rows)).collect()}
+    assert found[0] == "Story 0 is told here" and found[19] == "Story 19 is told here\nPlain prose in a list"
+    assert all(found[20 + i] == f"Story {i} is told here\nSource of story {i}" for i in range(20))
