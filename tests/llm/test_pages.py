@@ -86,3 +86,13 @@ def test_prose_and_article_lists_at_a_path_of_links_stay(spark):
     found = {r.page_id: r.text for r in html_wrapper.main_text(pages(spark, rows)).collect()}
     assert found[0] == "Story 0 is told here" and found[19] == "Story 19 is told here\nPlain prose in a list"
     assert all(found[20 + i] == f"Story {i} is told here\nSource of story {i}" for i in range(20))
+
+
+def test_odd_pages_and_a_second_layout_leave_the_template(spark):
+    body = lambda i: f"<body><div><p>Read our terms</p><p>Story number {i} is quite long</p><p>Printed in Rome</p></div></body>"
+    other = lambda i: f"<body><section><p>All rights kept</p><p>Note number {i} is quite long</p></section></body>"
+    rows = [(f"http://a.org/{i}", body(i)) for i in range(6)] + [("http://a.org/e", None), ("http://a.org/x", "<h1>Error 500</h1>")]
+    rows += [(f"http://b.org/{i}", other(i) if i % 4 == 0 else body(i)) for i in range(40)]
+    found = [r.text for r in sorted(html_wrapper.main_text(pages(spark, rows)).collect(), key=lambda r: r.page_id)]
+    assert found[:8] == [*(f"Story number {i} is quite long" for i in range(6)), "", "Error 500"]
+    assert found[8:] == [f"{'Note' if i % 4 == 0 else 'Story'} number {i} is quite long" for i in range(40)]
