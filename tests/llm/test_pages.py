@@ -96,3 +96,15 @@ def test_odd_pages_and_a_second_layout_leave_the_template(spark):
     found = [r.text for r in sorted(html_wrapper.main_text(pages(spark, rows)).collect(), key=lambda r: r.page_id)]
     assert found[:8] == [*(f"Story number {i} is quite long" for i in range(6)), "", "Error 500"]
     assert found[8:] == [f"{'Note' if i % 4 == 0 else 'Story'} number {i} is quite long" for i in range(40)]
+
+
+def test_near_copies_of_an_article_keep_it(spark):
+    told = [f"Paragraph {j} of the one article tells at length what came to pass" for j in range(10)]
+    copy = lambda i: "".join(f"<p>{t}{f', edition {i}' if j == i % 3 else ''}</p>" for j, t in enumerate(told))
+    page = lambda inner: f"<body><article><p>Read our terms</p>{inner}</article></body>"
+    rows = [(f"http://a.org/{i}", page(copy(i))) for i in range(6)]
+    rows += [(f"http://b.org/{i}", page(copy(i))) for i in range(20)] + [(f"http://b.org/s{i}", page(f"<p>Story {i} was told by {i + 7} people</p>")) for i in range(10)]
+    found = [r.text.split("\n") for r in sorted(html_wrapper.main_text(pages(spark, rows)).collect(), key=lambda r: r.page_id)]
+    assert all(len(lines) == 11 for lines in found[:6])
+    assert all(len(lines) == 10 and lines[9] == told[9] for lines in found[6:26])
+    assert found[26:] == [[f"Story {i} was told by {i + 7} people"] for i in range(10)]
