@@ -59,20 +59,25 @@ def _strings(sizes: list[int]) -> Column:
 
 
 def item_shingles(benchmark: DataFrame) -> DataFrame:
-    """item_id, k, n_shingles, shingle, h: the distinct shingles of every different item.
+    """item, item_id, k, n_shingles, shingle, h: the distinct shingles of every different item.
 
-    Items with the same words are one, under their smallest id. An item of fewer than
-    five words has one shingle of its own length k; one without words has none.
+    Items are told apart by `item`, a hash of their words, since an item_id may be NULL or
+    stand on several texts. Items with the same words are one, under their smallest id. An
+    item of fewer than five words has one shingle of its own length k; one without words
+    has none.
     """
     items = (
         benchmark.select("item_id", words(whole_text()).alias("words")).where(F.size("words") > 0)
         .groupBy("words").agg(F.min("item_id").alias("item_id"))
+        .withColumn("item", F.xxhash64("words"))
         .withColumn("k", F.least(F.size("words"), F.lit(SHINGLE)))
     )
     cut = F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.size("words") - F.col("k") + 1), lambda i: F.array_join(F.slice("words", i, F.col("k")), " ")
     ))
-    rows = items.select("item_id", "k", cut.alias("s")).select("item_id", "k", F.size("s").alias("n_shingles"), F.explode("s").alias("shingle"))
+    rows = items.select("item", "item_id", "k", cut.alias("s")).select(
+        "item", "item_id", "k", F.size("s").alias("n_shingles"), F.explode("s").alias("shingle")
+    )
     word = F.split("shingle", " ")
     hashes = F.coalesce(*[
         F.when(F.col("k") == k, F.xxhash64(F.lit(k), *[F.get(word, F.lit(j)) for j in range(k)])) for k in range(1, SHINGLE + 1)
@@ -81,17 +86,18 @@ def item_shingles(benchmark: DataFrame) -> DataFrame:
 
 
 def sketches(shingles: DataFrame, share: float = SHARE) -> DataFrame:
-    """item_id, h: the minimum values each item keeps, by its size class."""
+    """item, h: the minimum values each item keeps, by its size class."""
     longest = F.pow(F.lit(2.0), F.floor(F.log2("n_shingles")) + 1) - 1
     kept = F.floor(longest * (1 - share) + 1e-9) + 1
-    order = W.partitionBy("item_id").orderBy(F.xxhash64(F.lit(11), "h"), "h")
-    return shingles.withColumn("place", F.row_number().over(order)).where(F.col("place") <= kept).select("item_id", "h")
+    order = W.partitionBy("item").orderBy(F.xxhash64(F.lit(11), "h"), "h")
+    return shingles.withColumn("place", F.row_number().over(order)).where(F.col("place") <= kept).select("item", "h")
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, n_shingles, n_matched, containment of every pair at or above `share`.
 
-    item_id stands for all items of the same words. Rows that share a doc_id are one
+    item_id stands for all items of the same words; different texts under one item_id, or
+    without one, are items of their own and give a row each. Rows that share a doc_id are one
     document; a row without a doc_id has no name to return and gives no row. NULL and wordless texts and items match nothing; an empty table on either
     side gives no rows; other columns are ignored. A passage in very many documents costs
     one row each: items are broadcast while under `BROADCAST_ROWS` shingles, and a larger
@@ -112,8 +118,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
     near = docs.join(candidates, "doc_id", "left_semi")
     held = near.select("doc_id", F.explode(_strings(sizes)).alias("shingle"))
     pairs = (
-        held.join(side(shingles.select("item_id", "n_shingles", "shingle")), "shingle")
-        .groupBy("doc_id", "item_id", "n_shingles").agg(F.countDistinct("shingle").alias("n_matched"))
+        held.join(side(shingles.select("item", "item_id", "n_shingles", "shingle")), "shingle")
+        .groupBy("doc_id", "item", "item_id", "n_shingles").agg(F.countDistinct("shingle").alias("n_matched"))
     )
     least = F.ceil(F.col("n_shingles") * share - 1e-9)
     return pairs.where(F.col("n_matched") >= least).select(

@@ -150,6 +150,18 @@ def test_containment_of_awkward_and_empty_tables(spark):
     assert decontaminate.decontaminated(awkward(spark), benchmark).count() == 7
 
 
+def test_items_without_an_id_or_of_one_id_are_told_apart(spark):
+    items = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(40)]
+    benchmark = spark.createDataFrame([(None if i < 20 else 7, t) for i, t in enumerate(items)], "item_id long, text string")
+    # Halves of two items are no item, though their matches add up to one.
+    texts = [f"before {t} after" for t in items] + [" ".join(t.split()[:15]) + " cut " + " ".join(u.split()[:15]) for t, u in zip(items, items[1:])]
+    frame = documents(spark, texts)
+    rows = decontaminate.contained_items(frame, benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_shingles, r.n_matched) for r in rows if r.item_id) == [(i, 7, 26, 26) for i in range(20, 40)]
+    assert sorted((r.doc_id, r.n_matched) for r in rows if r.item_id is None) == [(i, 26) for i in range(20)]
+    assert {r.doc_id for r in decontaminate.decontaminated(frame, benchmark).collect()} == set(range(40, 79))
+
+
 SCHEMA = "vec_id long, embedding array<float>, label int, score double"
 
 
