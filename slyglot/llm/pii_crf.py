@@ -5,8 +5,8 @@ card, digits of a phone number). The field adds what patterns miss, such as spel
 addresses and phone numbers without a country code. It labels tokens B-kind, I-kind or O
 from word-shape features of a token and its neighbours, is trained by its likelihood on a
 small labelled table, and is decoded by Viterbi over batches of windows in numpy. Windows
-are the surroundings of every digit, at sign and spelled-out dot in the whole text; text
-away from those can hold none of the kinds. An added span passes a plain check of its
+are the surroundings of every digit, at sign, spelled-out dot, bracketed `at`, and `at`
+before a dotted name in the whole text; text away from those can hold none of the kinds. An added span passes a plain check of its
 kind and never touches a base span.
 """
 
@@ -39,7 +39,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TRIGGER = re.compile(r"[0-9@]+|(?i:\bdot\b)")
+TRIGGER = re.compile(r"[0-9@]+|(?i:\bdot\b|[\[({]\s*at\s*[\])}]|\bat\b(?=[ \t]+[\w-]+(?:\.[\w-]+)*\.[a-z]))")
 DIGITS = re.compile(r"[^0-9]")
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 CUES = {

@@ -52,6 +52,20 @@ def test_field_finds_held_out_examples_and_keeps_base_spans(field):
     assert got >= 0.9 * wanted and extra <= 0.05 * wanted
 
 
+@pytest.mark.parametrize("form", [
+    "john.42@mail.com", "john at mail dot com", "john (at) mail.com", "sam [at] web.org", "sam at web.org", "sam [at] web [dot] org",
+    "rosa dot lee at corp dot net", "lee @ host.de", "sam42 (at) web (dot) org", "Bob {at} web.net",
+])
+def test_every_form_of_an_email_is_found_by_itself(field, form):
+    text = f"write to {form} before noon"
+    assert pii_crf.find([text], field)[0][1] == [("email", 9, 9 + len(form))]
+
+
+def test_a_dotted_name_after_at_is_no_email_by_itself(field):
+    texts = ["we met at Amazon.com today", "See it at www.example.com now", "they looked at home. Then left", "prices at e.g. the shop"]
+    assert all(not every for _, every in pii_crf.find(texts, field))
+
+
 def test_added_spans_stay_clear_of_base_spans():
     spans = [("ip", 3, 9), ("phone", 5, 20), ("card", 6, 8), ("email", 30, 35)]
     stretches = pii_crf._joined(spans)
