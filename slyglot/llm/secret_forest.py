@@ -1,6 +1,7 @@
 """Secrets in text: candidate strings, and a random forest that removes false positives.
 
-A candidate is a run of 16 or more key characters, whole, wherever it stands. Its features
+A candidate is a run of 16 or more key characters, whole, wherever it stands, or any value
+of four characters or more, quoted or not, after a hint word and '=' or ':'. Its features
 are its length, the make-up and the transitions of its characters (class changes, and the
 log-probability of its letter pairs in ordinary words), how much of it dictionary words
 cover, the words before and after it, and the path it comes from. A forest trained from a
@@ -14,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,12 +33,15 @@ CANDIDATE = re.compile(rf"(?<![{KEY_CHARACTERS}])[{KEY_CHARACTERS}]{{16,}}+")
 #: Part of a candidate before an equals sign that names what follows.
 NAMED = re.compile(r"^([A-Za-z_.\-]{2,40})=(?=[^=])")
 WORD = re.compile(r"[^\W\d_]+")
+SEPARATOR = re.compile(r"[=:]>?[ \t]*+")
+VALUE = re.compile(r"\"([^\"\n]{4,})\"|'([^'\n]{4,})'|`([^`\n]{4,})`|([^\s\"'`,;<>=:][^\s\"'`,;<>]{3,})")
 REACH = 60
 TREES, DEPTH, THRESHOLD = 40, 8, 0.5
 #: Labelled rows used at most; the table is meant to be small.
 LABELLED = 50_000
 DICTIONARY = 5_000
 HINTS = {"password", "passwd", "pwd", "secret", "token", "key", "apikey", "api", "auth", "bearer", "credential", "credentials", "private", "access", "aws", "pass"}
+HINTED = re.compile(rf"(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))(?i:{'|'.join(sorted(HINTS))})[\"'`\]]*[ \t]*$")
 HARMLESS = {"sha", "hash", "checksum", "commit", "digest", "md5", "uuid", "id", "example", "sample", "placeholder", "version", "see", "http", "https", "image", "data", "etag", "integrity"}
 FIXTURES = {"test", "tests", "docs", "doc", "example", "examples", "fixture", "fixtures", "sample", "samples", "lock", "vendor"}
 FEATURES = (
@@ -80,6 +85,20 @@ def _class(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """Candidates of a text: runs of key characters, and named values that are in no such run."""
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    starts = [a for a, _ in runs]
+    named = set()
+    for m in SEPARATOR.finditer(text):
+        if HINTED.search(text, max(0, m.start() - REACH), m.start()) and (value := VALUE.match(text, m.end())):
+            start, end = value.span(value.lastindex)
+            at = bisect_right(starts, start) - 1
+            if at < 0 or runs[at][1] < end:
+                named.add((start, end))
+    return sorted([*runs, *named])
+
+
 def measure(found: str, before: str, after: str, path: str, words: Words) -> list[float]:
     """The features of one candidate with its neighbouring text and its path."""
     name = NAMED.match(found)
@@ -91,11 +110,11 @@ def measure(found: str, before: str, after: str, path: str, words: Words) -> lis
     near = [w.lower() for w in WORD.findall(before)][-4:]
     later = [w.lower() for w in WORD.findall(after)][:2]
     named = {w.lower() for w in WORD.findall(name.group(1))} if name else set()
-    covered, longest = words.covered(body[:512])
+    covered, longest = words.covered(body)
     prefix = re.match(r"[A-Z]{3,5}(?=[A-Z0-9])", body)
     return [float(x) for x in (
         min(n, 512), kinds.count(1) / n, kinds.count(0) / n, kinds.count(2) / n, kinds.count(3) / n, len(set(kinds)),
-        sum(a != b for a, b in zip(kinds, kinds[1:])) / n, -sum(c / n * math.log2(c / n) for c in counts.values()), words.pair_score(body[:512]),
+        sum(a != b for a, b in zip(kinds, kinds[1:])) / n, -sum(c / n * math.log2(c / n) for c in counts.values()), words.pair_score(body),
         all(c in "0123456789abcdef" for c in body.lower()), covered, longest,
         any(w in HINTS for w in near), any(w in HARMLESS for w in near), any(w in HINTS for w in named), any(w in HINTS for w in later),
         before[-1:] in ('"', "'", "`"), bool(name) or bool(re.search(r"[=:]\s*[\"'`]?$", before)),
@@ -141,8 +160,39 @@ def examples(count: int = 1200, seed: int = 4) -> list[tuple[str, str, str, str,
     return rows
 
 
+def named_examples(count: int = 600, seed: int = 5) -> list[tuple[str, str, str, str, int]]:
+    """Labelled values after a hint word, like `examples`: short secrets, and words, marks and references."""
+    random = np.random.default_rng(seed)
+    pick = lambda options: options[int(random.integers(len(options)))]
+    some = lambda letters, n: "".join(letters[int(i)] for i in random.integers(0, len(letters), n))
+    lower, digits, marks = "abcdefghijklmnopqrstuvwxyz", "0123456789", "!@#$%&*?"
+    every = lower + lower.upper() + digits
+    parts = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve".split()
+    word = lambda a=2, b=5: "".join(pick(parts) for _ in range(int(random.integers(a, b))))
+    leet = str.maketrans("oeias", "03145")
+    secret = [
+        lambda: word(3, 5).translate(leet).capitalize() + some(digits, 1), lambda: word() + some(digits, int(random.integers(1, 5))) + pick(["", "x", "!", "#"]),
+        lambda: some(every, int(random.integers(8, 16))), lambda: some(every + marks, int(random.integers(8, 24))), lambda: some("0123456789abcdef", 12),
+        lambda: word().capitalize() + pick(marks) + some(digits, 2) + word() + pick(marks),
+    ]
+    harmless = [
+        word, lambda: word(3, 6).capitalize(), lambda: " ".join(word() for _ in range(3)), lambda: pick(["required", "string", "value", "changeme", "true", "false", "none", "null", "optional", "hidden"]),
+        lambda: pick("*x.-_") * int(random.integers(4, 16)), lambda: "${" + word().upper() + "_" + word().upper() + "}", lambda: word() + "." + word() + "." + word(), lambda: word() + "_" + word(),
+        lambda: word() + "()", lambda: str(random.integers(1900, 2030)), lambda: "your-" + word(), lambda: word() + ".",
+    ]
+    names = ["password", "pwd", "passwd", "secret", "token", "api_key", "key", "auth", "access", "pass"]
+    rows = []
+    for i in range(count):
+        label = int(i % 2)
+        found = pick(secret if label else harmless)()
+        quote = pick(['"', "'", ""])
+        before = " ".join(word() for _ in range(3)) + " " + pick(names) + pick([" = ", "=", ": "]) + quote
+        rows.append((found, before, quote + " " + " ".join(word() for _ in range(2)), pick(["src1", "src/main.py", "web/page", "etc/app.conf"]), label))
+    return rows
+
+
 def labelled_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(examples(), "found string, before string, after string, path string, label int")
+    return spark.createDataFrame(examples() + named_examples(), "found string, before string, after string, path string, label int")
 
 
 def learn(labelled: DataFrame, seed: int = 8) -> tuple[RandomForestClassificationModel, Words]:
@@ -174,10 +224,10 @@ def candidates(docs: DataFrame, words: Words, path_column: str | None = "source"
             rows: dict[str, list] = {"doc_id": [], "start": [], "end": [], "found_sha256": [], "x": []}
             for doc_id, text, where in zip(*(batch.column(i) for i in range(3))):
                 whole = text.as_py()
-                for m in CANDIDATE.finditer(whole):
-                    start, end = m.span()
-                    x = measure(m.group(), whole[max(0, start - REACH):start], whole[end:end + REACH], where.as_py(), words)
-                    digest = hashlib.sha256(m.group().encode()).hexdigest()
+                for start, end in spans(whole):
+                    found = whole[start:end]
+                    x = measure(found, whole[max(0, start - REACH):start], whole[end:end + REACH], where.as_py(), words)
+                    digest = hashlib.sha256(found.encode()).hexdigest()
                     for name, value in zip(rows, (doc_id.as_py(), start, end, digest, x)):
                         rows[name].append(value)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64()))

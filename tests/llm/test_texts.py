@@ -118,6 +118,20 @@ def test_secrets_on_held_out_findings(spark):
     assert [(r.start, r.end) for r in exact] == [(6, 26)]
 
 
+def test_short_and_marked_secrets_after_a_hint_word(spark):
+    forest, words = secret_forest.learn(secret_forest.labelled_table(spark))
+    secrets = ["Tr0ub4dor", "hunter2x", "a8Kd93LmQ2zX", "pa$Sw0rd!9#Lk@41xQz"]
+    texts = [f'then set password = "{secrets[0]}" here', f"pwd: {secrets[1]} here", f"accessToken='{secrets[2]}' here", f'"password": "{secrets[3]}" here']
+    plain = ["the password: required here", "key: value", "a token = string", 'password = "********"', "monkey: Tr0ub4dor", "password: ${DB_PASSWORD}"]
+    found = secret_forest.scan(documents(spark, texts + plain), forest, words).collect()
+    assert sorted((r.doc_id, (texts + plain)[r.doc_id][r.start:r.end]) for r in found) == list(enumerate(secrets))
+    held = secret_forest.named_examples(300, seed=78)
+    found = {r.doc_id for r in secret_forest.scan(documents(spark, [f"{b}{f}{a}" for f, b, a, _, _ in held]), forest, words).collect()}
+    assert sum((i in found) == bool(row[4]) for i, row in enumerate(held)) >= 0.9 * len(held)
+    tail = "9fQ" * 20
+    assert secret_forest.measure("a" * 600 + tail, "", "", "", words)[8] != secret_forest.measure("a" * 600 + "e" * 60, "", "", "", words)[8]
+
+
 def test_additive_model_learns_single_effects_and_an_interaction():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(6000, len(quality_gam.FEATURES)))
