@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 from slyglot.session import ship_package
 
-from . import decontaminate, html_wrapper, hyper_lang, kmeans_tree, pii_crf, piece_bpe, quality_gam, secret_forest, simhash_cover, url_markov
+from . import (
+    byte_bpe,
+    cell_codes,
+    decontaminate,
+    html_wrapper,
+    hyper_lang,
+    kmeans_tree,
+    pii_crf,
+    piece_bpe,
+    quality_gam,
+    secret_forest,
+    simhash_cover,
+    turn_repair,
+    url_markov,
+)
 from .shared import table
 
 
@@ -64,6 +78,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyper_lang.identify(docs, *hyper_lang.prototypes(docs))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cell_codes.encode(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def byte_ranks() -> tuple[str, str]:
+    """Rank file and word pattern of the byte-level tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode(table(spark, sf_dir, "documents"), *byte_ranks(), digest_only=True)
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -85,5 +118,8 @@ QUERIES = {
         op8_html_extraction,
         op9_nearest_neighbours,
         op10_language_id,
+        op11_conversation_repair,
+        op12_vector_codes,
+        op13_byte_bpe,
     )
 }

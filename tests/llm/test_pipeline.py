@@ -12,9 +12,9 @@ from .helpers import awkward, empty
 
 def test_one_query_for_each_operator():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
-    assert "pipeline" in names and len(QUERIES) == 10 and len(corpus_pipeline.STAGES) == 5
+    assert "pipeline" in names and len(QUERIES) == 13 and len(corpus_pipeline.STAGES) == 5
 
 
 def test_pipeline_equals_its_operators_applied_in_turn(spark, sf_dir):
