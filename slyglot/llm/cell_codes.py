@@ -142,7 +142,7 @@ def learn(kept: DataFrame, width: int, rounds: int = ROUNDS) -> list[np.ndarray]
             .groupBy("part", "entry", "place").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
         )
         books = [book.copy() for book in books]
-        for row in summed.toLocalIterator():  # one row for each number of the codebooks
+        for row in summed.collect():  # one row for each number of the codebooks
             books[row.part][row.entry, row.place] = row.total // row.n
     return books
 
