@@ -168,19 +168,46 @@ def _long_form(row: DataFrame, section: Column, names) -> DataFrame:
     return row.select(F.inline(F.array(*(_figure(section, n, F.col(n)) for n in names))))
 
 
-def report(rows: DataFrame, times: DataFrame | None = None, seconds: str = "seconds") -> DataFrame:
-    """Balance, general, per-label, latency and error figures in long form.
+REPORTED = [GENERAL_LABEL, *SPECIFIC_LABELS]
+TIMES = ("n", "sum", "max", "min")
 
-    ``rows`` carries ``expected``, ``predicted`` and ``error``. All figures over it
-    come from one aggregate; ``times`` is the table of measured times, if there is one.
+
+def summary(rows: DataFrame, *by: Column) -> DataFrame:
+    """Everything a report needs of ``rows``, as one row of counts (for each value of ``by``).
+
+    Counts of parts add up to those of the whole, see ``merged``.
     """
-    labels = [GENERAL_LABEL, *SPECIFIC_LABELS]
     balance = _balance()
-    summary = rows.agg(
+    return rows.groupBy(*by).agg(
         *(balance[n].alias(n) for n in ("total", "positives", "negatives")),
         F.count_if(F.col("error") | is_unlabelled()).alias("errors"),
-        *_cell_aggregates(labels),
+        *_cell_aggregates(REPORTED),
     )
+
+
+def time_summary(rows: DataFrame, seconds: str, *by: Column) -> DataFrame:
+    """Measured times as one row ``(n, sum, max, min)`` (for each value of ``by``)."""
+    return rows.groupBy(*by).agg(
+        F.count(seconds).alias("n"), F.sum(seconds).alias("sum"), F.max(seconds).alias("max"), F.min(seconds).alias("min")
+    )
+
+
+def merged(summaries: DataFrame) -> DataFrame:
+    """One summary of any number of parts; parts are summaries of different rows."""
+    counts = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("total", "positives", "negatives", "errors")]
+    cells = [
+        F.struct(*(F.coalesce(F.sum(f"l{i}.{n}"), F.lit(0)).alias(n) for n in CELLS)).alias(f"l{i}")
+        for i in range(len(REPORTED))
+    ]
+    return summaries.agg(*counts, *cells)
+
+
+def merged_times(summaries: DataFrame) -> DataFrame:
+    return summaries.agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"), F.max("max").alias("max"), F.min("min").alias("min"))
+
+
+def figures(counted: DataFrame, timed: DataFrame | None = None) -> DataFrame:
+    """E11 from one summary: balance, general, per-label, error and latency figures in long form."""
     plain = [("balance", n, F.col(n)) for n in ("total", "positives", "negatives")]
     plain += [
         ("errors", "errors", F.col("errors")),
@@ -193,11 +220,18 @@ def report(rows: DataFrame, times: DataFrame | None = None, seconds: str = "seco
         return F.array(*(_figure(row["label"], n, value) for n, value in figures.items()))
 
     totals = F.array(*(_figure(F.lit(section), n, value) for section, n, value in plain))
-    per_label = F.flatten(F.transform(_cell_array(labels), of_label))
-    figures = summary.select(F.inline(F.concat(totals, per_label)))
-    if times is None:
-        return figures
-    latency = latency_summary(times, seconds)
-    return figures.union(
-        _long_form(latency, F.lit("latency"), latency.columns)
-    )
+    per_label = F.flatten(F.transform(_cell_array(REPORTED), of_label))
+    found = counted.select(F.inline(F.concat(totals, per_label)))
+    if timed is None:
+        return found
+    latency = timed.select(F.try_divide("sum", "n").alias("avg_time"), F.col("max").alias("max_time"), F.col("min").alias("min_time"))
+    return found.union(_long_form(latency, F.lit("latency"), latency.columns))
+
+
+def report(rows: DataFrame, times: DataFrame | None = None, seconds: str = "seconds") -> DataFrame:
+    """Balance, general, per-label, latency and error figures in long form.
+
+    ``rows`` carries ``expected``, ``predicted`` and ``error``. All figures over it
+    come from one aggregate; ``times`` is the table of measured times, if there is one.
+    """
+    return figures(summary(rows), None if times is None else time_summary(times, seconds))

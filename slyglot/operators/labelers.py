@@ -54,12 +54,13 @@ def evasion_labels(charsub: Column, homophone: Column, spoonerism: Column) -> Co
 
 
 def with_evasion_flags(
-    posts: DataFrame, lex: Lexicons | None = None, phonetic: bool = True, text: str = "text", key=skeleton_key
+    posts: DataFrame, lex: Lexicons | None = None, phonetic: bool = True, text: str = "text", key=skeleton_key, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Add boolean columns ``charsub``, ``homophone`` and ``spoonerism``.
 
     With ``phonetic`` off, homophones come from the dictionary only. ``key`` gives the
     codes of a word from built-in expressions, so the whole plan stays in the JVM.
+    Of the columns worked with, those in ``keep`` stay.
     """
     lex = lex or Lexicons()
     raw, score = F.col("raw_words"), F.col("raw_score")
@@ -69,7 +70,7 @@ def with_evasion_flags(
         "spoonerism": D.spoonerism(raw, score, lex),
     }
     out = with_norm_words(with_raw_words(posts, lex, text), lex, text)
-    return T.once(out, **flags).drop(*WORK_COLUMNS)
+    return T.once(out, **flags).drop(*(c for c in WORK_COLUMNS if c not in keep))
 
 
 def label_evasion(

@@ -217,6 +217,29 @@ PARTS = {
 
 PARTS["lexical_labeled"] = PARTS["labeled"].replace("FROM flags", "FROM lexical_flags")
 PARTS["known_cells"] = PARTS["cells"].replace("USING (post_id)", "USING (post_id) WHERE post_id % 10 <> 0")
+PARTS["late_cells"] = PARTS["cells"].replace("USING (post_id)", "USING (post_id) WHERE post_id * 7919 % 240 <= 180")
+PARTS["late_metrics"] = PARTS["metrics"].replace("FROM cells", "FROM late_cells")
+PARTS["signals"] = """SELECT post_id, t_any AS truth, charsub, homophone, spoonerism, score >= 2 AS context,
+ post_id IN (SELECT post_id FROM ts_word_ids) AS ts_word FROM truth JOIN flags USING (post_id) JOIN raw_score USING (post_id)"""
+PARTS["signal_weights"] = "SELECT " + ", ".join(
+    f"""CAST(round(1000 * ln(((count(*) FILTER ({s} AND truth) + 1)::DOUBLE / (count(*) FILTER (truth) + 2))
+ / ((count(*) FILTER ({s} AND NOT truth) + 1)::DOUBLE / (count(*) FILTER (NOT truth) + 2)))) AS BIGINT) AS w_{s}"""
+    for s in ("charsub", "homophone", "spoonerism", "context", "ts_word")
+) + " FROM signals"
+PARTS["post_scores"] = "SELECT post_id, truth, " + " + ".join(
+    f"CASE WHEN {s} THEN w_{s} ELSE 0 END" for s in ("charsub", "homophone", "spoonerism", "context", "ts_word")
+) + " AS s, " + " + ".join(f"least(w_{s}, 0)" for s in ("charsub", "homophone", "spoonerism", "context", "ts_word")) + " AS low, " + " + ".join(
+    f"greatest(w_{s}, 0)" for s in ("charsub", "homophone", "spoonerism", "context", "ts_word")
+) + " AS high FROM signals, signal_weights"
+PARTS["curve"] = """SELECT threshold, tp, fp, total - tp AS fn, tp::DOUBLE / nullif(tp + fp, 0) AS precision,
+ tp::DOUBLE / nullif(total, 0) AS recall FROM (SELECT threshold, sum(yes) OVER (ORDER BY threshold DESC) AS tp,
+  sum(no) OVER (ORDER BY threshold DESC) AS fp, sum(yes) OVER () AS total FROM
+  (SELECT threshold, count(*) FILTER (truth) AS yes, count(*) FILTER (NOT truth) AS no FROM
+   (SELECT truth, low + ((s - low) // width) * width AS threshold FROM
+    (SELECT *, greatest(1, (high - low + 10000) // 10000) AS width FROM post_scores)) GROUP BY threshold))"""
+PARTS["activity"] = "SELECT ts, json_extract_string(props, '$.k') AS target, user_id AS author FROM events"
+PARTS["sliding"] = """SELECT target, date_trunc('hour', ts) - to_hours(i) AS start, count(*) AS n_posts,
+ count(DISTINCT author) AS n_authors FROM activity, range(6) r(i) WHERE target IS NOT NULL AND ts IS NOT NULL GROUP BY ALL"""
 PARTS["known_metrics"] = PARTS["metrics"].replace("FROM cells", "FROM known_cells")
 
 # The same parts over the documents as they are.
@@ -456,4 +479,38 @@ ORACLES = {
  WHERE post_id NOT IN (SELECT doc_id FROM labels)
  UNION ALL SELECT url, '[]' FROM first_neutral
  WHERE post_id NOT IN (SELECT doc_id FROM labels) AND url NOT IN (SELECT url FROM first_hits)"""),
+    "dogpile_windows": sql("""SELECT target, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, n_posts, n_authors,
+ true AS sketch_close FROM sliding"""),
+    "dogpile_episodes": sql("""SELECT target, strftime(min(start), '%Y-%m-%d %H:%M:%S') AS begin,
+ strftime(max(start) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S') AS end, count(*) AS n_windows,
+ max(n_posts) AS peak_posts, max(n_authors) AS peak_authors FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY target ORDER BY start) AS run FROM (
+   SELECT *, CASE WHEN lag(start) OVER (PARTITION BY target ORDER BY start) + INTERVAL 6 HOUR >= start THEN 0 ELSE 1 END AS fresh
+   FROM sliding WHERE n_posts >= 4 AND n_authors >= 3)) GROUP BY target, run"""),
+    "trust_scores": """WITH h AS (SELECT user_id AS author, epoch(ts) AS sec, (event_type = 'error')::INT AS bad FROM events
+  WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+ lived AS (SELECT *, sum(fresh) OVER (PARTITION BY author ORDER BY sec) AS life FROM (SELECT *, CASE WHEN
+  sec - lag(sec) OVER (PARTITION BY author ORDER BY sec) > 129600 THEN 1 ELSE 0 END AS fresh FROM h)),
+ last_life AS (SELECT *, max(sec) OVER (PARTITION BY author) AS last FROM lived
+  QUALIFY life = max(life) OVER (PARTITION BY author)),
+ summed AS (SELECT author, count(*) AS n_posts, last, sum(bad * pow(0.5, (last - sec) / 86400.0)) AS harm,
+  sum(pow(0.5, (last - sec) / 86400.0)) AS exposure FROM last_life GROUP BY author, last)
+ SELECT author, n_posts, round((1 + exposure - harm) / (2 + exposure), 6) AS trust,
+  (SELECT max(sec) FROM h) - last > 129600 AS expired FROM summed""",
+    "ensemble_curve": sql("""SELECT threshold, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall FROM curve"""),
+    "ensemble_threshold": sql("""SELECT target, arg_min(threshold, threshold) FILTER (precision >= target) AS threshold,
+ round(arg_min(precision, threshold) FILTER (precision >= target), 6) AS precision,
+ round(arg_min(recall, threshold) FILTER (precision >= target), 6) AS recall
+ FROM curve, (SELECT unnest([0.8::DOUBLE, 0.85::DOUBLE, 0.9::DOUBLE, 0.95::DOUBLE]) AS target) GROUP BY target"""),
+    "eval_late_truth": sql("""SELECT section, metric, round(value, 6) AS value FROM (
+ SELECT 'balance' AS section, 'total' AS metric, count(*)::DOUBLE AS value FROM truth
+ UNION ALL SELECT 'balance', 'positives', count(*) FILTER (t_any AND post_id * 7919 % 240 <= 180) FROM truth
+ UNION ALL SELECT 'balance', 'negatives', count(*) FILTER (NOT t_any AND post_id * 7919 % 240 <= 180) FROM truth
+ UNION ALL SELECT 'errors', 'errors', count(*) FILTER (text IS NULL OR post_id * 7919 % 240 > 180) FROM posts
+ UNION ALL SELECT 'errors', 'rate', count(*) FILTER (text IS NULL OR post_id * 7919 % 240 > 180)::DOUBLE / count(*) FROM posts
+ UNION ALL SELECT label, unnest(['tp', 'fp', 'tn', 'fn', 'accuracy', 'precision', 'recall', 'f1']),
+  unnest([tp, fp, tn, fn, accuracy, precision, recall, f1]) FROM late_metrics
+ UNION ALL SELECT 'latency', 'avg_time', avg(value) FROM events
+ UNION ALL SELECT 'latency', 'max_time', max(value) FROM events
+ UNION ALL SELECT 'latency', 'min_time', min(value) FROM events)"""),
 }

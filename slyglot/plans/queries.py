@@ -12,12 +12,13 @@ from slyglot.functions import text as T
 from slyglot.functions.hashes import hash_hex
 from slyglot.functions.phonetic import skeleton_key
 from slyglot.lexicons import MIN_CONTEXT, Lexicons
-from slyglot.operators import collect, detect, evaluate, events, hashmatch, lexicon_join
+from slyglot.operators import collect, detect, ensemble, evaluate, events, hashmatch, lexicon_join, trust
 from slyglot.operators import labelers as L
 from slyglot.operators import lexicon_prep as prep
 from slyglot.plans import corpus
 from slyglot.session import scratch_path, ship_package
 from slyglot.sources import lexicon_files, posts as post_sources
+from slyglot.streaming import dogpile, late_truth
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -767,3 +768,86 @@ def collect_corpus(spark, d):
     existing = posts.select("post_id", "url").join(known, "post_id", "left_semi")
     fresh = collect.collect_corpus(posts, collect.neutral_queries(), existing)
     return fresh.select("url", T.labels_to_json(F.col("labels")).alias("labels"))
+
+
+# -- windows, trust, ensemble and late truth ----------------------------------
+
+
+def timed(name: str) -> Column:
+    """A time as text, the same whatever the session's time zone."""
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name.split(".")[-1])
+
+
+def activity(spark, d) -> DataFrame:
+    """Events as posts by users on targets."""
+    target = F.get_json_object("props", "$.k")
+    return corpus.table(spark, d, "events").select("ts", target.alias("target"), F.col("user_id").alias("author"))
+
+
+@query
+def dogpile_windows(spark, d):
+    """Exact counts of every window, and whether the sketch that streams use is close to them."""
+    posts, size, slide = activity(spark, d), "6 hours", "1 hour"
+    sketched = dogpile.sketched_windows(posts, size, slide).select("target", F.col("window.start").alias("start"), "approx_authors")
+    exact = dogpile.exact_windows(posts, size, slide).select("target", "window.start", "n_posts", "n_authors")
+    close = F.abs(F.col("approx_authors") - F.col("n_authors")) <= 1 + 0.1 * F.col("n_authors")
+    return exact.join(sketched, ["target", "start"]).select("target", timed("start"), "n_posts", "n_authors", close.alias("sketch_close"))
+
+
+@query
+def dogpile_episodes(spark, d):
+    windows = dogpile.exact_windows(activity(spark, d), "6 hours", "1 hour")
+    found = dogpile.episodes(dogpile.dogpiles(windows, 4, 3))
+    return found.select("target", timed("begin"), timed("end"), "n_windows", "peak_posts", "peak_authors")
+
+
+@query
+def trust_scores(spark, d):
+    bad = F.col("event_type") == "error"
+    history = corpus.table(spark, d, "events").select(F.col("user_id").alias("author"), "ts", bad.alias("severity"))
+    return trust.trust_scores(history).select("author", "n_posts", F.round("trust", 6).alias("trust"), "expired")
+
+
+SIGNALS = ("charsub", "homophone", "spoonerism", "context", "ts_word")
+
+
+def signals(spark, d) -> DataFrame:
+    """``(post_id, truth)`` and a boolean for each detector; texts are read once and the rows kept."""
+    posts = L.with_lowered(corpus.posts(spark, d).select("post_id", "text", "expected"))
+    flagged = L.with_evasion_flags(posts, LEX, keep=("raw_score",))
+    found = flagged.select(
+        "post_id", evaluate.general_truth(F.col("expected")).alias("truth"), "charsub", "homophone", "spoonerism",
+        detect.context_gate(F.col("raw_score")).alias("context"), detect.contains_any(F.col("lowered"), LEX.ts_words).alias("ts_word"),
+    )
+    return lexicon_join.settled(found, "signals")
+
+
+@query
+def ensemble_curve(spark, d):
+    rows = signals(spark, d)
+    curve = ensemble.precision_recall(rows, ensemble.learned_weights(rows, SIGNALS))
+    return rounded(curve, "precision", "recall")
+
+
+@query
+def ensemble_threshold(spark, d):
+    rows = signals(spark, d)
+    curve = ensemble.precision_recall(rows, ensemble.learned_weights(rows, SIGNALS))
+    return rounded(ensemble.chosen_thresholds(curve), "precision", "recall")
+
+
+def predictions_and_truth(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Predictions a minute apart, and truth that comes up to four hours later."""
+    at = F.timestamp_seconds(1_704_067_200 + F.col("post_id") * 60)
+    made = predictions(spark, d).select("post_id", "predicted", "error", at.alias("predicted_at"))
+    late = F.timestamp_seconds(1_704_067_200 + (F.col("post_id") + F.col("post_id") * 7919 % 240) * 60)
+    return made, corpus.post_records(spark, d).select("post_id", "expected", late.alias("known_at"))
+
+
+@query
+def eval_late_truth(spark, d):
+    """The report from summaries of eight parts; truth later than the wait is missing."""
+    rows = late_truth.with_truth(*predictions_and_truth(spark, d))
+    parts = evaluate.summary(rows, F.pmod("post_id", F.lit(8)).alias("part")).drop("part")
+    times = evaluate.time_summary(corpus.table(spark, d, "events"), "value", F.col("event_type")).drop("event_type")
+    return rounded(evaluate.figures(evaluate.merged(parts), evaluate.merged_times(times)), "value")
