@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from slyglot.session import scratch_path
 
-from .shared import checkpointed, named, whole_text
+from .shared import checkpointed, row_keys, whole_text
 
 SHINGLE = 5
 SHARE = 0.8
@@ -131,12 +131,14 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE)
 def decontaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """The rows of `docs` that contain no item at `share` or more.
 
-    Rows without an id are told apart by a hash of their text.
+    Rows are told apart by id and text together: of several texts under one id, only those
+    that contain an item go. NULL and wordless texts stay, very long texts are read whole,
+    and an empty table on either side drops nothing.
     """
-    key = named(docs["doc_id"], docs["text"])
-    hit = contained_items(docs.select(key.alias("doc_id"), docs["text"]), benchmark, share).select(F.col("doc_id").alias("hit_id")).distinct()
+    k1, k2 = row_keys(docs)
+    hits = contained_items(docs.select(F.struct(k1.alias("k1"), k2.alias("k2")).alias("doc_id"), docs["text"]), benchmark, share)
     # A written list has a size before the join is planned, so texts are shuffled only beside a long one.
     path = scratch_path(docs.sparkSession, "contaminated")
-    hit.write.parquet(path)
+    hits.select(F.col("doc_id.k1").alias("hit1"), F.col("doc_id.k2").alias("hit2")).distinct().write.parquet(path)
     hit = docs.sparkSession.read.parquet(path)
-    return docs.join(hit, key == hit["hit_id"], "left_anti")
+    return docs.join(hit, (k1 == hit["hit1"]) & (k2 == hit["hit2"]), "left_anti")

@@ -32,10 +32,9 @@ def whole_text(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def named(doc_id: Column, text: Column) -> Column:
-    """The id as a long; for a NULL id a hash of the text, from 2^62 up, above all usual ids."""
-    stand_in = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    return F.coalesce(doc_id.cast("long"), stand_in)
+def row_keys(docs: DataFrame) -> list[Column]:
+    """Two hashes of id and text that tell the rows of `docs` apart, whatever ids repeat."""
+    return [F.xxhash64(F.lit(seed), docs["doc_id"].isNull(), docs["doc_id"], docs["text"].isNull(), docs["text"]) for seed in (3, 4)]
 
 
 def fold(doc_id: Column, folds: int) -> Column:

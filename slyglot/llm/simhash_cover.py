@@ -21,13 +21,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slyglot.session import scratch_path
 
 from .components import components
-from .shared import checkpointed, named, whole_text
+from .shared import checkpointed, row_keys, whole_text
 
 BITS = 64
 SHINGLE = 4
@@ -68,16 +68,19 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long, for every row of `docs`."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, ids: dict[str, Column] | None = None) -> DataFrame:
+    """The longs `ids` (doc_id, if not given) and fp, the fingerprint as a signed long, for every row of `docs`."""
+    ids = ids or {"doc_id": F.col("doc_id").cast("long")}
+    names = [*ids, "fp"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": found.view(np.int64)})
+            *kept, texts = batch.columns
+            found = np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found.view(np.int64))], names)
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return picked.mapInArrow(hashed, "doc_id long, fp long")
+    picked = docs.select(*(c.alias(name) for name, c in ids.items()), whole_text().alias("text"))
+    return picked.mapInArrow(hashed, ", ".join(f"{name} long" for name in names))
 
 
 def _bucket_links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
@@ -150,6 +153,11 @@ def _hot_links(members: DataFrame, signed: list[int]) -> DataFrame:
     return points.join(first.select("key", "point", "a"), ["key", "point"]).where("a <> fp").select("a", F.col("fp").alias("b"))
 
 
+def component_roots(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(node, root) of every fingerprint that has a link."""
+    return components(links(nodes, radius))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable).
 
@@ -159,7 +167,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """
     prints = checkpointed(fingerprints(docs, shingle))
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(nodes.select("fp"), radius))
+    roots = component_roots(nodes.select("fp"), radius)
     placed = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     ids = placed.join(named, "root").select("fp", "component_id")
@@ -169,18 +177,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of `docs` for each group of near-duplicates: that of the smallest doc_id.
 
-    A row without an id goes by a hash of its text and stays only where its group has no
-    id. Of rows repeated with the same id and text one stays, whichever.
+    Rows are told apart by id and text together, so an id may stand on several texts, and
+    each of them is kept or dropped with its own group. In a group, a row without an id
+    comes after all others, and of rows tied by id the one of the smaller text hash comes
+    first. Of rows repeated with the same id and text one stays, whichever. Very long texts
+    are read whole; an empty table stays empty.
     """
-    key = named(docs["doc_id"], docs["text"])
-    placed = near_duplicates(docs.select(key.alias("doc_id"), docs["text"]), shingle, radius)
-    kept = placed.where("doc_id = component_id").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n"))
+    k1, k2 = row_keys(docs)
+    prints = fingerprints(docs, shingle, {"id": docs["doc_id"].cast("long"), "k1": k1, "k2": k2})
+    rows = checkpointed(prints.groupBy("fp", "id", "k1", "k2").agg(F.count("*").alias("n")))
+    # the first row of each fingerprint, then of each component: both combine before they shuffle
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2", "n")
+    first = rows.groupBy("fp").agg(F.min(order).alias("at"))
+    roots = component_roots(rows.select("fp").distinct(), radius)
+    placed = first.join(roots, F.col("fp") == F.col("node"), "left").select(F.coalesce("root", "fp").alias("root"), "at")
+    kept = placed.groupBy("root").agg(F.min("at").alias("at"))
     path = scratch_path(docs.sparkSession, "kept")
-    kept.write.parquet(path)
+    kept.select(F.col("at.k1").alias("kept1"), F.col("at.k2").alias("kept2"), F.col("at.n").alias("kept_n")).write.parquet(path)
     kept = docs.sparkSession.read.parquet(path)
-    # The ids kept grow with the rows: joined by shuffle at every size.
-    rows = docs.join(kept.where("n = 1").hint("merge"), key == kept["kept_id"], "left_semi")
-    if kept.where("n > 1").isEmpty():
-        return rows
-    again = docs.join(kept.where("n > 1").hint("merge"), key == kept["kept_id"], "left_semi")
-    return rows.unionByName(again.dropDuplicates(["doc_id", "text"]))
+    # The rows kept grow with the table: joined by shuffle at every size.
+    found = lambda some: docs.join(some.hint("merge"), (k1 == some["kept1"]) & (k2 == some["kept2"]), "left_semi")
+    once = found(kept.where("kept_n = 1"))
+    if kept.where("kept_n > 1").isEmpty():
+        return once
+    return once.unionByName(found(kept.where("kept_n > 1")).dropDuplicates(["doc_id", "text"]))

@@ -101,6 +101,19 @@ def test_rows_without_an_id_go_by_their_text(spark):
     assert sorted(r.text for r in clean.collect()) == sorted(t for t in texts if t != item)
 
 
+def test_one_id_on_several_texts(spark):
+    """Each text of an id is kept or dropped with its own group, and a clean one is never lost."""
+    a, b, x = ("a lone text of its own kind", "one two three four five six", "something else that nobody has copied")
+    rows = [(1, a), (5, a), (5, b), (6, b), (7, x), (7, b), (7, x)]
+    frame = spark.createDataFrame([(i, t, 0, "k", 9) for i, t in rows], "doc_id long, text string, kept1 int, hit2 string, k1 int")
+    pairs = lambda found: sorted((r.doc_id, r.text) for r in found.collect())
+    kept = simhash_cover.keep_one(frame)
+    assert pairs(kept) == [(1, a), (5, b), (7, x)] and kept.columns == frame.columns
+    benchmark = spark.createDataFrame([(1, b)], "item_id long, text string")
+    clean = decontaminate.decontaminated(frame, benchmark)
+    assert pairs(clean) == [(1, a), (5, a), (7, x), (7, x)] and clean.columns == frame.columns
+
+
 def words_of(text):
     return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
