@@ -16,6 +16,7 @@ from slyglot.lexicons import (
 )
 from slyglot.operators.lexicon_join import build_side, is_small, substring_hits
 from slyglot.operators.topk import first_per_key, top_k_per_key
+from slyglot.operators.trigram_index import TrigramIndex
 
 NO_LABELS = "array<string>"
 BASE_SAMPLE = 5
@@ -82,6 +83,11 @@ def collect_positive(posts: DataFrame, limit: int = SEARCH_LIMIT, queries: DataF
     return weak_labels(hits, {i: label for i, _, label in queries})
 
 
+def collect_indexed(index: TrigramIndex, queries: DataFrame, limit: int = SEARCH_LIMIT) -> DataFrame:
+    """F1 from a stored index, for ``(pos, term, label)`` rows of any number."""
+    return weak_labels(index.search(queries.select("pos", "term"), limit), queries)
+
+
 def expand_queries(terms: DataFrame, topics: DataFrame, seed: str = "0") -> DataFrame:
     """every base term, then sampled terms each with sampled topics.
 

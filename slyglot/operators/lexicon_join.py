@@ -29,21 +29,21 @@ from slyglot.lexicons import (
     SPOONERISM_LABEL,
     Lexicons,
 )
+from slyglot.operators import anchors
 from slyglot.operators import detect as D
 from slyglot.operators import labelers as L
 from slyglot.operators.lexicon_prep import phonetic_vocabulary
 from slyglot.session import scratch_path
 
-CHUNK = 256
+#: Patterns beyond so many characters are searched apart from the others.
+LONG_PATTERN = 64
 #: A lexicon is broadcast up to so many rows and characters; its keys are a few times as many.
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 4_000_000
 #: Patterns that every text is searched for one by one at most.
 INLINE_PATTERNS = 256
-#: Pattern anchors that are tested within the text scan at most.
+#: Anchors that are tested as a set within the text scan at most; more go into a Bloom filter.
 INLINE_ANCHORS = 10_000
-#: Shortest pattern of each length class; the anchor of a class is as long.
-ANCHORS = (1, 2, 3, 4, 6, 8)
 
 
 def is_small(lexicon: DataFrame) -> bool:
@@ -212,15 +212,23 @@ def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame, key=skeleton_key)
     )
 
 
+def _scanned(texts: DataFrame, keys: list[str], anchored: DataFrame, small: bool) -> DataFrame:
+    """``(keys, pattern)`` of texts that contain a pattern, found through the patterns' anchors."""
+    longest = anchored.agg(F.max(F.length("pattern"))).first()[0]
+    at = anchors.stands(texts, keys, anchors.anchor_filter(anchored, INLINE_ANCHORS), longest)
+    side = build_side(anchored.select("anchor", "pattern"), small)
+    return at.join(side, "anchor").filter(F.contains("around", "pattern")).select(*keys, "pattern")
+
+
 def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] = "post_id") -> DataFrame:
     """D13-D15 at scale: distinct ``(post_id, pattern)`` where the text contains the pattern.
 
-    Patterns fall into length classes, and a class is anchored by as many characters as
-    its shortest pattern may have, so one short pattern does not loosen the others. Texts
-    are cut into pieces that overlap by the longest pattern. A short list of anchors is
-    tested inside the scan, and only positions that fit one are turned into rows; for a
-    longer list every position meets the anchors in the join. A few patterns are simply
-    searched for. The rows are the same.
+    A few patterns are simply searched for in the scan. A longer list is searched through
+    its anchors (see ``anchors``): the rarest q-gram of each pattern, by a sample of the
+    texts. The scan tests all positions against a filter of the anchors, and only those
+    that pass become rows that meet the patterns in a join. Patterns longer than
+    ``LONG_PATTERN`` are searched apart, so that they do not widen what goes with the
+    others. The rows are the same.
     """
     keys = [key] if isinstance(key, str) else key
     patterns = patterns.select("pattern").filter(F.length("pattern") > 0).distinct()
@@ -230,40 +238,12 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] =
         listed = F.array(*(F.lit(p.pattern) for p in few)).cast("array<string>")
         found = F.filter(listed, lambda p: F.contains(F.col("lowered"), p))
         return lowered.select(*keys, F.explode(found).alias("pattern")).distinct()
-    size = F.length("pattern")
-    own = reduce(lambda found, a: F.when(size >= a, F.lit(a)).otherwise(found), ANCHORS, F.lit(ANCHORS[0]))
-    anchored = patterns.withColumn("cls", own).withColumn("anchor", F.expr("substring(pattern, 1, cls)"))
-    classes = anchored.groupBy("cls").agg(F.max(size).alias("longest")).orderBy("cls").collect()  # one row per class
-    longest = max(r.longest for r in classes)
-    anchors = anchored.select("cls", "anchor").distinct().limit(INLINE_ANCHORS + 1).collect()
-    inline = len(anchors) <= INLINE_ANCHORS
-    pieces = F.expr(
-        f"transform(sequence(0, (length(lowered) - 1) DIV {CHUNK}), "
-        f"c -> substring(lowered, c * {CHUNK} + 1, {CHUNK + longest - 1}))"
-    )
-
-    def starts(anchor: int, reach: int) -> Column:
-        """``(cls, ahead)`` at the positions of a piece that may start a pattern of the class."""
-        position = F.sequence(F.lit(1), F.least(F.lit(CHUNK), F.length("piece") - anchor + 1))
-        if inline:
-            wanted = [r.anchor for r in anchors if r.cls == anchor]
-            position = F.filter(position, lambda p: F.substring(F.col("piece"), p, F.lit(anchor)).isin(wanted))
-        ahead = F.transform(position, lambda p: F.struct(
-            F.lit(anchor).alias("cls"), F.substring(F.col("piece"), p, F.lit(reach)).alias("ahead")))
-        return F.when(F.length("piece") >= anchor, ahead)
-
-    found = F.concat(*(
-        F.coalesce(starts(r.cls, r.longest), F.array().cast("array<struct<cls: int, ahead: string>>")) for r in classes
-    ))
-    at = (
-        posts.select(*keys, F.lower("text").alias("lowered"))
-        .filter(F.length("lowered") > 0)
-        .select(*keys, F.explode(pieces).alias("piece"))
-        .select(*keys, F.explode(F.array_distinct(found)).alias("s"))
-        .select(*keys, "s.cls", "s.ahead", F.expr("substring(s.ahead, 1, s.cls)").alias("anchor"))
-    )
-    side = build_side(anchored.select("cls", "anchor", "pattern"), is_small(patterns))
-    return at.join(side, ["cls", "anchor"]).filter(F.startswith("ahead", "pattern")).select(*keys, "pattern").distinct()
+    placed = settled(anchors.anchored(patterns, posts), "anchors")
+    small = is_small(placed.select("pattern"))
+    texts = posts.select(*keys, F.lower("text").alias("lowered")).filter(F.length("lowered") > 0)
+    usual = F.length("pattern") <= LONG_PATTERN
+    groups = [g for g in (placed.filter(usual), placed.filter(~usual)) if not g.isEmpty()]
+    return reduce(DataFrame.union, (_scanned(texts, keys, g, small) for g in groups)).distinct()
 
 
 def cited_labels(posts: DataFrame, entries: DataFrame, key: str = "post_id") -> DataFrame:

@@ -217,6 +217,16 @@ PARTS = {
 
 PARTS["lexical_labeled"] = PARTS["labeled"].replace("FROM flags", "FROM lexical_flags")
 PARTS["known_cells"] = PARTS["cells"].replace("USING (post_id)", "USING (post_id) WHERE post_id % 10 <> 0")
+PARTS["long_list"] = f"""SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD}, 1)) AS word FROM documents)
+  WHERE length(word) >= 10 UNION SELECT lower(p_name) FROM part UNION SELECT lower(text[:200]) FROM benchmark UNION SELECT 'q'"""
+PARTS["cited_list"] = f"""SELECT word, CAST('0x' || md5(word)[:7] AS BIGINT) AS pos, md5(word)[8] AS label FROM
+ (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD}, 1)) AS word FROM documents) WHERE length(word) >= 12)"""
+PARTS["cited_first"] = """SELECT doc_id, label, min(pos) AS pos FROM documents JOIN cited_list
+  ON contains(lower(text), word) GROUP BY doc_id, label"""
+PARTS["cited_labels"] = "SELECT doc_id, string_agg(label, ',' ORDER BY pos, label) AS labels FROM cited_first GROUP BY doc_id"
+PARTS["term_list"] = f"""SELECT word AS term, CAST('0x' || md5(word)[:12] AS BIGINT) AS pos, md5(word)[13] AS label FROM
+ (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD}, 1)) AS word FROM conversations) WHERE length(word) >= 6)"""
+PARTS["many_hits"] = top_hits("term_list")
 PARTS["late_cells"] = PARTS["cells"].replace("USING (post_id)", "USING (post_id) WHERE post_id * 7919 % 240 <= 180")
 PARTS["late_metrics"] = PARTS["metrics"].replace("FROM cells", "FROM late_cells")
 PARTS["signals"] = """SELECT post_id, t_any AS truth, charsub, homophone, spoonerism, score >= 2 AS context,
@@ -513,4 +523,11 @@ ORACLES = {
  UNION ALL SELECT 'latency', 'avg_time', avg(value) FROM events
  UNION ALL SELECT 'latency', 'max_time', max(value) FROM events
  UNION ALL SELECT 'latency', 'min_time', min(value) FROM events)"""),
+    "ts_words_long": sql("""SELECT doc_id AS post_id, count(*) AS n_patterns FROM documents JOIN long_list
+ ON word <> '' AND contains(lower(text), word) GROUP BY doc_id"""),
+    "label_citations_long": sql("""SELECT doc_id AS post_id, coalesce(labels, '') AS labels
+ FROM documents LEFT JOIN cited_labels USING (doc_id)"""),
+    "search_top_k_indexed": sql("SELECT pos, term, post_id, url FROM many_hits"),
+    "collect_positive_indexed": sql("""SELECT url, post_id, pos, 'linguistic-evasion,' || label AS labels FROM
+ (SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos, post_id) AS n FROM many_hits) WHERE n = 1"""),
 }

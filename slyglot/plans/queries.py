@@ -15,6 +15,7 @@ from slyglot.lexicons import MIN_CONTEXT, Lexicons
 from slyglot.operators import collect, detect, ensemble, evaluate, events, hashmatch, lexicon_join, trust
 from slyglot.operators import labelers as L
 from slyglot.operators import lexicon_prep as prep
+from slyglot.operators.trigram_index import TrigramIndex
 from slyglot.plans import corpus
 from slyglot.session import scratch_path, ship_package
 from slyglot.sources import lexicon_files, posts as post_sources
@@ -851,3 +852,59 @@ def eval_late_truth(spark, d):
     parts = evaluate.summary(rows, F.pmod("post_id", F.lit(8)).alias("part")).drop("part")
     times = evaluate.time_summary(corpus.table(spark, d, "events"), "value", F.col("event_type")).drop("event_type")
     return rounded(evaluate.figures(evaluate.merged(parts), evaluate.merged_times(times)), "value")
+
+
+# -- long lists ---------------------------------------------------------------
+
+
+def listed_words(texts: DataFrame, least: int) -> DataFrame:
+    """``(word)``: the distinct words of at least ``least`` letters, as a list of patterns."""
+    words = F.explode(T.long_words(T.words(F.lower("text")), least))
+    return texts.select(words.alias("word")).distinct()
+
+
+@query
+def ts_words_long(spark, d):
+    """Patterns found in each post, of a list of all long words, part names, whole passages and one letter."""
+    docs, items = corpus.documents(spark, d), corpus.table(spark, d, "benchmark")
+    patterns = (
+        listed_words(docs, 10).union(corpus.table(spark, d, "part").select(F.lower("p_name")))
+        .union(items.select(F.lower(F.left("text", F.lit(200))))).union(docs.select(F.lit("q")).limit(1)).toDF("pattern")
+    )
+    hits = lexicon_join.substring_hits(corpus.plain_posts(spark, d), patterns)
+    return hits.groupBy("post_id").agg(F.count("*").alias("n_patterns"))
+
+
+@query
+def label_citations_long(spark, d):
+    """Citation labels from a list of thousands of entries with sixteen labels."""
+    words = listed_words(corpus.documents(spark, d), 12)
+    digest = F.md5("word")
+    entries = words.select(
+        F.conv(F.substring(digest, 1, 7), 16, 10).cast("long").alias("pos"), F.col("word").alias("pattern"), F.substring(digest, 8, 1).alias("label"))
+    labeled = lexicon_join.cited_labels(corpus.plain_posts(spark, d), entries)
+    return labeled.select("post_id", joined("labels").alias("labels"))
+
+
+def searched_terms(spark, d) -> DataFrame:
+    """``(pos, term, label)``: thousands of words of the conversations."""
+    words = listed_words(corpus.table(spark, d, "conversations"), 6)
+    pos = F.conv(F.substring(F.md5("word"), 1, 12), 16, 10).cast("long")
+    return words.select(pos.alias("pos"), F.col("word").alias("term"), F.substring(F.md5("word"), 13, 1).alias("label"))
+
+
+def built_index(spark, d) -> TrigramIndex:
+    index = TrigramIndex(spark, scratch_path(spark, "trigrams"))
+    index.append(corpus.searchable_posts(spark, d), 0)
+    return index
+
+
+@query
+def search_top_k_indexed(spark, d):
+    return built_index(spark, d).search(searched_terms(spark, d).select("pos", "term"), 25)
+
+
+@query
+def collect_positive_indexed(spark, d):
+    hits = collect.collect_indexed(built_index(spark, d), searched_terms(spark, d), 25)
+    return collect.first_wins(hits).select("url", "post_id", "pos", joined("labels").alias("labels"))
