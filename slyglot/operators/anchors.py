@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 GRAMS = (1, 2, 3, 4, 6, 8, 12, 16)
 HALVES = {2: (1, 1), 3: (2, 1), 4: (2, 2), 6: (4, 2), 8: (4, 4), 12: (8, 4), 16: (8, 8)}
 #: Texts in which q-grams are counted.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 1000
 #: Bits of the filter for each anchor, and its words of 64 bits at most (4 MB).
 BITS_PER_ANCHOR = 16
 MOST_WORDS = 1 << 19
@@ -87,7 +87,8 @@ def anchored(patterns: DataFrame, texts: DataFrame) -> DataFrame:
     grams = patterns.select("pattern", q.alias("q")).select("pattern", "q", F.explode(F.array_distinct(cut)).alias("gram"))
     sample = texts.select(F.lower("text").alias("text")).limit(SAMPLE_ROWS)
     starts = sample.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{GRAMS[-1]}}}))"), 1))).alias("start"))
-    prefixes = F.array(*(F.when(F.length("start") >= size, F.left("start", F.lit(size))) for size in GRAMS))
+    sizes = [r.q for r in patterns.select(q.alias("q")).distinct().collect()]  # at most one for each length of GRAMS
+    prefixes = F.array(*(F.when(F.length("start") >= size, F.left("start", F.lit(size))) for size in sizes))
     counts = starts.select(F.explode(F.array_compact(prefixes)).alias("gram")).groupBy("gram").agg(F.count("*").alias("seen"))
     # of grams never seen, a hashed one: patterns that share words then rarely share an anchor
     order = F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), F.xxhash64("pattern", "gram").alias("h"))

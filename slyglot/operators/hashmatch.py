@@ -1,23 +1,42 @@
 """Image-hash matching D16-D17: the exact nearest reference, for any number of references.
 
-References are packed into blocks of a fixed size, one array per block. Every distinct
-image hash meets every block once and takes the least distance to it, so rows grow with
-images times blocks and never with pairs. Blocks are broadcast while there are few of
-them; beyond that the same rows come from a join by block number.
+A few references are packed into blocks, one array per block. Every distinct image hash
+meets every block once and takes the least distance to it, so rows grow with images times
+blocks and never with pairs. Blocks are broadcast while there are few of them; beyond that
+the same rows come from a join by block number.
+
+A longer list is searched by multi-index hashing. A hash is cut into four parts of 16
+bits. Two hashes that differ in at most ``4 s + 3`` bits have a part in which they differ in
+at most ``s``. So in round ``s`` the values of each part are varied in exactly ``s`` bits, the
+variants that some reference has in that part are kept, and images are compared with
+those references only. An image whose least distance so far is at most ``4 s + 4`` is done:
+nothing nearer can be left. There are never more than 65,536 values of a part to vary,
+however many images there are. When trying all variants would take more than comparing
+with every reference, the images that are left meet the blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slyglot.functions.hashes import BITS, hamming
 from slyglot.lexicons import IMAGE_THRESHOLD
+from slyglot.operators.lexicon_join import settled
 
 MAX_BITS = max(n for n in range(BITS + 1) if n / BITS <= IMAGE_THRESHOLD)
 BLOCK = 1024
+#: Blocks of references that are compared whole at most.
+FEW_BLOCKS = 4
+#: How many comparisons a try of one variant is worth.
+TRY = 4
 #: Blocks that are broadcast at most: 8 MB of hashes.
 BROADCAST_BLOCKS = 1024
+#: Parts of a hash, and bits of each.
+PARTS, PART_BITS = 4, 16
 
 
 def reference_blocks(references: DataFrame, n_blocks: int) -> DataFrame:
@@ -27,19 +46,92 @@ def reference_blocks(references: DataFrame, n_blocks: int) -> DataFrame:
     return known.groupBy(block.alias("block")).agg(F.collect_list("hash").alias("refs"))
 
 
-def nearest(images: DataFrame, references: DataFrame) -> DataFrame:
-    """``(hash, bits)`` of every distinct image hash; no row where there is no reference."""
-    count = references.filter("hash is not null").distinct().count()
+def _by_blocks(hashes: DataFrame, references: DataFrame, count: int) -> DataFrame:
     n_blocks = max(1, -(-count // BLOCK))
     blocks = reference_blocks(references, n_blocks)
     if n_blocks <= BROADCAST_BLOCKS:
         blocks = F.broadcast(blocks)
-    hashes = images.select("hash").filter("hash is not null").distinct()
     met = hashes.select("hash", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
     least = F.array_min(F.transform("refs", lambda r: hamming(F.col("hash"), r)))
     return met.join(blocks, "block").select("hash", least.alias("bits")).groupBy("hash").agg(F.min("bits").alias("bits"))
 
 
+def _parts(hashes: DataFrame, name: str) -> DataFrame:
+    """``(name, part, value)``: the parts of every hash."""
+    cut = [F.shiftrightunsigned("hash", PART_BITS * i).bitwiseAND(F.lit((1 << PART_BITS) - 1)) for i in range(PARTS)]
+    return hashes.select(F.col("hash").alias(name), F.posexplode(F.array(*cut)).alias("part", "value"))
+
+
+def _varied(value: Column, flips: int) -> Column:
+    """All values that differ in exactly so many bits."""
+    every = F.sequence(F.lit(0).cast("long"), F.lit((1 << PART_BITS) - 1).cast("long"))
+    return F.transform(F.filter(every, lambda x: F.bit_count(x) == flips), lambda x: value.bitwiseXOR(x))
+
+
+def _met_in_round(left: DataFrame, references: DataFrame, flips: int) -> DataFrame:
+    """``(hash, ref)``: images and references that differ in exactly ``flips`` bits of a part."""
+    asked, known = _parts(left, "hash"), _parts(references, "ref")
+    # both lists of values are bounded by the parts' 65,536 values each
+    variants = asked.select("part", "value").distinct().select("part", "value", F.explode(_varied(F.col("value"), flips)).alias("variant"))
+    held = known.select("part", F.col("value").alias("variant")).distinct()
+    near = variants.join(F.broadcast(held), ["part", "variant"])
+    pairs = asked.join(near, ["part", "value"]).select("hash", "part", "variant")
+    return pairs.join(known.withColumnRenamed("value", "variant"), ["part", "variant"]).select("hash", "ref")
+
+
+def _by_parts(hashes: DataFrame, references: DataFrame, count: int, within: int, tell: Callable[[str, int], None] | None) -> DataFrame:
+    """Rounds of growing radius; written between rounds, so that none is run again."""
+    left, done, best = settled(hashes, "hashes"), [], None
+    known = settled(references.select("hash").filter("hash is not null").distinct(), "references")
+    flips = 0
+    while (flips == 0 or TRY * PARTS * math.comb(PART_BITS, flips) <= count) and not left.isEmpty():
+        met = _met_in_round(left, known, flips)
+        if tell is not None:
+            tell(f"pairs in round {flips}", met.count())
+        nearest_now = met.select("hash", hamming(F.col("hash"), F.col("ref")).alias("bits"))
+        if best is not None:
+            nearest_now = nearest_now.union(best)
+        least = settled(nearest_now.groupBy("hash").agg(F.min("bits").alias("bits")), "least")
+        proven = PARTS * flips + PARTS
+        done.append(least.filter(F.col("bits") <= proven))
+        if proven > within:  # whatever is left is farther away than asked for
+            return _united(done)
+        best = least.filter(F.col("bits") > proven)
+        left = settled(left.join(done[-1].select("hash"), "hash", "left_anti"), "left")
+        flips += 1
+    rest = _by_blocks(left, known, count)
+    if tell is not None:
+        tell("pairs in blocks", left.count() * count)
+    return _united([*done, rest])
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.union(frame)
+    return whole
+
+
+def nearest(
+    images: DataFrame, references: DataFrame, within: int = BITS,
+    by_parts: bool | None = None, tell: Callable[[str, int], None] | None = None,
+) -> DataFrame:
+    """``(hash, bits)`` of every distinct image hash; no row where there is no reference.
+
+    Hashes farther than ``within`` bits from every reference may be left out. Up to
+    ``FEW_BLOCKS`` blocks of references are compared whole, and more are searched by parts,
+    unless ``by_parts`` says which; the rows are the same. ``tell`` is given the number of
+    pairs compared, round by round, at the cost of counting them.
+    """
+    count = references.filter("hash is not null").distinct().count()
+    hashes = images.select("hash").filter("hash is not null").distinct()
+    if by_parts is None:
+        by_parts = count > FEW_BLOCKS * BLOCK
+    if not by_parts or not count:
+        return _by_blocks(hashes, references, count)
+    return _by_parts(hashes, references, count, within, tell)
+
+
 def with_nearest(images: DataFrame, references: DataFrame) -> DataFrame:
     """Add ``bits``, the fewest differing bits to any reference hash.
 
@@ -50,8 +142,8 @@ def with_nearest(images: DataFrame, references: DataFrame) -> DataFrame:
 
 def image_matches(images: DataFrame, references: DataFrame) -> DataFrame:
     """Content ids of images within the threshold of a reference."""
-    near = with_nearest(images, references).filter(F.col("bits") <= MAX_BITS)
-    return near.select("cid").distinct()
+    near = nearest(images, references, MAX_BITS).filter(F.col("bits") <= MAX_BITS)
+    return images.join(near, "hash", "left_semi").select("cid").distinct()
 
 
 def posts_with_match(post_images: DataFrame, matches: DataFrame) -> DataFrame:

@@ -530,4 +530,7 @@ ORACLES = {
     "search_top_k_indexed": sql("SELECT pos, term, post_id, url FROM many_hits"),
     "collect_positive_indexed": sql("""SELECT url, post_id, pos, 'linguistic-evasion,' || label AS labels FROM
  (SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos, post_id) AS n FROM many_hits) WHERE n = 1"""),
+    "hash_min_distance_near": sql("""SELECT lower(lpad(to_hex(changed), 16, '0')) AS hash, CAST(min(bit_count(xor(changed, r.hash))) AS BIGINT) AS bits FROM
+ (SELECT DISTINCT xor(xor(hash, CAST((2::HUGEINT ** (vec_id % 64))::HUGEINT AS UBIGINT)),
+  CAST((2::HUGEINT ** (vec_id * 7 % 64))::HUGEINT AS UBIGINT)) AS changed FROM hashes) CROSS JOIN hashes r GROUP BY changed"""),
 }

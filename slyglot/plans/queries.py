@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slyglot.functions import text as T
-from slyglot.functions.hashes import hash_hex
+from slyglot.functions.hashes import hash_hex, sign_hash
 from slyglot.functions.phonetic import skeleton_key
 from slyglot.lexicons import MIN_CONTEXT, Lexicons
 from slyglot.operators import collect, detect, ensemble, evaluate, events, hashmatch, lexicon_join, trust
@@ -908,3 +908,14 @@ def search_top_k_indexed(spark, d):
 def collect_positive_indexed(spark, d):
     hits = collect.collect_indexed(built_index(spark, d), searched_terms(spark, d), 25)
     return collect.first_wins(hits).select("url", "post_id", "pos", joined("labels").alias("labels"))
+
+
+@query
+def hash_min_distance_near(spark, d):
+    """Every hash is a reference; the images are slightly changed copies, as re-posted pictures are."""
+    vectors = corpus.table(spark, d, "embeddings").select("vec_id", "embedding")
+    known = T.once(vectors, hash=sign_hash(F.col("embedding"))).select("vec_id", "hash")
+    flip = lambda times: F.expr(f"shiftleft(1L, CAST(vec_id * {times} % 64 AS INT))")
+    changed = known.withColumn("hash", F.col("hash").bitwiseXOR(flip(1)).bitwiseXOR(flip(7)))
+    near = hashmatch.nearest(changed, known, by_parts=True)
+    return near.select(hash_hex(F.col("hash")).alias("hash"), long("bits").alias("bits"))

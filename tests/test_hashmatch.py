@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from slyglot.functions.hashes import sign_hash
@@ -70,3 +72,34 @@ def test_sign_hash(spark):
     got = [r[0] for r in frame.orderBy("id").select(sign_hash(F.col("v"))).collect()]
     wanted = [signed(sum(1 << i for i, x in enumerate(v) if x > 0)) for v in vectors[:6]] + [None, None]
     assert got == wanted
+
+
+def plain_nearest(images, references):
+    refs = np.array(references, np.uint64)
+    return {signed(int(h)): int(np.bitwise_count(refs ^ np.uint64(h)).min()) for h in images}
+
+
+@pytest.mark.parametrize("case", ["near", "far", "mixed"])
+def test_many_references_by_parts(spark, monkeypatch, case):
+    """The same minima as brute force, from far fewer pairs where references are near."""
+    references = make(7, 6000)
+    near = [b ^ sum(1 << i for i in random.Random(b).sample(range(64), b % 7)) for b in references[:900]]
+    far = make(8, 40)
+    images = {"near": near, "far": far, "mixed": near[:100] + far + references[:5]}[case]
+    frame = spark.createDataFrame([(signed(h),) for h in images] + [(None,)], "hash long")
+    known = spark.createDataFrame([(signed(r),) for r in references] + [(signed(references[0]),), (None,)], "hash long")
+    pairs = []
+    found = hashmatch.nearest(frame, known, by_parts=True, tell=lambda name, n: pairs.append((name, n)))
+    assert {r.hash: r.bits for r in found.collect()} == plain_nearest(images, references)
+    print(case, pairs, "of", len(images) * len(references))
+    if case == "near":
+        assert sum(n for _, n in pairs) < 0.05 * len(images) * len(references)
+    within = hashmatch.nearest(frame, known, within=8, by_parts=True)
+    wanted = {h: b for h, b in plain_nearest(images, references).items() if b <= 8}
+    assert {r.hash: r.bits for r in within.collect() if r.bits <= 8} == wanted
+
+
+def test_no_references_and_no_images(spark):
+    images, references = frames(spark)
+    assert hashmatch.nearest(images, references.limit(0), by_parts=True).count() == 0
+    assert hashmatch.nearest(images.limit(0), references, by_parts=True).count() == 0
