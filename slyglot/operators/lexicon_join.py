@@ -35,6 +35,8 @@ from slyglot.operators import labelers as L
 from slyglot.operators.lexicon_prep import phonetic_vocabulary
 from slyglot.session import scratch_path
 
+#: Edits up to which words are keyed by what is left without some letters.
+DELETED = 2
 #: Patterns beyond so many characters are searched apart from the others.
 LONG_PATTERN = 64
 #: A lexicon is broadcast up to so many rows and characters; its keys are a few times as many.
@@ -111,48 +113,66 @@ def _segments(text: str, length: str, count: str, shift: str, key: str) -> str:
     )
 
 
+def _with_deletions(frame: DataFrame, name: str, most: str) -> DataFrame:
+    """``(name, h)``: hashes of a word with any ``most`` letters, or fewer, left out.
+
+    ``most`` is an SQL expression of 0 to ``DELETED``.
+    """
+    cut = lambda w: f"transform(sequence(1, length({w})), i -> concat(substring({w}, 1, i - 1), substring({w}, i + 1)))"
+    cuts = frame.select(name, F.expr(f"{most} AS most")).withColumn("one", F.expr(f"IF(most > 0, {cut(name)}, array())"))
+    cuts = cuts.withColumn("two", F.expr(f"IF(most > 1, flatten(transform(one, v -> {cut('v')})), array())"))
+    made = F.array_distinct(F.transform(F.concat(F.array(name), "one", "two"), lambda v: F.xxhash64(v)))
+    return cuts.filter("most > 0").select(name, F.explode(made).alias("h"))
+
+
 def fuzzy_words(vocabulary: DataFrame, lexicon: DataFrame) -> DataFrame:
     """D4 at scale: vocabulary words close, but not equal, to a lexicon word.
 
-    A word within ``k`` edits of a lexicon word contains one of its ``k + 1`` even
-    pieces unchanged, moved by at most ``k``. Both sides are keyed by such pieces.
+    Two words within ``k`` edits are alike after ``k`` letters, or fewer, are left out of
+    each. Up to ``DELETED`` edits both sides are keyed by all such remainders, which are
+    nearly whole words, so no key is common. Longer words may differ in more: a word
+    within ``k`` edits of another contains one of its ``k + 1`` even pieces unchanged, moved
+    by at most ``k``, and then pieces are long.
     """
     bounds = lexicon.agg(F.min(F.length("word")), F.max(F.length("word"))).first()
     shortest, longest = (bounds[0] or 0), (bounds[1] or 0)
     threshold = _threshold("l", CHARSUB_THRESHOLD)
-    edits = _allowed("l + 1", threshold, "1.0D - n / (l + 1)")
+    edits = f"CAST({_allowed('l + 1', threshold, '1.0D - n / (l + 1)')} AS INT)"
+    near = f"filter(array(length(word) - 1, length(word), length(word) + 1), l -> l BETWEEN {shortest} AND {longest})"
+
+    words = vocabulary.select("word").distinct().filter(
+        F.length("word").between(max(shortest - 1, MIN_WORD_LENGTH), longest + 1)
+    )
+    targets = lexicon.select(F.col("word").alias("target")).distinct()
+    small = is_small(targets)
+    few = "IF(k > %d, 0, k)" % DELETED
+    of_word = f"coalesce(array_max(transform(transform({near}, l -> {edits}), k -> {few})), 0)"
+    of_target = f"element_at(transform(transform(array(length(target)), l -> {edits}), k -> {few}), 1)"
+    pairs = _with_deletions(words, "word", of_word).join(
+        build_side(_with_deletions(targets, "target", of_target), small), "h").select("word", "target")
+
     key = "named_struct('l', l, 'i', i, 'part', {part})"
 
     def keyed(frame: DataFrame, name: str, lengths: str, shift: str) -> DataFrame:
         # l and k are bound once per target length
-        per_length = _segments(name, "l", "(k + 1)", shift, key)
         pieces = (
-            f"flatten(transform(filter({lengths}, l -> l BETWEEN {shortest} AND {longest}), "
-            f"l -> flatten(transform(filter(array(CAST({edits} AS INT)), k -> k > 0), "
-            f"k -> {per_length}))))"
+            f"flatten(transform({lengths}, l -> flatten(transform(filter(array({edits}), k -> k > {DELETED}), "
+            f"k -> {_segments(name, 'l', '(k + 1)', shift, key)}))))"
         )
         return (
             frame.select(name, F.explode(F.array_distinct(F.array_compact(F.expr(pieces)))).alias("p"))
             .select(name, "p.l", "p.i", "p.part")
         )
 
-    words = vocabulary.select("word").distinct().filter(
-        F.length("word").between(max(shortest - 1, MIN_WORD_LENGTH), longest + 1)
-    )
-    targets = lexicon.select(F.col("word").alias("target")).distinct()
-    near = "array(length(word) - 1, length(word), length(word) + 1)"
+    most = lexicon.select(F.expr(f"max(element_at(transform(array(length(word)), l -> {edits}), 1))").alias("k")).first().k or 0
+    if most > DELETED:
+        long_words = keyed(words, "word", near, "sequence(-k, k)")
+        long_targets = build_side(keyed(targets, "target", "array(length(target))", "array(0)"), small)
+        pairs = pairs.union(long_words.join(long_targets, ["l", "i", "part"]).select("word", "target"))
     similarity = T.char_similarity(F.col("word"), F.col("target"))
     wanted = F.expr(_threshold("length(target)", CHARSUB_THRESHOLD))
-    return (
-        keyed(words, "word", near, "sequence(-k, k)")
-        .join(
-            build_side(keyed(targets, "target", "array(length(target))", "array(0)"), is_small(targets)),
-            ["l", "i", "part"],
-        )
-        .filter((F.col("word") != F.col("target")) & (similarity >= wanted))
-        .select("word")
-        .distinct()
-    )
+    alike = (F.col("word") != F.col("target")) & (F.abs(F.length("word") - F.length("target")) <= 1)
+    return pairs.filter(alike & (similarity >= wanted)).select("word").distinct()
 
 
 def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame, key=skeleton_key) -> DataFrame:

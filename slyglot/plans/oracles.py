@@ -533,4 +533,11 @@ ORACLES = {
     "hash_min_distance_near": sql("""SELECT lower(lpad(to_hex(changed), 16, '0')) AS hash, CAST(min(bit_count(xor(changed, r.hash))) AS BIGINT) AS bits FROM
  (SELECT DISTINCT xor(xor(hash, CAST((2::HUGEINT ** (vec_id % 64))::HUGEINT AS UBIGINT)),
   CAST((2::HUGEINT ** (vec_id * 7 % 64))::HUGEINT AS UBIGINT)) AS changed FROM hashes) CROSS JOIN hashes r GROUP BY changed"""),
+    "charsub_fuzzy_long": f"""WITH said AS (SELECT DISTINCT word, {ASCII_WORD} AS w FROM
+  (SELECT unnest(regexp_extract_all(lower(text), {WORD}, 1)) AS word FROM conversations) WHERE length(word) >= 4),
+ known AS (SELECT DISTINCT word AS bad FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD}, 1)) AS word FROM documents)
+  WHERE length(word) >= 4 AND regexp_full_match(word, '[a-z]+'))
+ SELECT DISTINCT word FROM said JOIN known ON word <> bad AND abs(length(word) - length(bad)) <= 1
+ WHERE 1.0::DOUBLE - levenshtein(w, bad)::DOUBLE / greatest(length(word), length(bad))
+  >= CASE WHEN length(bad) < 6 THEN 0.9::DOUBLE ELSE 0.85::DOUBLE END""",
 }

@@ -919,3 +919,10 @@ def hash_min_distance_near(spark, d):
     changed = known.withColumn("hash", F.col("hash").bitwiseXOR(flip(1)).bitwiseXOR(flip(7)))
     near = hashmatch.nearest(changed, known, by_parts=True)
     return near.select(hash_hex(F.col("hash")).alias("hash"), long("bits").alias("bits"))
+
+
+@query
+def charsub_fuzzy_long(spark, d):
+    """Words of the conversations that are close to, but not among, the plain-letter words of the documents."""
+    known = listed_words(corpus.documents(spark, d), 4).filter(F.col("word").rlike("^[a-z]+$"))
+    return lexicon_join.fuzzy_words(listed_words(corpus.table(spark, d, "conversations"), 4), known)
