@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,8 @@ from slyglot.operators import lexicon_prep as prep
 from slyglot.operators.trigram_index import TrigramIndex
 from slyglot.plans import corpus
 from slyglot.session import scratch_path, ship_package
-from slyglot.sources import lexicon_files, posts as post_sources
+from slyglot.sources import event_sink, lexicon_files, posts as post_sources
+from slyglot.sources.store import PostStore
 from slyglot.streaming import dogpile, late_truth
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -858,9 +860,9 @@ def eval_late_truth(spark, d):
 
 
 def listed_words(texts: DataFrame, least: int) -> DataFrame:
-    """``(word)``: the distinct words of at least ``least`` letters, as a list of patterns."""
+    """``(word)``: the distinct words of at least ``least`` letters, written once as a list of patterns."""
     words = F.explode(T.long_words(T.words(F.lower("text")), least))
-    return texts.select(words.alias("word")).distinct()
+    return lexicon_join.settled(texts.select(words.alias("word")).distinct(), "words")
 
 
 @query
@@ -926,3 +928,46 @@ def charsub_fuzzy_long(spark, d):
     """Words of the conversations that are close to, but not among, the plain-letter words of the documents."""
     known = listed_words(corpus.documents(spark, d), 4).filter(F.col("word").rlike("^[a-z]+$"))
     return lexicon_join.fuzzy_words(listed_words(corpus.table(spark, d, "conversations"), 4), known)
+
+
+# -- stored tables and sinks --------------------------------------------------
+
+
+def filled_store(spark, rows: DataFrame) -> PostStore:
+    store = PostStore(spark, f"posts_{uuid.uuid4().hex}", scratch_path(spark, "store"))
+    store.append(rows)
+    return store
+
+
+@query
+def incremental_append_bucketed(spark, d):
+    """Rows of the corpus that the bucketed store does not have, after they were appended twice over."""
+    posts = corpus.post_records(spark, d).select("post_id", "url", joined("expected").alias("labels"))
+    marked = corpus.table(spark, d, "labels").select(F.col("doc_id").alias("post_id"))
+    store = filled_store(spark, posts.join(marked, "post_id", "left_semi").select("url", "labels"))
+    n_stored = store.table().count()
+    fresh = posts.select("url", "labels")
+    store.append_new(fresh)
+    store.append_new(fresh)
+    return store.table().select("url", "labels", F.lit(n_stored).alias("n_before"))
+
+
+@query
+def post_lookup_bucketed(spark, d):
+    """Posts behind URLs, some of which lead nowhere, from a bucketed store."""
+    posts = corpus.post_records(spark, d)
+    urls = posts.select(F.when(F.col("post_id") % 5 == 0, F.concat("url", F.lit("x"))).otherwise(F.col("url")).alias("url"))
+    return filled_store(spark, posts.select("url", "post_id", "cid")).lookup(urls).select("url", "post_id", "cid")
+
+
+@query
+def label_events_sink(spark, d):
+    """Label events of all posts, written twice as one batch and read back."""
+    made = events.post_events(L.label_evasion(corpus.posts(spark, d), LEX), LABELER_DID)
+    path = scratch_path(spark, "events")
+    for _ in range(2):
+        event_sink.write_batch(made, path, "first")
+    return event_sink.stored_events(spark, path, made.schema).select(
+        "created_by", joined("event.create_label_vals").alias("labels"),
+        F.col("subject.uri").alias("uri"), F.col("subject.cid").alias("cid"),
+    )
