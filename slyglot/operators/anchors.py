@@ -92,7 +92,8 @@ def anchored(patterns: DataFrame, texts: DataFrame) -> DataFrame:
     counts = starts.select(F.explode(F.array_compact(prefixes)).alias("gram")).groupBy("gram").agg(F.count("*").alias("seen"))
     # of grams never seen, a hashed one: patterns that share words then rarely share an anchor
     order = F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), F.xxhash64("pattern", "gram").alias("h"))
-    return grams.join(counts, "gram", "left").groupBy("pattern", "q").agg(F.min_by("gram", order).alias("anchor"))
+    # both sides may be long, so neither is built
+    return grams.join(counts.hint("merge"), "gram", "left").groupBy("pattern", "q").agg(F.min_by("gram", order).alias("anchor"))
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

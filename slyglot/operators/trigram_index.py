@@ -9,10 +9,11 @@ stored text. New posts are a new segment; what is stored is neither read nor reb
 A trigram is one long of three code points. Texts end in two empty code points, so every
 character starts a trigram and terms of one or two characters are prefixes of trigrams.
 
-The first posts of each term are wanted, and slices say what their smallest post id is.
-So a search goes in rounds: the first few slices of every term, then more of them for the
-terms that are not finished, until each term has enough posts before its next slice or
-has none left. Work follows what is found, not how common a term is.
+The first posts of each term are wanted, and a posting list says what the smallest post
+id of its slice is. So a search goes in waves over the slices, those of small ids first:
+a few, then several times more for the terms that are not finished, until every term has
+enough posts below the next wave or no slice is left. A common term ends in the first
+wave, and a rare one has short lists.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from slyglot.operators.topk import top_k_per_key
 SLICE = 10
 #: Rarest trigrams of a term whose lists are intersected.
 RARE = 3
-#: Slices of each term in the first round, and how many times more in each next one.
+#: Slices of the first wave, and how many times more each next one has.
 FIRST_SLICES, MORE = 4, 8
 BUCKETS = 64
 AT = ["segment", "slice"]
@@ -46,20 +47,22 @@ def packed(a: Column, b: Column, c: Column) -> Column:
 def _posting_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lists of each trigram over the rows of a slice in a batch."""
     for batch in batches:
-        slices, rows, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
-        cuts = np.r_[0, np.flatnonzero(np.diff(slices)) + 1, len(slices)]
+        slices, rows, ids = (batch.column(i).to_numpy() for i in range(3))
+        texts = batch.column(3).to_pylist()
+        cuts = np.r_[0, np.flatnonzero(np.diff(slices)) + 1, len(slices)] if len(slices) else np.zeros(1, np.int64)
         for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            part = texts[begin:end]
-            points = np.frombuffer("".join(t + "\0\0" for t in part).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-            sizes = np.array([len(t) for t in part])
-            owner = np.repeat(rows[begin:end], sizes + 2)
-            grams = (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
-            inside = np.repeat(np.cumsum(sizes + 2) - 2, sizes + 2)[:-2] > np.arange(len(grams))
-            both = np.unique(np.stack([grams[inside], owner[:-2][inside]], axis=1), axis=0) if inside.any() else np.zeros((0, 2), np.int64)
-            starts = np.flatnonzero(np.r_[True, both[1:, 0] != both[:-1, 0]]) if len(both) else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(both)], pa.int32()), pa.array(both[:, 1].astype(np.int16)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(starts), slices[begin] if end > begin else 0)), pa.array(both[starts, 0]), lists], ["slice", "gram", "rows"])
+            own = []
+            for text in texts[begin:end]:
+                points = np.frombuffer((text + "\0\0").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+                own.append(np.unique((points[:-2] << 42) | (points[1:-1] << 21) | points[2:]))
+            grams = np.concatenate(own)
+            order = np.argsort(grams, kind="stable")  # runs that are sorted already
+            grams = grams[order]
+            on = np.repeat(rows[begin:end], [len(g) for g in own])[order]
+            starts = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(grams)], pa.int32()), pa.array(on.astype(np.int16)))
+            same = [pa.array(np.full(len(starts), v)) for v in (slices[begin], ids[begin:end].min())]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(grams[starts]), lists], ["slice", "low", "gram", "rows"])
 
 
 class TrigramIndex:
@@ -79,47 +82,48 @@ class TrigramIndex:
         stored = stored.withColumn("_n", number).select(
             F.shiftright("_n", SLICE).alias("slice"), F.col("_n").bitwiseAND(F.lit((1 << SLICE) - 1)).cast("short").alias("row"), "post_id", "url", "lowered")
         stored.write.mode("overwrite").parquet(f"{self.path}/posts/segment={segment}")
-        texts = self.spark.read.parquet(f"{self.path}/posts/segment={segment}").select("slice", "row", "lowered")
-        lists = texts.mapInArrow(_posting_lists, "slice long, gram long, rows array<short>")
+        texts = self.spark.read.parquet(f"{self.path}/posts/segment={segment}")
+        texts = texts.select("slice", "row", F.col("post_id").cast("long").alias("post_id"), "lowered")
+        lists = texts.mapInArrow(_posting_lists, "slice long, low long, gram long, rows array<short>")
         bucket = F.pmod(F.xxhash64("gram"), F.lit(BUCKETS)).cast("int")
-        dealt = lists.withColumn("bucket", bucket).repartition("bucket").sortWithinPartitions("bucket", "gram", "slice")
+        dealt = lists.withColumn("bucket", bucket).repartition("bucket").sortWithinPartitions("bucket", "gram", "low")
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/lists/segment={segment}")
+        stored = self.spark.read.parquet(f"{self.path}/lists/segment={segment}")
+        counts = stored.groupBy("gram").agg(F.sum(F.size("rows")).alias("n"))
+        counts.write.mode("overwrite").parquet(f"{self.path}/counts/segment={segment}")
 
-    def posts(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/posts")
+    def _read(self, part: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{part}")
 
-    def lists(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/lists")
-
-    def candidates(self, terms: DataFrame) -> DataFrame:
-        """``(pos, segment, slice, rows)``: rows on all lists of a term's rarest trigrams."""
-        points = F.transform(F.split("pattern", ""), lambda c: F.ascii(c).cast("long"))
-        cut = terms.select("pos", "pattern", F.filter(points, lambda p: p > 0).alias("p"))
-        whole = cut.filter(F.size("p") > 2).select("pos", F.explode(F.array_distinct(F.transform(
+    def _rarest(self, cut: DataFrame) -> DataFrame:
+        """``(pos, gram, of)``: the rarest trigrams of each term; none of a term that cannot be there."""
+        grams = cut.filter(F.size("p") > 2).select("pos", F.explode(F.array_distinct(F.transform(
             F.sequence(F.lit(0), F.size("p") - 3), lambda i: packed(F.get("p", i), F.get("p", i + 1), F.get("p", i + 2))))).alias("gram"))
-        wanted = settled(whole, "term-grams")
-        lists = self.lists().select("gram", *AT, "rows")
-        # lists of any wanted trigram, and how many rows are on them: trigrams are few, whatever the posts
-        known = lists.join(wanted.select("gram").distinct(), "gram", "left_semi")
-        counts = known.groupBy("gram").agg(F.sum(F.size("rows")).alias("n"))
+        counts = self._read("counts").groupBy("gram").agg(F.sum("n").alias("n"))
         order = Window.partitionBy("pos").orderBy("n", "gram")
-        # a trigram that no list has finds nothing, which the first place with no rows tells
-        ranked = wanted.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("place", F.row_number().over(order))
-        rarest = ranked.filter(F.col("place") <= RARE)
-        sizes = rarest.groupBy("pos").agg(F.count("*").alias("of"), F.min("n").alias("least")).filter("least > 0")
-        picked = settled(rarest.join(sizes, "pos").select("pos", "gram", "of"), "rare-grams")
-        met = lists.join(picked, "gram")
-        long_terms = (
-            met.groupBy("pos", "of", *AT, "gram").agg(F.flatten(F.collect_list("rows")).alias("rows"))
-            .groupBy("pos", "of", *AT).agg(F.collect_list("rows").alias("all")).filter(F.size("all") == F.col("of"))
-            .select("pos", *AT, F.aggregate(F.slice("all", 2, RARE), F.col("all")[0], lambda a, b: F.array_intersect(a, b)).alias("rows"))
-        )
-        short = cut.filter(F.size("p").between(1, 2)).select(
-            "pos", F.size("p").alias("n"), F.shiftleft(F.get("p", F.lit(0)), 21).bitwiseOR(F.coalesce(F.get("p", F.lit(1)), F.lit(0))).alias("prefix"))
-        one = lists.join(short.filter("n = 1").select("pos", F.shiftright("prefix", 21).alias("prefix")), F.shiftright("gram", 42) == F.col("prefix"))
-        two = lists.join(short.filter("n = 2").select("pos", "prefix"), F.shiftright("gram", 21) == F.col("prefix"))
-        short_terms = one.union(two).groupBy("pos", *AT).agg(F.array_distinct(F.flatten(F.collect_list("rows"))).alias("rows"))
-        return long_terms.union(short_terms).filter(F.size("rows") > 0)
+        ranked = grams.join(counts.hint("merge"), "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        ranked = ranked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= RARE)
+        of = Window.partitionBy("pos")
+        known = ranked.withColumns({"of": F.count("*").over(of), "least": F.min("n").over(of)}).filter("least > 0")
+        return known.select("pos", "gram", "of")
+
+    def _waves(self) -> list[int]:
+        """Post ids that part the waves, from a sketch of the slices' smallest ids."""
+        slices = self._read("lists").groupBy("segment", "slice").agg(F.min("low").alias("low"))
+        count = slices.count()
+        shares = [FIRST_SLICES * MORE ** i / count for i in range(60) if FIRST_SLICES * MORE ** i < count]
+        found = slices.agg(F.percentile_approx("low", shares, 10_000)).first()[0] if shares else []
+        return sorted(set(found))
+
+    def _candidates(self, lists: DataFrame, rare: DataFrame, short: DataFrame) -> DataFrame:
+        """``(pos, segment, slice, row)``: rows that are on all lists of a term's rarest trigrams."""
+        piece = ["pos", *AT, "low"]
+        met = lists.join(rare, "gram").groupBy(*piece, "of").agg(F.collect_list("rows").alias("all")).filter(F.size("all") == F.col("of"))
+        both = F.aggregate(F.slice("all", 2, RARE), F.col("all")[0], lambda a, b: F.array_intersect(a, b))
+        found = met.select(*piece, F.explode(both).alias("row"))
+        begins = F.explode(F.array(F.shiftright("gram", 42), F.shiftright("gram", 21))).alias("prefix")
+        starts = lists.select(*AT, "low", "rows", begins).join(short, "prefix")
+        return found.union(starts.select(*piece, F.explode("rows").alias("row"))).drop("low").distinct()
 
     def search(self, terms: DataFrame, limit: int) -> DataFrame:
         """``(pos, term, post_id, url)``: the first ``limit`` posts by id of every ``(pos, term)``.
@@ -128,29 +132,29 @@ class TrigramIndex:
         an empty or NULL term finds nothing. A post id that is stored twice is found twice.
         """
         terms = settled(terms.select(F.col("pos").cast("long").alias("pos"), "term", F.lower("term").alias("pattern")).filter("term <> ''"), "terms")
-        posts = self.posts()
-        smallest = posts.groupBy(*AT).agg(F.min("post_id").alias("low"))
-        left = settled(self.candidates(terms).join(smallest, AT), "term-slices")
-        found, slices = [], FIRST_SLICES
-        while not left.isEmpty():
-            # so many slices of each term in order, and the first one that is not among them
-            first = top_k_per_key(left, "pos", [F.col("low"), *map(F.col, AT)], slices + 1)
-            order = Window.partitionBy("pos").orderBy("low", *AT)
-            taken = settled(first.withColumn("place", F.row_number().over(order)), "taken")
-            now = taken.filter(F.col("place") <= slices).join(terms.select("pos", "pattern"), "pos")
-            wanted = now.groupBy(*AT).agg(F.collect_list(F.struct("pos", "pattern", "rows")).alias("asked"))
-            hits = (
-                posts.join(wanted.select(*AT, F.explode("asked").alias("a")).select(*AT, "a.pos", "a.pattern", F.explode("a.rows").alias("row")), [*AT, "row"])
-                .filter(F.contains("lowered", "pattern")).select("pos", "post_id", "url")
-            )
-            found.append(settled(hits, "term-hits"))
-            following = taken.filter(F.col("place") == slices + 1).select("pos", F.col("low").alias("next"))
-            done = _union(found).join(following, "pos").filter(F.col("post_id") < F.col("next")).groupBy("pos").agg(F.count("*").alias("n")).filter(F.col("n") >= limit)
-            open_terms = following.join(done, "pos", "left_anti").select("pos")
-            rest = left.join(open_terms, "pos", "left_semi").join(taken.filter(F.col("place") <= slices).select("pos", *AT), ["pos", *AT], "left_anti")
-            left, slices = settled(rest, "term-slices"), slices * MORE
-        if not found:
-            return terms.limit(0).select("pos", "term", F.lit(0).cast("long").alias("post_id"), F.lit("").alias("url"))
+        points = F.transform(F.split("pattern", ""), lambda c: F.ascii(c).cast("long"))
+        cut = terms.select("pos", F.filter(points, lambda p: p > 0).alias("p"))
+        rare = settled(self._rarest(cut), "rare-grams")
+        # one code point as such, two together: a prefix of the trigrams that begin with them
+        two = F.shiftleft(F.get("p", F.lit(0)), 21).bitwiseOR(F.get("p", F.lit(1)))
+        short = cut.filter(F.size("p").between(1, 2)).select("pos", F.coalesce(F.when(F.size("p") == 2, two), F.get("p", F.lit(0))).alias("prefix"))
+        short = settled(short, "short-terms")
+        left, found, begin = terms.select("pos"), [], None
+        for end in [*self._waves(), None]:
+            lists = self._read("lists")
+            for bound, test in ((begin, F.col("low") >= begin if begin is not None else None), (end, F.col("low") < end if end is not None else None)):
+                lists = lists if bound is None else lists.filter(test)
+            asked = self._candidates(lists, rare.join(left, "pos", "left_semi"), short.join(left, "pos", "left_semi"))
+            asked = settled(asked, "candidates").join(terms.select("pos", "pattern"), "pos")
+            hits = self._read("posts").join(asked, [*AT, "row"]).filter(F.contains("lowered", "pattern"))
+            found.append(settled(hits.select("pos", "post_id", "url"), "term-hits"))
+            if end is None:
+                break
+            begin = end
+            done = _union(found).filter(F.col("post_id") < end).groupBy("pos").agg(F.count("*").alias("n")).filter(F.col("n") >= limit)
+            left = settled(left.join(done, "pos", "left_anti"), "open-terms")
+            if left.isEmpty():
+                break
         best = top_k_per_key(_union(found), "pos", [F.col("post_id"), F.col("url")], limit)
         return best.join(terms.select("pos", "term"), "pos").select("pos", "term", "post_id", "url")
 
