@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ BITS_PER_ANCHOR = 16
 MOST_WORDS = 1 << 19
 PROBES = 3
 #: Characters of texts that are hashed together.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 250_000
 
 
 def points_of(text: str) -> np.ndarray:
@@ -124,36 +125,41 @@ def anchor_filter(placed: DataFrame, most_listed: int) -> AnchorFilter:
     return AnchorFilter(sizes, words=filled)
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about `CHUNK_CHARS` bytes of text; a longer text is alone."""
+    sizes = np.asarray(pc.binary_length(batch.column(batch.num_columns - 1)).fill_null(0))
+    first, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > first and size + n > CHUNK_CHARS:
+            yield batch.slice(first, i - first)
+            first, size = i, 0
+        size += n
+    if first < len(sizes):
+        yield batch.slice(first)
+
+
 def stands(texts: DataFrame, keys: list[str], wanted: AnchorFilter, longest: int) -> DataFrame:
     """``(keys, anchor, around)``: where an anchor may stand in ``texts.lowered``, with the text around it."""
     schema = texts.select(*keys).schema.add("anchor", "string").add("around", "string")
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            first = 0
-            while first < len(texts):
-                last, size = first, 0
-                while last < len(texts) and (last == first or size + len(texts[last]) <= CHUNK_CHARS):
-                    size += len(texts[last])
-                    last += 1
-                part = texts[first:last]
-                ends = np.cumsum([len(t) for t in part])
+            for part in _chunks(batch):
+                texts = part.column(part.num_columns - 1).to_pylist()
+                ends = np.cumsum([len(t) for t in texts])
                 begins = np.r_[0, ends[:-1]]
                 rows, anchors, around = [], [], []
-                hashes = gram_hashes(points_of("".join(part)), wanted.sizes)
-                for q, found in hashes.items():
-                    at = np.flatnonzero(wanted.test(found))
+                for q, hashes in gram_hashes(points_of("".join(texts)), wanted.sizes).items():
+                    at = np.flatnonzero(wanted.test(hashes))
                     owner = np.searchsorted(ends, at, side="right")
                     inside = at + q <= ends[owner]
                     at, owner = at[inside], owner[inside]
                     for row, p in zip(owner.tolist(), (at - begins[owner]).tolist()):
-                        text = part[row]
-                        rows.append(first + row)
+                        text = texts[row]
+                        rows.append(row)
                         anchors.append(text[p:p + q])
                         around.append(text[max(0, p - longest + 1):p + longest])
-                picked = batch.select(keys).take(pa.array(rows, pa.int64()))
+                picked = part.select(keys).take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(anchors, pa.string()), pa.array(around, pa.string())], [*keys, "anchor", "around"])
-                first = last
 
     return texts.select(*keys, "lowered").mapInArrow(found, schema)

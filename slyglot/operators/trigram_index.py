@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from slyglot.operators.lexicon_join import settled
+from slyglot.operators.lexicon_join import build_side, is_small, settled
 from slyglot.operators.topk import top_k_per_key
 
 #: Rows of a slice, as a power of two.
@@ -125,6 +125,16 @@ class TrigramIndex:
         starts = lists.select(*AT, "low", "rows", begins).join(short, "prefix")
         return found.union(starts.select(*piece, F.explode("rows").alias("row"))).drop("low").distinct()
 
+    def _wanted(self, asked: DataFrame) -> DataFrame:
+        """Stored posts of a wave: the rows asked for, or where they are many, the slices they are in.
+
+        What is dropped here no candidate needs; it only spares the shuffle of its text.
+        """
+        rows = settled(asked.select(*AT, "row").distinct(), "asked-rows")
+        if not is_small(rows):
+            rows = settled(rows.select(*AT).distinct(), "asked-slices")
+        return self._read("posts").join(build_side(rows, is_small(rows)), rows.columns, "left_semi")
+
     def search(self, terms: DataFrame, limit: int) -> DataFrame:
         """``(pos, term, post_id, url)``: the first ``limit`` posts by id of every ``(pos, term)``.
 
@@ -145,8 +155,9 @@ class TrigramIndex:
             for bound, test in ((begin, F.col("low") >= begin if begin is not None else None), (end, F.col("low") < end if end is not None else None)):
                 lists = lists if bound is None else lists.filter(test)
             asked = self._candidates(lists, rare.join(left, "pos", "left_semi"), short.join(left, "pos", "left_semi"))
-            asked = settled(asked, "candidates").join(terms.select("pos", "pattern"), "pos")
-            hits = self._read("posts").join(asked, [*AT, "row"]).filter(F.contains("lowered", "pattern"))
+            asked = settled(asked, "candidates")
+            posts = self._wanted(asked).join(asked.join(terms.select("pos", "pattern"), "pos"), [*AT, "row"])
+            hits = posts.filter(F.contains("lowered", "pattern"))
             found.append(settled(hits.select("pos", "post_id", "url"), "term-hits"))
             if end is None:
                 break
