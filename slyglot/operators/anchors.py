@@ -11,6 +11,7 @@ around it.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +26,8 @@ GRAMS = (1, 2, 3, 4, 6, 8, 12, 16)
 HALVES = {2: (1, 1), 3: (2, 1), 4: (2, 2), 6: (4, 2), 8: (4, 4), 12: (8, 4), 16: (8, 8)}
 #: Texts in which q-grams are counted.
 SAMPLE_ROWS = 1000
+#: Slots that q-grams are counted in, by hash.
+SLOTS = 1 << 20
 #: Bits of the filter for each anchor, and its words of 64 bits at most (4 MB).
 BITS_PER_ANCHOR = 16
 MOST_WORDS = 1 << 19
@@ -79,22 +82,52 @@ def places(hashes: np.ndarray, words: int) -> Iterator[np.ndarray]:
         yield (hashes >> np.uint64(20 * i)) & np.uint64(words * 64 - 1)
 
 
+def gram_counts(texts: DataFrame, sizes: list[int]) -> np.ndarray:
+    """How often q-grams stand in a sample of ``texts.text``, by the low bits of their hash.
+
+    The driver gets one number for each of ``SLOTS`` slots that is not zero.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for found in gram_hashes(points_of(text or ""), sizes).values():
+                    np.add.at(total, (found & np.uint64(SLOTS - 1)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"at": at, "n": total[at]})
+
+    sample = texts.select(F.lower("text").alias("text")).limit(SAMPLE_ROWS)
+    held = sample.mapInArrow(counted, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[held["at"].to_numpy(np.int64)] = held["n"].to_numpy(np.int64)
+    return np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
+
+
 def anchored(patterns: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(pattern, q, anchor)``: the rarest q-gram of each pattern in a sample of ``texts.text``."""
+    """``(pattern, q, anchor)``: the rarest q-gram of each pattern in a sample of ``texts.text``.
+
+    Of equally rare ones a hashed one, so that patterns that share words rarely share an
+    anchor. A narrow pass over the patterns.
+    """
     q = F.lit(GRAMS[0])
     for size in GRAMS[1:]:
         q = F.when(F.length("pattern") >= size, F.lit(size)).otherwise(q)
-    cut = F.expr("transform(sequence(1, length(pattern) - q + 1), i -> substring(pattern, i, q))")
-    grams = patterns.select("pattern", q.alias("q")).select("pattern", "q", F.explode(F.array_distinct(cut)).alias("gram"))
-    sample = texts.select(F.lower("text").alias("text")).limit(SAMPLE_ROWS)
-    starts = sample.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{GRAMS[-1]}}}))"), 1))).alias("start"))
-    sizes = [r.q for r in patterns.select(q.alias("q")).distinct().collect()]  # at most one for each length of GRAMS
-    prefixes = F.array(*(F.when(F.length("start") >= size, F.left("start", F.lit(size))) for size in sizes))
-    counts = starts.select(F.explode(F.array_compact(prefixes)).alias("gram")).groupBy("gram").agg(F.count("*").alias("seen"))
-    # of grams never seen, a hashed one: patterns that share words then rarely share an anchor
-    order = F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), F.xxhash64("pattern", "gram").alias("h"))
-    # both sides may be long, so neither is built
-    return grams.join(counts.hint("merge"), "gram", "left").groupBy("pattern", "q").agg(F.min_by("gram", order).alias("anchor"))
+    sized = patterns.select("pattern", q.alias("q"))
+    counts = gram_counts(texts, sorted(r.q for r in sized.select("q").distinct().collect()))  # at most one for each length of GRAMS
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchors = []
+            for pattern, q in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = gram_hashes(points_of(pattern), [q])[q]
+                seen = counts[(found & np.uint64(SLOTS - 1)).astype(np.int64)]
+                tied = np.flatnonzero(seen == seen.min())
+                at = int(tied[zlib.crc32(pattern.encode("utf-8", "surrogatepass")) % len(tied)])
+                anchors.append(pattern[at:at + q])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(anchors, pa.string())], ["pattern", "q", "anchor"])
+
+    return sized.mapInArrow(chosen, "pattern string, q int, anchor string")
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

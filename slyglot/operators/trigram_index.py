@@ -96,16 +96,13 @@ class TrigramIndex:
         return self.spark.read.parquet(f"{self.path}/{part}")
 
     def _rarest(self, cut: DataFrame) -> DataFrame:
-        """``(pos, gram, of)``: the rarest trigrams of each term; none of a term that cannot be there."""
-        grams = cut.filter(F.size("p") > 2).select("pos", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(0), F.size("p") - 3), lambda i: packed(F.get("p", i), F.get("p", i + 1), F.get("p", i + 2))))).alias("gram"))
-        counts = self._read("counts").groupBy("gram").agg(F.sum("n").alias("n"))
-        order = Window.partitionBy("pos").orderBy("n", "gram")
-        ranked = grams.join(counts.hint("merge"), "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        ranked = ranked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= RARE)
-        of = Window.partitionBy("pos")
-        known = ranked.withColumns({"of": F.count("*").over(of), "least": F.min("n").over(of)}).filter("least > 0")
-        return known.select("pos", "gram", "of")
+    """``(pos, gram, others)``: each term's rarest trigram and the next ones; no term that cannot be there."""
+    grams = cut.filter(F.size("p") > 2).select("pos", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(0), F.size("p") - 3), lambda i: packed(F.get("p", i), F.get("p", i + 1), F.get("p", i + 2))))).alias("gram"))
+    counts = self._read("counts").groupBy("gram").agg(F.sum("n").alias("n"))
+    known = grams.join(counts.hint("merge"), "gram", "left").select("pos", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("g"))
+    listed = known.groupBy("pos").agg(F.array_sort(F.collect_list("g")).alias("all")).filter(F.col("all")[0]["n"] > 0)
+    return listed.select("pos", F.col("all")[0]["gram"].alias("gram"), F.slice(F.col("all.gram"), 2, RARE - 1).alias("others"))
 
     def _waves(self) -> list[int]:
         """Post ids that part the waves, from a sketch of the slices' smallest ids."""
@@ -116,14 +113,22 @@ class TrigramIndex:
         return sorted(set(found))
 
     def _candidates(self, lists: DataFrame, rare: DataFrame, short: DataFrame) -> DataFrame:
-        """``(pos, segment, slice, row)``: rows that are on all lists of a term's rarest trigrams."""
+        """``(pos, segment, slice, row)``: rows that are on all lists of a term's rarest trigrams.
+
+        Only the shortest list of a term goes along with the term; the others are looked up.
+        """
         piece = ["pos", *AT, "low"]
-        met = lists.join(rare, "gram").groupBy(*piece, "of").agg(F.collect_list("rows").alias("all")).filter(F.size("all") == F.col("of"))
-        both = F.aggregate(F.slice("all", 2, RARE), F.col("all")[0], lambda a, b: F.array_intersect(a, b))
-        found = met.select(*piece, F.explode(both).alias("row"))
+        met = lists.join(rare, "gram").select(*piece, "others", "rows")
+        for i in range(RARE - 1):
+            other = lists.select(F.col("gram").alias("other"), *AT, "low", F.col("rows").alias("more"))
+            met = met.withColumn("other", F.get("others", F.lit(i))).join(other, ["other", *AT, "low"], "left")
+            both = F.array_intersect("rows", F.coalesce("more", F.array().cast("array<short>")))
+            rows = F.when(F.col("other").isNull(), F.col("rows")).otherwise(both)
+            met = met.select(*piece, "others", rows.alias("rows")).filter(F.size("rows") > 0)
+        found = met.select(*piece, F.explode("rows").alias("row"))
         begins = F.explode(F.array(F.shiftright("gram", 42), F.shiftright("gram", 21))).alias("prefix")
         starts = lists.select(*AT, "low", "rows", begins).join(short, "prefix")
-        return found.union(starts.select(*piece, F.explode("rows").alias("row"))).drop("low").distinct()
+        return found.union(starts.select(*piece, F.explode("rows").alias("row")).distinct()).drop("low")
 
     def _wanted(self, asked: DataFrame) -> DataFrame:
         """Stored posts of a wave: the rows asked for, or where they are many, the slices they are in.
