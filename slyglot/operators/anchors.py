@@ -85,23 +85,20 @@ def places(hashes: np.ndarray, words: int) -> Iterator[np.ndarray]:
 def gram_counts(texts: DataFrame, sizes: list[int]) -> np.ndarray:
     """How often q-grams stand in a sample of ``texts.text``, by the low bits of their hash.
 
-    The driver gets one number for each of ``SLOTS`` slots that is not zero.
+    The sample is in one task or a few, and the driver gets the ``SLOTS`` counts of each.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, np.int64)
+        total = np.zeros(SLOTS, np.int32)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for found in gram_hashes(points_of(text or ""), sizes).values():
                     np.add.at(total, (found & np.uint64(SLOTS - 1)).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"at": at, "n": total[at]})
+        yield pa.RecordBatch.from_pydict({"counts": pa.array([total.tobytes()], pa.binary())})
 
     sample = texts.select(F.lower("text").alias("text")).limit(SAMPLE_ROWS)
-    held = sample.mapInArrow(counted, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(SLOTS, np.int64)
-    counts[held["at"].to_numpy(np.int64)] = held["n"].to_numpy(np.int64)
-    return np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
+    held = [np.frombuffer(r.counts, np.int32) for r in sample.mapInArrow(counted, "counts binary").collect()]
+    return np.sum(held, axis=0, dtype=np.int64) if held else np.zeros(SLOTS, np.int64)
 
 
 def anchored(patterns: DataFrame, texts: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ RARE = 3
 #: Slices of the first wave, and how many times more each next one has.
 FIRST_SLICES, MORE = 4, 8
 BUCKETS = 64
+#: Terms that one task verifies in a slice, about.
+TERMS = 100_000
 AT = ["segment", "slice"]
 
 
@@ -113,7 +116,7 @@ class TrigramIndex:
         return sorted(set(found))
 
     def _candidates(self, lists: DataFrame, rare: DataFrame, short: DataFrame) -> DataFrame:
-        """``(pos, segment, slice, row)``: rows that are on all lists of a term's rarest trigrams.
+        """``(pos, segment, slice, rows)``: rows that are on all lists of a term's rarest trigrams.
 
         Only the shortest list of a term goes along with the term; the others are looked up.
         """
@@ -125,20 +128,43 @@ class TrigramIndex:
             both = F.array_intersect("rows", F.coalesce("more", F.array().cast("array<short>")))
             rows = F.when(F.col("other").isNull(), F.col("rows")).otherwise(both)
             met = met.select(*piece, "others", rows.alias("rows")).filter(F.size("rows") > 0)
-        found = met.select(*piece, F.explode("rows").alias("row"))
         begins = F.explode(F.array(F.shiftright("gram", 42), F.shiftright("gram", 21))).alias("prefix")
         starts = lists.select(*AT, "low", "rows", begins).join(short, "prefix")
-        return found.union(starts.select(*piece, F.explode("rows").alias("row")).distinct()).drop("low")
+        return met.select(*piece, "rows").union(starts.select(*piece, "rows")).drop("low")
 
-    def _wanted(self, asked: DataFrame) -> DataFrame:
-        """Stored posts of a wave: the rows asked for, or where they are many, the slices they are in.
+    def _verified(self, asked: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
+        """``(pos, post_id, url)``: the first ``limit`` posts of each slice that hold a term asked of it.
 
-        What is dropped here no candidate needs; it only spares the shuffle of its text.
+        A task has the texts of one slice, and up to about ``TERMS`` terms.
         """
-        rows = settled(asked.select(*AT, "row").distinct(), "asked-rows")
-        if not is_small(rows):
-            rows = settled(rows.select(*AT).distinct(), "asked-slices")
-        return self._read("posts").join(build_side(rows, is_small(rows)), rows.columns, "left_semi")
+        groups = max(1, -(-terms.count() // TERMS))
+        share = F.pmod(F.xxhash64("pos"), F.lit(groups)).cast("int").alias("share")
+        slices = settled(asked.select(*AT).distinct(), "asked-slices")
+        posts = self._read("posts").join(build_side(slices, is_small(slices)), AT, "left_semi")
+        posts = posts.select(*AT, F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("share"), "row", "post_id", "url", "lowered")
+        wanted = asked.join(terms.select("pos", "pattern"), "pos").select(*AT, share, "pos", "pattern", "rows")
+        kinds = {f.name: f.dataType.simpleString() for f in posts.schema}
+
+        def hits(stored: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+            stored = stored.sort_values(["post_id", "url"]) if len(stored) else stored
+            place = np.full(1 << 15, -1)
+            place[stored["row"].to_numpy(np.int64)] = np.arange(len(stored))
+            texts, pos, at = stored["lowered"].tolist(), [], []
+            for term, pattern, rows in zip(asked["pos"], asked["pattern"], asked["rows"]):
+                n = 0
+                for i in sorted(set(place[np.asarray(rows, np.int64)].tolist())):
+                    if pattern in texts[i]:
+                        pos.append(term)
+                        at.append(i)
+                        n += 1
+                        if n == limit:
+                            break
+            found = stored.iloc[at]
+            return pd.DataFrame({"pos": pos, "post_id": found["post_id"].to_numpy(), "url": found["url"].to_numpy()})
+
+        key = [*AT, "share"]
+        together = posts.groupBy(*key).cogroup(wanted.groupBy(*key))
+        return together.applyInPandas(hits, f"pos long, post_id {kinds['post_id']}, url {kinds['url']}")
 
     def search(self, terms: DataFrame, limit: int) -> DataFrame:
         """``(pos, term, post_id, url)``: the first ``limit`` posts by id of every ``(pos, term)``.
@@ -160,10 +186,7 @@ class TrigramIndex:
             for bound, test in ((begin, F.col("low") >= begin if begin is not None else None), (end, F.col("low") < end if end is not None else None)):
                 lists = lists if bound is None else lists.filter(test)
             asked = self._candidates(lists, rare.join(left, "pos", "left_semi"), short.join(left, "pos", "left_semi"))
-            asked = settled(asked, "candidates")
-            posts = self._wanted(asked).join(asked.join(terms.select("pos", "pattern"), "pos"), [*AT, "row"])
-            hits = posts.filter(F.contains("lowered", "pattern"))
-            found.append(settled(hits.select("pos", "post_id", "url"), "term-hits"))
+            found.append(settled(self._verified(settled(asked, "candidates"), terms, limit), "term-hits"))
             if end is None:
                 break
             begin = end
