@@ -33,7 +33,7 @@ BITS_PER_ANCHOR = 16
 MOST_WORDS = 1 << 19
 PROBES = 3
 #: Characters of texts that are hashed together.
-CHUNK_CHARS = 250_000
+CHUNK_CHARS = 100_000
 
 
 def points_of(text: str) -> np.ndarray:
@@ -168,9 +168,14 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(first)
 
 
-def stands(texts: DataFrame, keys: list[str], wanted: AnchorFilter, longest: int) -> DataFrame:
-    """``(keys, anchor, around)``: where an anchor may stand in ``texts.lowered``, with the text around it."""
-    schema = texts.select(*keys).schema.add("anchor", "string").add("around", "string")
+def stands(texts: DataFrame, keys: list[str], wanted: list[tuple[AnchorFilter, int]]) -> DataFrame:
+    """``(keys, kind, anchor, around)``: where an anchor may stand in ``texts.lowered``, with the text around it.
+
+    ``wanted`` has a filter and the longest pattern for each kind of patterns; the texts
+    are read and hashed once for all.
+    """
+    schema = texts.select(*keys).schema.add("kind", "integer").add("anchor", "string").add("around", "string")
+    sizes = sorted({q for anchors, _ in wanted for q in anchors.sizes})
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,18 +183,22 @@ def stands(texts: DataFrame, keys: list[str], wanted: AnchorFilter, longest: int
                 texts = part.column(part.num_columns - 1).to_pylist()
                 ends = np.cumsum([len(t) for t in texts])
                 begins = np.r_[0, ends[:-1]]
-                rows, anchors, around = [], [], []
-                for q, hashes in gram_hashes(points_of("".join(texts)), wanted.sizes).items():
-                    at = np.flatnonzero(wanted.test(hashes))
-                    owner = np.searchsorted(ends, at, side="right")
-                    inside = at + q <= ends[owner]
-                    at, owner = at[inside], owner[inside]
-                    for row, p in zip(owner.tolist(), (at - begins[owner]).tolist()):
-                        text = texts[row]
-                        rows.append(row)
-                        anchors.append(text[p:p + q])
-                        around.append(text[max(0, p - longest + 1):p + longest])
+                rows, kinds, anchors, around = [], [], [], []
+                hashes = gram_hashes(points_of("".join(texts)), sizes)
+                for kind, (known, longest) in enumerate(wanted):
+                    for q in known.sizes:
+                        at = np.flatnonzero(known.test(hashes[q]))
+                        owner = np.searchsorted(ends, at, side="right")
+                        inside = at + q <= ends[owner]
+                        at, owner = at[inside], owner[inside]
+                        for row, p in zip(owner.tolist(), (at - begins[owner]).tolist()):
+                            text = texts[row]
+                            rows.append(row)
+                            kinds.append(kind)
+                            anchors.append(text[p:p + q])
+                            around.append(text[max(0, p - longest + 1):p + longest])
                 picked = part.select(keys).take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(anchors, pa.string()), pa.array(around, pa.string())], [*keys, "anchor", "around"])
+                made = [pa.array(kinds, pa.int32()), pa.array(anchors, pa.string()), pa.array(around, pa.string())]
+                yield pa.RecordBatch.from_arrays([*picked.columns, *made], [*keys, "kind", "anchor", "around"])
 
     return texts.select(*keys, "lowered").mapInArrow(found, schema)

@@ -37,7 +37,7 @@ from slyglot.session import scratch_path
 
 #: Edits up to which words are keyed by what is left without some letters.
 DELETED = 2
-#: Patterns beyond so many characters are searched apart from the others.
+#: Patterns beyond so many characters take more text along than the others.
 LONG_PATTERN = 64
 #: A lexicon is broadcast up to so many rows and characters; its keys are a few times as many.
 BROADCAST_ROWS = 200_000
@@ -232,14 +232,6 @@ def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame, key=skeleton_key)
     )
 
 
-def _scanned(texts: DataFrame, keys: list[str], anchored: DataFrame, small: bool) -> DataFrame:
-    """``(keys, pattern)`` of texts that contain a pattern, found through the patterns' anchors."""
-    longest = anchored.agg(F.max(F.length("pattern"))).first()[0]
-    at = anchors.stands(texts, keys, anchors.anchor_filter(anchored, INLINE_ANCHORS), longest)
-    side = build_side(anchored.select("anchor", "pattern"), small)
-    return at.join(side, "anchor").filter(F.contains("around", "pattern")).select(*keys, "pattern")
-
-
 def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] = "post_id") -> DataFrame:
     """D13-D15 at scale: distinct ``(post_id, pattern)`` where the text contains the pattern.
 
@@ -247,8 +239,8 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] =
     its anchors (see ``anchors``): the rarest q-gram of each pattern, by a sample of the
     texts. The scan tests all positions against a filter of the anchors, and only those
     that pass become rows that meet the patterns in a join. Patterns longer than
-    ``LONG_PATTERN`` are searched apart, so that they do not widen what goes with the
-    others. The rows are the same.
+    ``LONG_PATTERN`` are a kind of their own, so that they do not widen the text that goes
+    with the others. The rows are the same.
     """
     keys = [key] if isinstance(key, str) else key
     patterns = patterns.select("pattern").filter(F.length("pattern") > 0).distinct()
@@ -258,12 +250,19 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] =
         listed = F.array(*(F.lit(p.pattern) for p in few)).cast("array<string>")
         found = F.filter(listed, lambda p: F.contains(F.col("lowered"), p))
         return lowered.select(*keys, F.explode(found).alias("pattern")).distinct()
-    placed = settled(anchors.anchored(patterns, posts), "anchors")
+    long = (F.length("pattern") > LONG_PATTERN).cast("int").alias("kind")
+    placed = settled(anchors.anchored(patterns, posts).select("*", long), "anchors")
     small = is_small(placed.select("pattern"))
+    longest = {r.kind: r.longest for r in placed.groupBy("kind").agg(F.max(F.length("pattern")).alias("longest")).collect()}
+    nothing = anchors.AnchorFilter([])
+    wanted = [
+        (anchors.anchor_filter(placed.filter(F.col("kind") == kind), INLINE_ANCHORS) if kind in longest else nothing, longest.get(kind, 0))
+        for kind in (0, 1)
+    ]
     texts = posts.select(*keys, F.lower("text").alias("lowered")).filter(F.length("lowered") > 0)
-    usual = F.length("pattern") <= LONG_PATTERN
-    groups = [g for g in (placed.filter(usual), placed.filter(~usual)) if not g.isEmpty()]
-    return reduce(DataFrame.union, (_scanned(texts, keys, g, small) for g in groups)).distinct()
+    at = anchors.stands(texts, keys, wanted)
+    side = build_side(placed.select("kind", "anchor", "pattern"), small)
+    return at.join(side, ["kind", "anchor"]).filter(F.contains("around", "pattern")).select(*keys, "pattern").distinct()
 
 
 def cited_labels(posts: DataFrame, entries: DataFrame, key: str = "post_id") -> DataFrame:

@@ -18,9 +18,11 @@ wave, and a rare one has short lists.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -37,6 +39,8 @@ RARE = 3
 #: Slices of the first wave, and how many times more each next one has.
 FIRST_SLICES, MORE = 4, 8
 BUCKETS = 64
+#: Terms that are looked up row by row at most; more are searched together in each slice they may be in.
+FEW_TERMS = 1000
 #: Terms that one task verifies in a slice, about.
 TERMS = 100_000
 AT = ["segment", "slice"]
@@ -115,11 +119,19 @@ class TrigramIndex:
         found = slices.agg(F.percentile_approx("low", shares, 10_000)).first()[0] if shares else []
         return sorted(set(found))
 
-    def _candidates(self, lists: DataFrame, rare: DataFrame, short: DataFrame) -> DataFrame:
-        """``(pos, segment, slice, rows)``: rows that are on all lists of a term's rarest trigrams.
+    def _candidates(self, lists: DataFrame, rare: DataFrame, short: DataFrame, with_rows: bool) -> DataFrame:
+        """``(pos, segment, slice, rows)``: where all of a term's rarest trigrams are.
 
-        Only the shortest list of a term goes along with the term; the others are looked up.
+        With rows, the rows of a slice that are on all lists: only the shortest list of a
+        term goes along with it, the others are looked up. Without, the slices that the
+        rarest trigram is in, and no rows.
         """
+        none = F.lit(None).cast("array<short>").alias("rows")
+        begins = F.explode(F.array(F.shiftright("gram", 42), F.shiftright("gram", 21))).alias("prefix")
+        starts = lists.select(*AT, "low", "rows" if with_rows else none, begins).join(short, "prefix").select("pos", *AT, "rows")
+        if not with_rows:
+            slices = lists.select("gram", *AT).join(rare.select("pos", "gram"), "gram").select("pos", *AT, none)
+            return slices.union(starts).distinct()
         piece = ["pos", *AT, "low"]
         met = lists.join(rare, "gram").select(*piece, "others", "rows")
         for i in range(RARE - 1):
@@ -128,9 +140,7 @@ class TrigramIndex:
             both = F.array_intersect("rows", F.coalesce("more", F.array().cast("array<short>")))
             rows = F.when(F.col("other").isNull(), F.col("rows")).otherwise(both)
             met = met.select(*piece, "others", rows.alias("rows")).filter(F.size("rows") > 0)
-        begins = F.explode(F.array(F.shiftright("gram", 42), F.shiftright("gram", 21))).alias("prefix")
-        starts = lists.select(*AT, "low", "rows", begins).join(short, "prefix")
-        return met.select(*piece, "rows").union(starts.select(*piece, "rows")).drop("low")
+        return met.select("pos", *AT, "rows").union(starts)
 
     def _verified(self, asked: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
         """``(pos, post_id, url)``: the first ``limit`` posts of each slice that hold a term asked of it.
@@ -146,19 +156,27 @@ class TrigramIndex:
         kinds = {f.name: f.dataType.simpleString() for f in posts.schema}
 
         def hits(stored: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+            """Texts in the order of their ids, each read once for all patterns that may be in it."""
             stored = stored.sort_values(["post_id", "url"]) if len(stored) else stored
-            place = np.full(1 << 15, -1)
-            place[stored["row"].to_numpy(np.int64)] = np.arange(len(stored))
-            texts, pos, at = stored["lowered"].tolist(), [], []
-            for term, pattern, rows in zip(asked["pos"], asked["pattern"], asked["rows"]):
-                n = 0
-                for i in sorted(set(place[np.asarray(rows, np.int64)].tolist())):
-                    if pattern in texts[i]:
-                        pos.append(term)
-                        at.append(i)
-                        n += 1
-                        if n == limit:
-                            break
+            terms = ahocorasick.Automaton()
+            for pattern, pos in zip(asked["pattern"], asked["pos"]):
+                terms.get(pattern, None) or terms.add_word(pattern, (pattern, []))
+                terms.get(pattern)[1].append(pos)
+            needed = np.ones(1 << 15, bool)
+            if len(asked) and asked["rows"].notna().all():
+                needed[:] = False
+                for rows in asked["rows"]:
+                    needed[np.asarray(rows, np.int64)] = True
+            pos, at, seen = [], [], Counter()
+            if len(asked):
+                terms.make_automaton()
+            for i, (row, text) in enumerate(zip(stored["row"], stored["lowered"])):
+                if len(asked) and needed[row]:
+                    for pattern, owners in dict(value for _, value in terms.iter(text)).items():
+                        seen[pattern] += 1
+                        if seen[pattern] <= limit:
+                            pos += dict.fromkeys(owners)
+                            at += [i] * len(set(owners))
             found = stored.iloc[at]
             return pd.DataFrame({"pos": pos, "post_id": found["post_id"].to_numpy(), "url": found["url"].to_numpy()})
 
@@ -180,12 +198,13 @@ class TrigramIndex:
         two = F.shiftleft(F.get("p", F.lit(0)), 21).bitwiseOR(F.get("p", F.lit(1)))
         short = cut.filter(F.size("p").between(1, 2)).select("pos", F.coalesce(F.when(F.size("p") == 2, two), F.get("p", F.lit(0))).alias("prefix"))
         short = settled(short, "short-terms")
+        with_rows = terms.count() <= FEW_TERMS
         left, found, begin = terms.select("pos"), [], None
         for end in [*self._waves(), None]:
             lists = self._read("lists")
             for bound, test in ((begin, F.col("low") >= begin if begin is not None else None), (end, F.col("low") < end if end is not None else None)):
                 lists = lists if bound is None else lists.filter(test)
-            asked = self._candidates(lists, rare.join(left, "pos", "left_semi"), short.join(left, "pos", "left_semi"))
+            asked = self._candidates(lists, rare.join(left, "pos", "left_semi"), short.join(left, "pos", "left_semi"), with_rows)
             found.append(settled(self._verified(settled(asked, "candidates"), terms, limit), "term-hits"))
             if end is None:
                 break

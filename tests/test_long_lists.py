@@ -92,9 +92,10 @@ def searched(frame):
     return {pos: sorted(hits) for pos, hits in found.items()}
 
 
-@pytest.mark.parametrize("limit", [3, 1000])
-def test_index_finds_the_first_posts_of_every_term(spark, monkeypatch, tmp_path, limit):
+@pytest.mark.parametrize("limit,few", [(3, 1000), (1000, 0)])
+def test_index_finds_the_first_posts_of_every_term(spark, monkeypatch, tmp_path, limit, few):
     """In two segments stored out of order, over slices of a few rows, with terms of every kind."""
+    monkeypatch.setattr(trigram_index, "FEW_TERMS", few)
     monkeypatch.setattr(trigram_index, "SLICE", 4)
     rows, words = made_posts(4)
     rows = [r for r in rows if "İ" not in (r[2] or "")]
