@@ -127,25 +127,23 @@ def anchored(patterns: DataFrame, texts: DataFrame) -> DataFrame:
     return sized.mapInArrow(chosen, "pattern string, q int, anchor string")
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [int(gram_hashes(points_of(a), [len(a)])[len(a)][0]) for a in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_pydict({"h": np.array(found, np.uint64).view(np.int64)})
+def _hashes(anchors: list[str]) -> np.ndarray:
+    return np.array([gram_hashes(points_of(a), [len(a)])[len(a)][0] for a in anchors], np.uint64)
 
 
 def anchor_filter(placed: DataFrame, most_listed: int) -> AnchorFilter:
     """The filter over ``placed.anchor``. The driver gets the list, or the filter's words."""
     sizes = sorted(r.q for r in placed.select("q").distinct().collect())  # at most one for each length of GRAMS
-    known = placed.select("anchor").distinct().mapInArrow(_hashed, "h long")
+    known = placed.select("anchor").distinct()
     few = known.limit(most_listed + 1).collect()
     if len(few) <= most_listed:
-        return AnchorFilter(sizes, hashes=np.sort(np.array([r.h for r in few], np.int64).view(np.uint64)))
-    wanted = max(1, -(-placed.select("anchor").distinct().count() * BITS_PER_ANCHOR // 64))
+        return AnchorFilter(sizes, hashes=np.sort(_hashes([r.anchor for r in few])))
+    wanted = max(1, -(-known.count() * BITS_PER_ANCHOR // 64))
     words = min(MOST_WORDS, 1 << (wanted - 1).bit_length())
 
     def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = np.concatenate(list(places(np.array(batch.column(0)).view(np.uint64), words)))
+            place = np.concatenate(list(places(_hashes(batch.column(0).to_pylist()), words)))
             yield pa.RecordBatch.from_pydict({
                 "at": (place >> np.uint64(6)).astype(np.int64), "bits": (np.uint64(1) << (place & np.uint64(63))).view(np.int64)})
 
