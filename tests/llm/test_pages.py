@@ -1,5 +1,7 @@
 """URL judging and main text extraction."""
 
+import pytest
+
 from slyglot.llm import html_wrapper, url_markov
 from slyglot.llm.queries import URL_RULES
 
@@ -60,6 +62,31 @@ def test_blocks_of_one_page():
     assert html_wrapper.extract("<div>" * 3000 + "x", set(), set()) == "x"
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="content has-sidebar">{}</div>', '<div class="site no-sidebar">{}</div>', '<div class="long-form">{}</div>', '<div class="post post-search">{}</div>',
+    '<article class="post has-comments">{}</article>', '<section id="comments-on-caesar">{}</section>', '<div id="legal-article">{}</div>',
+    '<div data-id="reply-3">{}</div>', '<div data-role="header">{}</div>', '<div data-hidden="false">{}</div>', '<div aria-label="Hidden gems">{}</div>',
+    '<div title="a hidden valley">{}</div>', '<div class="comments">{}</div>', '<div id="reviews">{}</div>', '<div class="wrap"><article><p>Teaser.</p></article>{}</div>',
+    '<div class="cookie-notice">We use cookies</div><div class="article-body">{}</div><div class="article-comments">Nice one!</div>',
+    "<nav>" + "<div>" * 500 + "Deep menu" + "</div>" * 500 + "</nav><div>{}</div>",
+])
+def test_names_and_other_attributes_do_not_lose_the_article(page):
+    told = "<p>It was a long way over the hills.</p><p>Then <math><mi>x</mi></math> was found, and all was well.</p>"
+    text = html_wrapper.extract("<body>" + page.format(told) + "<footer>by me</footer></body>", set(), set())
+    assert text.removeprefix("Teaser.\n") == "It was a long way over the hills.\nThen x was found, and all was well."
+
+
+def test_names_mark_what_stands_beside_the_article():
+    story = "<p>" + "A story that is long enough to be the most of all text. " * 5 + "</p>"
+    for name in ("sidebar", "site-header", "comment-list", "related-links", "ad", "entry-comments", "page-footer", "newsletter box"):
+        assert html_wrapper.extract(f'<body>{story}<div class="{name}">Something beside it</div></body>', set(), set()) == story[3:-5], name
+
+
+def test_a_very_long_page_is_read_whole():
+    lines = [f"Line {i} of a very long page" for i in range(20_000)]
+    assert html_wrapper.extract("<body>" + "".join(f"<p>{t}" for t in lines) + "</body>", set(), set()) == "\n".join(lines)
+
+
 def test_simple_tree_matching_keeps_order():
     tree = lambda *names: html_wrapper.Node("body", children=[html_wrapper.Node(n) for n in names])
     size, pairs = html_wrapper.align(tree("p", "div", "p", "ul"), tree("div", "ul", "p"))
