@@ -1,5 +1,7 @@
 """URL judging and main text extraction."""
 
+import random
+
 import pytest
 
 from slyglot.llm import html_wrapper, url_markov
@@ -94,6 +96,51 @@ def test_simple_tree_matching_keeps_order():
     assert html_wrapper.align(tree("p"), html_wrapper.Node("div"))[0] == 0
 
 
+def plain_matching(a, b):
+    """The size of the largest matching of two trees that keeps order and parents, by trying all."""
+    if a.name != b.name:
+        return 0
+
+    def lists(xs, ys):
+        if not xs or not ys:
+            return 0
+        return max(lists(xs[1:], ys), lists(xs, ys[1:]), plain_matching(xs[0], ys[0]) + lists(xs[1:], ys[1:]) if xs[0].name == ys[0].name else 0)
+
+    return 1 + (a.text != "" and a.text == b.text) + lists(a.children, b.children)
+
+
+def random_tree(rng, depth=0):
+    node = html_wrapper.Node(rng.choice("pd") if depth else "page", rng.choice(["", "x", "y"]) if depth > 1 else "")
+    if depth < 3 and not node.text:
+        node.children = [random_tree(rng, depth + 1) for _ in range(rng.randint(0, 3))]
+    return node
+
+
+def test_alignment_equals_the_largest_matching():
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = random_tree(rng), random_tree(rng)
+        size, pairs = html_wrapper.align(a, b)
+        assert size == plain_matching(a, b) and len(pairs) <= size
+
+
+def test_aligned_pages_show_their_constant_nodes():
+    def tree(page):
+        parsed = html_wrapper.parse(page)
+        kept = html_wrapper._content(parsed)
+        return html_wrapper.tree_of(parsed, kept), {html_wrapper._key(b): b.text for b in kept}
+
+    body = lambda i, extra: f"<body><nav>Menu</nav><div><p>Read our terms</p>{extra}<p>Story {i}</p></div><div><b>Printed in Rome</b></div></body>"
+    pages = [tree(body(i, "<p>More</p>" * (i % 3))) for i in range(4)]
+    texts = {k: t for _, known in pages for k, t in known.items()}
+    assert {texts[k] for k in html_wrapper.constants([t for t, _ in pages])} >= {"Read our terms", "Printed in Rome"}
+    assert not {texts[k] for k in html_wrapper.constants([t for t, _ in pages])} & {f"Story {i}" for i in range(4)}
+    long = lambda i: tree("<body>" + "".join(f"<p>Line {j if j % 2 else (i, j)}</p>" for j in range(500)) + "</body>")
+    (a, known), (b, _) = long(1), long(2)
+    assert {known[k] for k in html_wrapper.constants([a, b])} == {f"Line {j}" for j in range(1, 500, 2)}
+    assert tree("<div>" * 300 + "x")[0] == [] and html_wrapper.constants([[], []]) == set()
+
+
 def test_constant_nodes_become_template_and_copies_do_not(spark):
     body = lambda i: f"<body><div><p>Read our terms</p><p>Story number {i} is long</p><p>Printed in Rome</p></div></body>"
     rows = [(f"http://a.org/{i}", body(i)) for i in range(8)] + [(f"http://b.org/{i}", body(1)) for i in range(8)] + [("http://c.org/", body(1)), (None, None), ("x", "")]
