@@ -963,7 +963,7 @@ def post_lookup_bucketed(spark, d):
 @query
 def label_events_sink(spark, d):
     """Label events of all posts, written twice as one batch and read back."""
-    made = events.post_events(L.label_evasion(corpus.posts(spark, d), LEX), LABELER_DID)
+    made = lexicon_join.settled(events.post_events(L.label_evasion(corpus.posts(spark, d), LEX), LABELER_DID), "made")
     path = scratch_path(spark, "events")
     for _ in range(2):
         event_sink.write_batch(made, path, "first")
