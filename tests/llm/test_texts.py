@@ -200,11 +200,47 @@ def test_encoding_of_awkward_rows(spark, library):
 
 
 def test_bundles_are_sums_of_bound_and_permuted_letters():
-    random_letters = np.random.default_rng(hyper_lang.SEED).choice(np.array([-1, 1], np.int8), (hyper_lang.SYMBOLS, hyper_lang.DIMENSION)).astype(int)
-    symbols = [0, 1, 2, 3, 0]  # "abc" between its word ends
-    expected = sum(np.roll(random_letters[a], 2) * np.roll(random_letters[b], 1) * random_letters[c] for a, b, c in zip(symbols, symbols[1:], symbols[2:]))
-    assert np.array_equal(hyper_lang.bundle("ABC!"), expected)
+    def letter(c):
+        bits = hyper_lang.letter_bits(np.array([ord(c) if c else 0]))
+        return 1 - 2 * np.unpackbits(bits.view(np.uint8), bitorder="little").astype(int)
+
+    for text, letters in (("ABC!", ["", "a", "b", "c", ""]), ("Жuё 中", ["", "ж", "u", "ё", "", "中", ""])):
+        bound = (np.roll(letter(a), 128) * np.roll(letter(b), 64) * letter(c) for a, b, c in zip(letters, letters[1:], letters[2:]))
+        assert np.array_equal(hyper_lang.bundle(text), sum(bound))
+    assert np.array_equal(hyper_lang.bundle("abc " * 5000), 4999 * hyper_lang.bundle("abc abc ") - 4998 * hyper_lang.bundle("abc "))
     assert not hyper_lang.bundle("12 !?").any()
+    rng = random.Random(9)
+    texts = ["".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(rng.choice([0, 3, 4000, 150_000]))) for _ in range(7)]
+    assert np.array_equal(hyper_lang.bundles(texts), np.array([hyper_lang.bundle(t) for t in texts]))
+
+
+def test_every_letter_has_its_own_vector():
+    points = np.array([*range(0x20, 0x600), *range(0x4E00, 0x5600)])
+    bits = np.unpackbits(hyper_lang.letter_bits(points).view(np.uint8), axis=1).astype(np.float32)
+    assert abs(bits.mean() - 0.5) < 0.005
+    signs = 1 - 2 * bits
+    cosine = signs @ signs.T / hyper_lang.DIMENSION
+    np.fill_diagonal(cosine, 0)
+    assert np.abs(cosine).max() < 0.25
+
+
+def test_languages_of_other_scripts(spark):
+    """Two languages in Cyrillic letters, one in Greek, two in Han characters, of made-up words."""
+    rng = random.Random(4)
+    alphabets = {"ru": "абвгдежзийклмнопрстуфхцчшщыэюя", "uk": "абвгдежзийклмнопрстуфхцчшщіїєґ", "el": "αβγδεζηθικλμνξοπρστυφχψω"}
+    words = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(150)] for lang, letters in alphabets.items()}
+    words |= {lang: ["".join(chr(begin + rng.randint(0, 400)) for _ in range(2)) for _ in range(150)] for lang, begin in (("h1", 0x4E00), ("h2", 0x5500))}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(12)), lang) for i, lang in enumerate(sorted(words) * 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in hyper_lang.identify(docs, *hyper_lang.prototypes(docs)).collect()}
+    held = [(i, lang) for i, _, lang in rows if found[i].held_out]
+    assert len(held) > 50 and sum(found[i].lang_pred == lang for i, lang in held) >= 0.97 * len(held)
+
+
+def test_ties_go_to_the_first_language(spark):
+    docs = spark.createDataFrame([(i, "same words here", lang) for i in range(20) for lang in ("b", "a")], "doc_id long, text string, lang string")
+    names, profiles = hyper_lang.prototypes(docs)
+    assert names == ["a", "b"] and {r.lang_pred for r in hyper_lang.identify(docs, names, profiles).collect()} == {"a"}
 
 
 def test_languages_on_held_out_documents(spark, sf_dir):
