@@ -201,6 +201,37 @@ def test_nearest_neighbours_reach_the_recall_and_keep_ties(spark):
     assert [v for _, v, _ in found[720]][:1] == [5] or x[720] @ x[720] < max(x @ x[720])
 
 
+def recall_and_share(spark, x, **bounds):
+    """Recall of the queries against brute force, and the share of points that they visit."""
+    frame = spark.createDataFrame([(i, v.tolist(), 1, 0.0) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    found = {}
+    for r in kmeans_tree.nearest(frame, F.col("vec_id") % 20 == 0, 20, sample=400).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, len(x), 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-score)[:20].tolist()))
+    points = frame.select(F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(1), "embedding").alias("k2"), F.col("embedding").cast("array<double>").alias("v"), F.array("vec_id").alias("ids"))
+    built = kmeans_tree.index(points, 20, 400)
+    return hits / len(found) / 20, built.share(x[::20]), built
+
+
+def test_leaves_grow_in_number_with_the_table(spark, monkeypatch):
+    """Beyond the sample, full leaves are split on the executors, and a query sees a smaller share."""
+    monkeypatch.setattr(kmeans_tree, "LEAF_ROWS", 60)
+    rng = np.random.default_rng(5)
+    centres = 4 * rng.normal(size=(150, 12))
+    made = lambda n: centres[rng.integers(0, 150, n)] + rng.normal(size=(n, 12))
+    small, big = recall_and_share(spark, made(1000)), recall_and_share(spark, made(8000))
+    assert small[0] >= 0.9 and big[0] >= 0.9
+    assert big[1] < 0.75 * small[1]
+    assert len(big[2].sizes) > 3 * len(small[2].sizes) and big[2].sizes.sum() == 8000 and np.median(big[2].sizes) <= 120
+    monkeypatch.setattr(kmeans_tree, "TREE_BYTES", 8 * 13 * 100)
+    bounded = recall_and_share(spark, made(8000))
+    assert bounded[0] >= 0.9 and len(bounded[2].sizes) < len(big[2].sizes)
+
+
 def test_nearest_neighbours_of_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, None), (7, [None, 1.0]), (8, [1.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (None, [1.0, 1.0]), (40, [])]
