@@ -20,6 +20,7 @@ from slyglot.lexicons import (
     CHARSUB_LABEL,
     CHARSUB_THRESHOLD,
     HOMOPHONE_LABEL,
+    IMAGE_LABEL,
     MIN_CONTEXT,
     MIN_WORD_LENGTH,
     PHONETIC_THRESHOLD,
@@ -27,6 +28,7 @@ from slyglot.lexicons import (
     SHORT_WORD_PENALTY,
     SPECIFIC_LABELS,
     SPOONERISM_LABEL,
+    TS_LABEL,
     Lexicons,
 )
 from slyglot.operators import anchors
@@ -179,7 +181,7 @@ def phonetic_words(vocabulary: DataFrame, lexicon: DataFrame, key=skeleton_key)
     """D7 at scale: vocabulary words that sound like a lexicon word other than themselves.
 
     ``key`` is any function from a word column to two codes, a UDF included: it sees each
-    distinct word once.
+    distinct word once. Or it is a table ``(word, primary, secondary)`` of known codes.
 
     Codes agreeing at all but ``m`` of ``n`` positions share one of ``m + 1`` even
     pieces in place. With ``m = 0`` that is equality of the whole code.
@@ -283,6 +285,27 @@ def cited_labels(posts: DataFrame, entries: DataFrame, key: str = "post_id") ->
     )
 
 
+def label_basic_join(
+    posts: DataFrame, ts_patterns: DataFrame, entries: DataFrame, matched: DataFrame, key: str = "post_id"
+) -> DataFrame:
+    """D18 for lists of any size: ``(post_id, labels)`` of every post.
+
+    Labels are the T&S one, those of citations in list order without repeats, and the
+    image one. ``ts_patterns`` is ``(pattern)``, ``entries`` is ``(pos, pattern, label)``,
+    and ``matched`` has the ids of posts with a matching image. The texts are searched
+    once for both lists. What is gathered for a post is bounded by the labels.
+    """
+    ts = ts_patterns.select(F.lit(0).alias("part"), F.lit(0).cast("long").alias("pos"), "pattern", F.lit(TS_LABEL).alias("label"))
+    listed = ts.union(entries.select(F.lit(1), F.col("pos").cast("long"), "pattern", "label")).distinct()
+    hits = substring_hits(posts, listed, key).join(build_side(listed, is_small(listed)), "pattern")
+    in_text = hits.groupBy(key, "part", "label").agg(F.min("pos").alias("pos"))
+    in_images = matched.select(key).distinct().select(key, F.lit(2), F.lit(IMAGE_LABEL), F.lit(0).cast("long"))
+    found = in_text.union(in_images).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("part", "pos", "label"))).alias("found"))
+    return posts.select(key).join(found, key, "left").select(
+        key, L.safe_labels(F.transform("found", lambda f: f["label"])).alias("labels")
+    )
+
+
 def ts_posts(posts: DataFrame, patterns: DataFrame, key: str = "post_id") -> DataFrame:
     """D13/D14 at scale: ids of posts that contain any pattern."""
     return substring_hits(posts, patterns, key).select(key).distinct()
@@ -336,7 +359,8 @@ def label_evasion_join(
 
     ``harmful`` is ``(word)``, ``related`` is ``(token, related)`` (C4) and ``swaps`` is
     ``(s1, s2, o1, o2)`` (C5); ``lex`` gives substitutions and context weights. Harmful
-    words under the least length are left out, as ``Lexicons`` has none.
+    words under the least length are left out, as ``Lexicons`` has none. ``sound`` is a
+    phonetic key, as a function or as a table (see ``phonetic_words``).
 
     The first step, run when called, matches the distinct gated vocabulary and settles the
     targets: what a post must hold to earn a label. The second is one narrow pass.

@@ -41,10 +41,17 @@ def spoonerism_lookup(entries: DataFrame) -> DataFrame:
 
 
 def phonetic_vocabulary(vocabulary: DataFrame, key=skeleton_key) -> DataFrame:
-    """Both codes of each distinct word, by any key function."""
-    return vocabulary.select("word").distinct().withColumn("key", key(F.col("word"))).select(
-        "word", "key.primary", "key.secondary"
-    )
+    """Both codes of each distinct word, by any key function, or from a table of known codes.
+
+    The table is ``(word, primary, secondary)``, of any size. A word that it lacks has no
+    code and sounds like nothing; of several rows for a word the least one counts.
+    """
+    words = vocabulary.select("word").distinct()
+    if isinstance(key, DataFrame):
+        codes = [F.coalesce(name, F.lit("")).alias(name) for name in ("primary", "secondary")]
+        known = key.groupBy("word").agg(F.min(F.struct(*codes)).alias("key"))
+        return words.join(known, "word").select("word", "key.primary", "key.secondary")
+    return words.withColumn("key", key(F.col("word"))).select("word", "key.primary", "key.secondary")
 
 
 def phonetic_index(lexicon: DataFrame, key=skeleton_key) -> DataFrame:

@@ -224,6 +224,11 @@ PARTS["cited_list"] = f"""SELECT word, CAST('0x' || md5(word)[:7] AS BIGINT) AS
 PARTS["cited_first"] = """SELECT doc_id, label, min(pos) AS pos FROM documents JOIN cited_list
   ON contains(lower(text), word) GROUP BY doc_id, label"""
 PARTS["cited_labels"] = "SELECT doc_id, string_agg(label, ',' ORDER BY pos, label) AS labels FROM cited_first GROUP BY doc_id"
+PARTS["item_list"] = f"""SELECT word, CAST('0x' || md5(word)[:7] AS BIGINT) AS pos, md5(word)[8] AS label, md5(word)[9] = '0' AS is_ts FROM
+ (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD}, 1)) AS word FROM benchmark) WHERE length(word) >= 10)"""
+PARTS["item_first"] = """SELECT post_id, is_ts, CASE WHEN is_ts THEN 't-and-s' ELSE label END AS label, min(pos) AS pos FROM posts JOIN item_list
+  ON contains(lower(text), word) GROUP BY ALL"""
+PARTS["item_labels"] = "SELECT post_id, string_agg(label, ',' ORDER BY is_ts DESC, pos, label) AS labels FROM item_first GROUP BY post_id"
 PARTS["term_list"] = f"""SELECT word AS term, CAST('0x' || md5(word)[:12] AS BIGINT) AS pos, md5(word)[13] AS label FROM
  (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD}, 1)) AS word FROM conversations) WHERE length(word) >= 6)"""
 PARTS["many_hits"] = top_hits("term_list")
@@ -527,6 +532,8 @@ ORACLES = {
  ON word <> '' AND contains(lower(text), word) GROUP BY doc_id"""),
     "label_citations_long": sql("""SELECT doc_id AS post_id, coalesce(labels, '') AS labels
  FROM documents LEFT JOIN cited_labels USING (doc_id)"""),
+    "label_basic_long": sql("""SELECT post_id, concat_ws(',', labels,
+ CASE WHEN post_id IN (SELECT post_id FROM image_ids) THEN 'dog' END) AS labels FROM posts LEFT JOIN item_labels USING (post_id)"""),
     "search_top_k_indexed": sql("SELECT pos, term, post_id, url FROM many_hits"),
     "collect_positive_indexed": sql("""SELECT url, post_id, pos, 'linguistic-evasion,' || label AS labels FROM
  (SELECT *, row_number() OVER (PARTITION BY url ORDER BY pos, post_id) AS n FROM many_hits) WHERE n = 1"""),

@@ -888,6 +888,19 @@ def label_citations_long(spark, d):
     return labeled.select("post_id", joined("labels").alias("labels"))
 
 
+@query
+def label_basic_long(spark, d):
+    """All labels of Part I, by the long words of the test items: one in sixteen is a T&S word, the others citations."""
+    words, digest = listed_words(corpus.table(spark, d, "benchmark"), 10), F.md5("word")
+    is_ts = F.substring(digest, 9, 1) == "0"
+    entries = words.filter(~is_ts).select(
+        F.conv(F.substring(digest, 1, 7), 16, 10).cast("long").alias("pos"), F.col("word").alias("pattern"), F.substring(digest, 8, 1).alias("label"))
+    ts = words.filter(is_ts).select(F.col("word").alias("pattern"))
+    posts = corpus.posts(spark, d).select("post_id", "text")
+    labeled = lexicon_join.label_basic_join(posts, ts, entries, matching_posts(spark, d, corpus.post_records(spark, d)))
+    return labeled.select("post_id", joined("labels").alias("labels"))
+
+
 def searched_terms(spark, d) -> DataFrame:
     """``(pos, term, label)``: thousands of words of the conversations."""
     words = listed_words(corpus.table(spark, d, "conversations"), 6)

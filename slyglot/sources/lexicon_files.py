@@ -51,13 +51,26 @@ def _lines(spark: SparkSession, path: str, schema: str, header_as_entry: bool, s
 def read_words(
     spark: SparkSession, path: str, min_length: int = 1, header_as_entry: bool = True
 ) -> DataFrame:
-    """A2: one-column list. By default a header line is an entry like any other."""
-    return clean_words(_lines(spark, path, "value string", header_as_entry, "\x01"), min_length)
+    """A2: one-column list. By default a header line is an entry like any other.
+
+    A list that cannot be read is empty.
+    """
+    try:
+        lines = _lines(spark, path, "value string", header_as_entry, "\x01")
+    except AnalysisException:
+        lines = spark.createDataFrame([], "value string")
+    return clean_words(lines, min_length)
 
 
 def read_pairs(spark: SparkSession, path: str, header_as_entry: bool = True) -> DataFrame:
-    """A3: ``domain,label`` list; the later of two equal domains wins."""
-    lines = _lines(spark, path, "domain string, label string", header_as_entry, ",")
+    """A3: ``domain,label`` list; the later of two equal domains wins.
+
+    A list that cannot be read is empty.
+    """
+    try:
+        lines = _lines(spark, path, "domain string, label string", header_as_entry, ",")
+    except AnalysisException:
+        return spark.createDataFrame([], "domain string, label string, pos struct<path: string, start: long, line: long>")
     line_order = F.struct(
         F.col("_metadata.file_path"),
         F.col("_metadata.file_block_start"),

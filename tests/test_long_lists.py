@@ -6,7 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from slyglot.functions.phonetic import phonetic_key
+from slyglot.lexicons import IMAGE_LABEL, TS_LABEL
 from slyglot.operators import anchors, collect, lexicon_join, trigram_index
+from slyglot.operators.lexicon_prep import phonetic_vocabulary
 from slyglot.operators.trigram_index import TrigramIndex
 from slyglot.plans.queries import QUERIES
 from tests.test_plans import built_sides, plan_of
@@ -50,6 +53,32 @@ def test_patterns_are_found_by_their_anchors(spark, monkeypatch, listed, broadca
     assert {(r.post_id, r.pattern) for r in found} == wanted and len(found) == len(wanted) > 1000
 
 
+@pytest.mark.parametrize("inline", [0, 256])
+def test_basic_labels_from_tables(spark, monkeypatch, inline):
+    """T&S, citations in list order, then the image, in any way of search; a NULL text can only have the image."""
+    monkeypatch.setattr(lexicon_join, "INLINE_PATTERNS", inline)
+    texts = {1: "spam from b.com and A.com", 2: "a.com", 3: None, 4: "none", 5: "", 6: "b.com again by both.b.com scam"}
+    posts = spark.createDataFrame(list(texts.items()), "post_id long, text string")
+    ts = spark.createDataFrame([("spam",), ("scam",), ("spam",), (None,), ("",)], "pattern string")
+    entries = spark.createDataFrame([(3, "a.com", "A"), (1, "b.com", "B"), (2, "both.b.com", "A"), (0, "spam", "S")], "pos int, pattern string, label string")
+    images = spark.createDataFrame([(1,), (3,), (3,), (99,)], "post_id long")
+    got = {r.post_id: r.labels for r in lexicon_join.label_basic_join(posts, ts, entries, images).collect()}
+    assert got == {1: [TS_LABEL, "S", "B", "A", IMAGE_LABEL], 2: ["A"], 3: [IMAGE_LABEL], 4: [], 5: [], 6: [TS_LABEL, "B", "A"]}
+    nothing = lexicon_join.label_basic_join(posts, ts.limit(0), entries.limit(0), images.limit(0))
+    assert {tuple(r.labels) for r in nothing.collect()} == {()} and nothing.count() == 6
+
+
+def test_phonetic_codes_from_a_table(spark):
+    """A table of codes gives what the key function does; a word that it lacks sounds like nothing."""
+    words = spark.createDataFrame([("phishing",), ("fishing",), ("fishinq",), ("other",)], "word string")
+    lexicon = words.filter("word = 'phishing'")
+    known = phonetic_vocabulary(words, phonetic_key)
+    by_table = {r.word for r in lexicon_join.phonetic_words(words, lexicon, known.filter("word <> 'fishinq'")).collect()}
+    assert "fishing" in by_table and "fishinq" not in by_table
+    by_key = {r.word for r in lexicon_join.phonetic_words(words, lexicon, phonetic_key).collect()}
+    assert {r.word for r in lexicon_join.phonetic_words(words, lexicon, known.union(known)).collect()} == by_key
+
+
 def test_the_rarest_gram_is_the_anchor(spark):
     texts = spark.createDataFrame([("the cat sat on the mat",)] * 5, "text string")
     patterns = spark.createDataFrame([("the catx",), ("ca",), ("q",), ("on the mats are",)], "pattern string")

@@ -61,6 +61,14 @@ def test_unreadable_json_is_empty(spark, tmp_path):
     assert files.read_substitutions(spark, str(tmp_path / "none.json")).count() == 0
 
 
+def test_unreadable_lists_are_empty(spark, tmp_path):
+    words, pairs = files.read_words(spark, str(tmp_path / "none.txt")), files.read_pairs(spark, str(tmp_path / "none.csv"))
+    assert words.columns == ["word"] and words.count() == 0
+    assert pairs.columns == ["domain", "label", "pos"] and pairs.count() == 0
+    loaded = files.load_lexicons(spark, str(tmp_path))
+    assert (loaded.harmful, loaded.ts_words, loaded.news, loaded.homophones) == ((), (), (), ())
+
+
 def test_large_list_is_not_pulled_to_the_driver(spark):
     with pytest.raises(ValueError, match="lexicon_join"):
         files.bounded_rows(spark.range(11), 10)
