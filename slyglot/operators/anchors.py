@@ -32,7 +32,7 @@ SLOTS = 1 << 20
 BITS_PER_ANCHOR = 16
 MOST_WORDS = 1 << 19
 PROBES = 3
-#: Characters of texts that are hashed together.
+#: Characters that are hashed together, of several texts or of a piece of a longer one.
 CHUNK_CHARS = 100_000
 
 
@@ -47,16 +47,23 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 def gram_hashes(points: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
     """The hash of the q-gram at each position, for every wanted length; shorter arrays for longer ones."""
+    needed = set(sizes)
+    for q in reversed(GRAMS):
+        needed.update(HALVES.get(q, ()) if q in needed else ())
     made = {1: _mixed(points.astype(np.uint64) + np.uint64(1))}
+    for q in GRAMS[1:]:  # halves come before what is made of them
+        if q in needed:
+            (h, _), n = HALVES[q], max(0, len(points) - q + 1)
+            head, tail = (made[half] for half in HALVES[q])
+            made[q] = _mixed(head[:n] * np.uint64(2 * q + 1) + tail[h:h + n])
+    return {q: made[q] for q in sizes}
 
-    def of(q: int) -> np.ndarray:
-        if q not in made:
-            head, tail = (of(h) for h in HALVES[q])
-            n = max(0, len(points) - q + 1)
-            made[q] = _mixed(head[:n] * np.uint64(2 * q + 1) + tail[HALVES[q][0]:HALVES[q][0] + n])
-        return made[q]
 
-    return {q: of(q) for q in sizes}
+def pieces(text: str, sizes: list[int]) -> Iterator[tuple[int, dict[int, np.ndarray]]]:
+    """The start of each piece of a text, and the hashes of the q-grams that begin in it, however long the text is."""
+    for start in range(0, len(text), CHUNK_CHARS):
+        points = points_of(text[start:start + CHUNK_CHARS + max(sizes, default=1) - 1])
+        yield start, {q: found[:CHUNK_CHARS] for q, found in gram_hashes(points, sizes).items()}
 
 
 @dataclass
@@ -92,8 +99,9 @@ def gram_counts(texts: DataFrame, sizes: list[int]) -> np.ndarray:
         total = np.zeros(SLOTS, np.int32)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for found in gram_hashes(points_of(text or ""), sizes).values():
-                    np.add.at(total, (found & np.uint64(SLOTS - 1)).astype(np.int64), 1)
+                for _, hashes in pieces(text or "", sizes):
+                    for found in hashes.values():
+                        np.add.at(total, (found & np.uint64(SLOTS - 1)).astype(np.int64), 1)
         yield pa.RecordBatch.from_pydict({"counts": pa.array([total.tobytes()], pa.binary())})
 
     sample = texts.select(F.lower("text").alias("text")).limit(SAMPLE_ROWS)
@@ -181,22 +189,22 @@ def stands(texts: DataFrame, keys: list[str], wanted: list[tuple[AnchorFilter, i
                 texts = part.column(part.num_columns - 1).to_pylist()
                 ends = np.cumsum([len(t) for t in texts])
                 begins = np.r_[0, ends[:-1]]
-                rows, kinds, anchors, around = [], [], [], []
-                hashes = gram_hashes(points_of("".join(texts)), sizes)
-                for kind, (known, longest) in enumerate(wanted):
-                    for q in known.sizes:
-                        at = np.flatnonzero(known.test(hashes[q]))
-                        owner = np.searchsorted(ends, at, side="right")
-                        inside = at + q <= ends[owner]
-                        at, owner = at[inside], owner[inside]
-                        for row, p in zip(owner.tolist(), (at - begins[owner]).tolist()):
-                            text = texts[row]
-                            rows.append(row)
-                            kinds.append(kind)
-                            anchors.append(text[p:p + q])
-                            around.append(text[max(0, p - longest + 1):p + longest])
-                picked = part.select(keys).take(pa.array(rows, pa.int64()))
-                made = [pa.array(kinds, pa.int32()), pa.array(anchors, pa.string()), pa.array(around, pa.string())]
-                yield pa.RecordBatch.from_arrays([*picked.columns, *made], [*keys, "kind", "anchor", "around"])
+                for start, hashes in pieces("".join(texts), sizes):
+                    rows, kinds, anchors, around = [], [], [], []
+                    for kind, (known, longest) in enumerate(wanted):
+                        for q in known.sizes:
+                            at = np.flatnonzero(known.test(hashes[q])) + start
+                            owner = np.searchsorted(ends, at, side="right")
+                            inside = at + q <= ends[owner]
+                            at, owner = at[inside], owner[inside]
+                            for row, p in zip(owner.tolist(), (at - begins[owner]).tolist()):
+                                text = texts[row]
+                                rows.append(row)
+                                kinds.append(kind)
+                                anchors.append(text[p:p + q])
+                                around.append(text[max(0, p - longest + 1):p + longest])
+                    picked = part.select(keys).take(pa.array(rows, pa.int64()))
+                    made = [pa.array(kinds, pa.int32()), pa.array(anchors, pa.string()), pa.array(around, pa.string())]
+                    yield pa.RecordBatch.from_arrays([*picked.columns, *made], [*keys, "kind", "anchor", "around"])
 
     return texts.select(*keys, "lowered").mapInArrow(found, schema)

@@ -79,6 +79,16 @@ def test_phonetic_codes_from_a_table(spark):
     assert {r.word for r in lexicon_join.phonetic_words(words, lexicon, known.union(known)).collect()} == by_key
 
 
+def test_patterns_across_the_pieces_of_a_long_text(spark, monkeypatch):
+    monkeypatch.setattr(lexicon_join, "INLINE_PATTERNS", 0)
+    size = anchors.CHUNK_CHARS
+    text = "x" * (size - 5) + "straddling" + "y" * (size - 13) + "one very long pattern " * 5 + "z" * size + "end"
+    posts = spark.createDataFrame([(1, text), (2, "straddl"), (3, "one very long pattern")], "post_id long, text string")
+    listed = ["straddling", "one very long pattern " * 5, "zend", "xs", "one very long patterns", "d"]
+    found = lexicon_join.substring_hits(posts, spark.createDataFrame([(p,) for p in listed], "pattern string")).collect()
+    assert {(r.post_id, r.pattern) for r in found} == {(1, p) for p in listed if p in text} | {(2, "d")}
+
+
 def test_the_rarest_gram_is_the_anchor(spark):
     texts = spark.createDataFrame([("the cat sat on the mat",)] * 5, "text string")
     patterns = spark.createDataFrame([("the catx",), ("ca",), ("q",), ("on the mats are",)], "pattern string")
@@ -100,6 +110,18 @@ def test_filter_passes_every_anchor_and_few_others(spark):
     assert bloom.test(hashes(others)).mean() < 0.02
 
 
+@pytest.mark.parametrize("chars", [1, 5, 16, 1000])
+def test_pieces_hold_every_gram_once(monkeypatch, chars):
+    monkeypatch.setattr(anchors, "CHUNK_CHARS", chars)
+    text = "abc😀éfgh" * 9
+    whole = anchors.gram_hashes(anchors.points_of(text), list(anchors.GRAMS))
+    parts = list(anchors.pieces(text, list(anchors.GRAMS)))
+    assert [start for start, _ in parts] == list(range(0, len(text), chars))
+    for q, found in whole.items():
+        assert np.array_equal(np.concatenate([hashes[q] for _, hashes in parts]), found)
+    assert list(anchors.pieces("", [])) == []
+
+
 def test_gram_hashes_depend_on_all_characters():
     points = anchors.points_of("abcdefghijklmnopqrstuvwxyz" * 2)
     for q, found in anchors.gram_hashes(points, list(anchors.GRAMS)).items():
