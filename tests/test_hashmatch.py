@@ -103,3 +103,27 @@ def test_no_references_and_no_images(spark):
     images, references = frames(spark)
     assert hashmatch.nearest(images, references.limit(0), by_parts=True).count() == 0
     assert hashmatch.nearest(images.limit(0), references, by_parts=True).count() == 0
+
+
+def test_a_value_that_many_hashes_share_meets_in_pieces(spark, monkeypatch):
+    """Rows are meetings of two arrays of bounded size, never pairs, and the minima are exact."""
+    monkeypatch.setattr(hashmatch, "PIECE", 64)
+    monkeypatch.setattr(hashmatch, "TOGETHER", 1 << 10)
+    references = [h << 16 | 0xABCD for h in make(11, 1000)]
+    references = sorted({r & (1 << 64) - 1 for r in references})
+    images = [r ^ 0b101 << 40 for r in references[:700]] + make(12, 20)
+    frame = spark.createDataFrame([(signed(h),) for h in images], "hash long")
+    known = spark.createDataFrame([(signed(r),) for r in references], "hash long")
+    met = hashmatch._met_in_round(frame, known, 0, True)
+    sizes = met.selectExpr("size(images) i", "size(refs) r").collect()
+    assert sum(s.i * s.r for s in sizes) >= 700 * len(references) > 100 * len(sizes)
+    assert max(max(s) for s in sizes) <= 2 * 64
+    found = hashmatch.nearest(frame, known, by_parts=True)
+    assert {r.hash: r.bits for r in found.collect()} == plain_nearest(images, references)
+
+
+@pytest.mark.parametrize("flips", [0, 1, 2, 3])
+def test_a_round_varies_a_value_by_listed_masks(spark, flips):
+    """Only the wanted masks are tried, not all 65,536 values of a part."""
+    masks = spark.range(1).select(hashmatch._masks(flips).alias("m")).first().m
+    assert sorted(masks) == [v for v in range(1 << 16) if v.bit_count() == flips]
