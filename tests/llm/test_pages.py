@@ -182,3 +182,16 @@ def test_near_copies_of_an_article_keep_it(spark):
     assert all(len(lines) == 11 for lines in found[:6])
     assert all(len(lines) == 10 and lines[9] == told[9] for lines in found[6:26])
     assert found[26:] == [[f"Story {i} was told by {i + 7} people"] for i in range(10)]
+
+
+def test_deep_pages_are_aligned_as_flat_ones(spark):
+    """The wrapper of a host is the same whatever depth its pages nest to."""
+    flat = [(f"http://x.org/{i}", f"<p>Our terms apply to you</p><p>{'Story %d about it. ' % i * 5}</p>") for i in range(6)]
+    texts = [
+        sorted((r.page_id, r.text) for r in html_wrapper.main_text(pages(spark, [(u, "<div>" * depth + h) for u, h in flat])).collect())
+        for depth in (0, 150, 300, 3000)
+    ]
+    assert "Our terms" not in texts[0][0][1] and all(t == texts[0] for t in texts)
+    deep = [html_wrapper._grown([(i, 7, 0) for i in range(5000)] + [(5000, 0, 9)]) for _ in range(2)]
+    size, pairs = html_wrapper.align(*deep)
+    assert size == 5001 + 2 - 1 + 1 and len(pairs) == 5002
