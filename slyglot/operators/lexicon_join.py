@@ -83,7 +83,12 @@ def post_tokens(
     distinct = F.array_distinct(T.long_words(F.col(tokens)))
     if gate is not None:
         distinct = F.when(gate, distinct)
-    return posts.select(key, F.explode(distinct).alias("word"))
+    return _exploded(posts, distinct, key).withColumnRenamed("value", "word")
+
+
+def _exploded(posts: DataFrame, values: Column, key: str) -> DataFrame:
+    """``(key, value)``, the array computed once: Spark also asks of what is exploded whether it is empty."""
+    return T.once(posts, _values=values).select(key, F.explode("_values").alias("value"))
 
 
 def posts_with_words(tokens: DataFrame, matched: DataFrame, key: str = "post_id") -> DataFrame:
@@ -245,15 +250,19 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] =
     with the others. The rows are the same.
     """
     keys = [key] if isinstance(key, str) else key
+    return lowered_hits(posts.select(*keys, F.lower("text").alias("lowered")), patterns, keys)
+
+
+def lowered_hits(lowered: DataFrame, patterns: DataFrame, keys: list[str]) -> DataFrame:
+    """``substring_hits`` of ``(keys, lowered)``, texts that are in lower case already."""
     patterns = patterns.select("pattern").filter(F.length("pattern") > 0).distinct()
     few = patterns.limit(INLINE_PATTERNS + 1).collect()
     if len(few) <= INLINE_PATTERNS:
-        lowered = posts.select(*keys, F.lower("text").alias("lowered"))
         listed = F.array(*(F.lit(p.pattern) for p in few)).cast("array<string>")
         found = F.filter(listed, lambda p: F.contains(F.col("lowered"), p))
         return lowered.select(*keys, F.explode(found).alias("pattern")).distinct()
     long = (F.length("pattern") > LONG_PATTERN).cast("int").alias("kind")
-    placed = settled(anchors.anchored(patterns, posts).select("*", long), "anchors")
+    placed = settled(anchors.anchored(patterns, lowered.select(F.col("lowered").alias("text"))).select("*", long), "anchors")
     small = is_small(placed.select("pattern"))
     longest = {r.kind: r.longest for r in placed.groupBy("kind").agg(F.max(F.length("pattern")).alias("longest")).collect()}
     nothing = anchors.AnchorFilter([])
@@ -261,8 +270,7 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] =
         (anchors.anchor_filter(placed.filter(F.col("kind") == kind), INLINE_ANCHORS) if kind in longest else nothing, longest.get(kind, 0))
         for kind in (0, 1)
     ]
-    texts = posts.select(*keys, F.lower("text").alias("lowered")).filter(F.length("lowered") > 0)
-    at = anchors.stands(texts, keys, wanted)
+    at = anchors.stands(lowered.filter(F.length("lowered") > 0), keys, wanted)
     side = build_side(placed.select("kind", "anchor", "pattern"), small)
     return at.join(side, ["kind", "anchor"]).filter(F.contains("around", "pattern")).select(*keys, "pattern").distinct()
 
@@ -311,8 +319,8 @@ def ts_posts(posts: DataFrame, patterns: DataFrame, key: str = "post_id") -> Dat
     return substring_hits(posts, patterns, key).select(key).distinct()
 
 
-def match_keys(posts: DataFrame, lex: Lexicons, key: str = "post_id") -> DataFrame:
-    """Everything about a post that a lexicon can match, as ``(post_id, kind, key)`` rows.
+def match_keys(posts: DataFrame, lex: Lexicons, key: str = "post_id", kinds: tuple[str, ...] | None = None) -> DataFrame:
+    """Everything about a post that a lexicon can match, as ``(post_id, kind, key)`` rows; only ``kinds``, if given.
 
     The gates decide which kinds a post has: its normalised words, those again in
     harmful context, its raw words in context and in strict context, its neighbouring
@@ -341,8 +349,8 @@ def match_keys(posts: DataFrame, lex: Lexicons, key: str = "post_id") -> DataFra
         )
         return F.coalesce(made, F.array().cast("array<struct<kind: string, key: string>>"))
 
-    everything = F.concat(*(tagged(kind, values) for kind, values in parts.items()))
-    return words.select(key, F.explode(everything).alias("k")).select(key, "k.kind", "k.key")
+    everything = F.concat(*(tagged(kind, values) for kind, values in parts.items() if kinds is None or kind in kinds))
+    return _exploded(words, everything, key).select(key, "value.kind", "value.key")
 
 
 def label_evasion_join(
@@ -367,7 +375,7 @@ def label_evasion_join(
     """
     bad = harmful.select("word").filter(F.length("word") >= MIN_WORD_LENGTH).distinct()
     keys = match_keys(posts, lex, key)
-    near = keys.filter(F.col("kind").isin("norm_context", "raw_strict")).groupBy(F.col("key").alias("word")).agg(
+    near = match_keys(posts, lex, key, ("norm_context", "raw_strict")).groupBy(F.col("key").alias("word")).agg(
         F.bool_or(F.col("kind") == "norm_context").alias("norm_context"),
         F.bool_or(F.col("kind") == "raw_strict").alias("raw_strict"),
     )

@@ -4,7 +4,11 @@ Posts are stored in slices of up to 1,024 rows, in the order they came. For ever
 the index holds a posting list for each slice: which rows of the slice contain it. Lists
 are dealt by hash of the trigram and sorted, so a search reads the lists it needs. A term
 is looked up by its rarest trigrams, and the rows on all their lists are verified in the
-stored text. New posts are a new segment; what is stored is neither read nor rebuilt.
+stored text. Many terms would each have most slices as candidates, so the texts of the
+slices that their rarest trigrams are in are read once for all, and searched through longer
+q-grams (see ``lexicon_join.lowered_hits``); then work grows with the texts and the hits,
+not with terms times slices. New posts are a new segment; what is stored is neither read
+nor rebuilt.
 
 A trigram is one long of three code points. Texts end in two empty code points, so every
 character starts a trigram and terms of one or two characters are prefixes of trigrams.
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from slyglot.operators.lexicon_join import build_side, is_small, settled
+from slyglot.operators.lexicon_join import build_side, is_small, lowered_hits, settled
 from slyglot.operators.topk import top_k_per_key
 
 #: Rows of a slice, as a power of two.
@@ -39,11 +43,13 @@ RARE = 3
 #: Slices of the first wave, and how many times more each next one has.
 FIRST_SLICES, MORE = 4, 8
 BUCKETS = 64
-#: Terms that are looked up row by row at most; more are searched together in each slice they may be in.
+#: Terms that are looked up row by row at most; more are searched together in the slices they may be in.
 FEW_TERMS = 1000
 #: Terms that one task verifies in a slice, about.
 TERMS = 100_000
 AT = ["segment", "slice"]
+#: Where a post is stored.
+PLACE = [*AT, "row"]
 
 
 def packed(a: Column, b: Column, c: Column) -> Column:
@@ -111,27 +117,18 @@ class TrigramIndex:
         listed = known.groupBy("pos").agg(F.array_sort(F.collect_list("g")).alias("all")).filter(F.col("all")[0]["n"] > 0)
         return listed.select("pos", F.col("all")[0]["gram"].alias("gram"), F.slice(F.col("all.gram"), 2, RARE - 1).alias("others"))
 
-    def _waves(self) -> list[int]:
-        """Post ids that part the waves, from a sketch of the slices' smallest ids."""
-        slices = self._read("lists").groupBy("segment", "slice").agg(F.min("low").alias("low"))
+    def _waves(self, slices: DataFrame) -> list[int]:
+        """Post ids that part the waves, from a sketch of the smallest ids of ``slices``."""
         count = slices.count()
         shares = [FIRST_SLICES * MORE ** i / count for i in range(60) if FIRST_SLICES * MORE ** i < count]
         found = slices.agg(F.percentile_approx("low", shares, 10_000)).first()[0] if shares else []
         return sorted(set(found))
 
-    def _candidates(self, lists: DataFrame, rare: DataFrame, short: DataFrame, with_rows: bool) -> DataFrame:
-        """``(pos, segment, slice, rows)``: where all of a term's rarest trigrams are.
+    def _candidates(self, lists: DataFrame, rare: DataFrame, short: DataFrame) -> DataFrame:
+        """``(pos, segment, slice, rows)``: the rows of a slice that are on the lists of all of a term's rarest trigrams.
 
-        With rows, the rows of a slice that are on all lists: only the shortest list of a
-        term goes along with it, the others are looked up. Without, the slices that the
-        rarest trigram is in, and no rows.
+        Only the shortest list of a term goes along with it, the others are looked up.
         """
-        none = F.lit(None).cast("array<short>").alias("rows")
-        begins = F.explode(F.array(F.shiftright("gram", 42), F.shiftright("gram", 21))).alias("prefix")
-        starts = lists.select(*AT, "low", "rows" if with_rows else none, begins).join(short, "prefix").select("pos", *AT, "rows")
-        if not with_rows:
-            slices = lists.select("gram", *AT).join(rare.select("pos", "gram"), "gram").select("pos", *AT, none)
-            return slices.union(starts).distinct()
         piece = ["pos", *AT, "low"]
         met = lists.join(rare, "gram").select(*piece, "others", "rows")
         for i in range(RARE - 1):
@@ -140,10 +137,24 @@ class TrigramIndex:
             both = F.array_intersect("rows", F.coalesce("more", F.array().cast("array<short>")))
             rows = F.when(F.col("other").isNull(), F.col("rows")).otherwise(both)
             met = met.select(*piece, "others", rows.alias("rows")).filter(F.size("rows") > 0)
-        return met.select("pos", *AT, "rows").union(starts)
+        return met.select("pos", *AT, "rows").union(self._begun(lists, short, F.col("rows")))
+
+    def _begun(self, lists: DataFrame, short: DataFrame, rows: Column) -> DataFrame:
+        """``(pos, segment, slice, rows)``: where trigrams that begin with a short term are."""
+        begins = F.explode(F.array(F.shiftright("gram", 42), F.shiftright("gram", 21))).alias("prefix")
+        return lists.select(*AT, rows.alias("rows"), begins).join(short, "prefix").select("pos", *AT, "rows")
+
+    def _together(self, lists: DataFrame, rare: DataFrame, terms: DataFrame) -> DataFrame:
+        """``(pos, post_id, segment, slice, row)``: all posts that hold a term of ``rare``, in the slices its rarest trigram may be in."""
+        grams = settled(rare.select("gram").distinct(), "open-grams")
+        slices = settled(lists.join(build_side(grams, is_small(grams)), "gram", "left_semi").select(*AT).distinct(), "asked-slices")
+        posts = self._read("posts").join(build_side(slices, is_small(slices)), AT, "left_semi").select(*PLACE, "post_id", "lowered")
+        wanted = settled(terms.join(rare.select("pos"), "pos", "left_semi").select("pos", "pattern"), "open-patterns")
+        hits = lowered_hits(posts, wanted, [*PLACE, "post_id"])
+        return hits.join(build_side(wanted, is_small(wanted)), "pattern").select("pos", "post_id", *PLACE)
 
     def _verified(self, asked: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
-        """``(pos, post_id, url)``: the first ``limit`` posts of each slice that hold a term asked of it.
+        """``(pos, post_id, segment, slice, row)``: the first ``limit`` posts of each slice that hold a term asked of it.
 
         A task has the texts of one slice, and up to about ``TERMS`` terms.
         """
@@ -178,11 +189,11 @@ class TrigramIndex:
                             pos += dict.fromkeys(owners)
                             at += [i] * len(set(owners))
             found = stored.iloc[at]
-            return pd.DataFrame({"pos": pos, "post_id": found["post_id"].to_numpy(), "url": found["url"].to_numpy()})
+            return pd.DataFrame({"pos": pos, **{c: found[c].to_numpy() for c in ("post_id", *PLACE)}})
 
         key = [*AT, "share"]
         together = posts.groupBy(*key).cogroup(wanted.groupBy(*key))
-        return together.applyInPandas(hits, f"pos long, post_id {kinds['post_id']}, url {kinds['url']}")
+        return together.applyInPandas(hits, "pos long, " + ", ".join(f"{c} {kinds[c]}" for c in ("post_id", *PLACE)))
 
     def search(self, terms: DataFrame, limit: int) -> DataFrame:
         """``(pos, term, post_id, url)``: the first ``limit`` posts by id of every ``(pos, term)``.
@@ -198,14 +209,24 @@ class TrigramIndex:
         two = F.shiftleft(F.get("p", F.lit(0)), 21).bitwiseOR(F.get("p", F.lit(1)))
         short = cut.filter(F.size("p").between(1, 2)).select("pos", F.coalesce(F.when(F.size("p") == 2, two), F.get("p", F.lit(0))).alias("prefix"))
         short = settled(short, "short-terms")
-        with_rows = terms.count() <= FEW_TERMS
+        row_by_row = terms.count() <= FEW_TERMS
+        slices = settled(self._read("lists").groupBy(*AT).agg(F.min("low").alias("low")), "slices")
+        few_slices = is_small(slices)
         left, found, begin = terms.select("pos"), [], None
-        for end in [*self._waves(), None]:
-            lists = self._read("lists")
+        for end in [*self._waves(slices), None]:
+            now = slices
             for bound, test in ((begin, F.col("low") >= begin if begin is not None else None), (end, F.col("low") < end if end is not None else None)):
-                lists = lists if bound is None else lists.filter(test)
-            asked = self._candidates(lists, rare.join(left, "pos", "left_semi"), short.join(left, "pos", "left_semi"), with_rows)
-            found.append(settled(self._verified(settled(asked, "candidates"), terms, limit), "term-hits"))
+                now = now if bound is None else now.filter(test)
+            lists = self._read("lists").join(build_side(now.select(*AT), few_slices), AT, "left_semi")
+            open_rare, open_short = rare.join(left, "pos", "left_semi"), short.join(left, "pos", "left_semi")
+            if row_by_row:
+                asked = self._candidates(lists, open_rare, open_short)
+            else:
+                found.append(settled(self._together(lists, open_rare, terms), "term-hits"))
+                asked = self._begun(lists, open_short, F.lit(None).cast("array<short>")).distinct()
+            asked = settled(asked, "candidates")
+            if row_by_row or not asked.isEmpty():
+                found.append(settled(self._verified(asked, terms, limit), "term-hits"))
             if end is None:
                 break
             begin = end
@@ -213,7 +234,11 @@ class TrigramIndex:
             left = settled(left.join(done, "pos", "left_anti"), "open-terms")
             if left.isEmpty():
                 break
-        best = top_k_per_key(_union(found), "pos", [F.col("post_id"), F.col("url")], limit)
+        # posts of one id, which their URLs part, stay together until those are read
+        first = F.rank().over(Window.partitionBy("pos").orderBy("post_id"))
+        near = _union(found).withColumn("_rank", first).filter(F.col("_rank") <= limit).drop("_rank")
+        near = near.join(self._read("posts").select(*PLACE, "url"), PLACE).select("pos", "post_id", "url")
+        best = top_k_per_key(near, "pos", [F.col("post_id"), F.col("url")], limit)
         return best.join(terms.select("pos", "term"), "pos").select("pos", "term", "post_id", "url")
 
 

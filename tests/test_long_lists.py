@@ -162,6 +162,24 @@ def test_index_finds_the_first_posts_of_every_term(spark, monkeypatch, tmp_path,
     assert index.search(frame.limit(0), limit).collect() == []
 
 
+def test_many_terms_are_not_asked_of_every_slice(spark, monkeypatch, tmp_path):
+    """Only short terms are paired with slices; the others are found by one scan of each wave, once each."""
+    for module, name, value in ((trigram_index, "FEW_TERMS", 0), (trigram_index, "SLICE", 4), (lexicon_join, "INLINE_PATTERNS", 0)):
+        monkeypatch.setattr(module, name, value)
+    rows, words = made_posts(8)
+    rows = [r for r in rows if "İ" not in (r[2] or "")]
+    rows += [(i, f"again{i}", t) for i, _, t in rows[:50]]
+    terms = list(enumerate([*words, "a", "É", "ab", "b c", "zzz", "😀", words[0], "never there", "zend"]))
+    index, paired = TrigramIndex(spark, str(tmp_path / "index")), []
+    kept = TrigramIndex._verified
+    monkeypatch.setattr(TrigramIndex, "_verified", lambda self, asked, *rest: paired.append(asked) or kept(self, asked, *rest))
+    index.append(spark.createDataFrame(rows, POSTS).repartition(3), 0)
+    found = index.search(spark.createDataFrame(terms, "pos int, term string"), 7)
+    assert searched(found) == plain_search(rows, terms, 7)
+    short = {pos for pos, term in terms if len(term) <= 2}
+    assert paired and all({r.pos for r in asked.collect()} <= short for asked in paired)
+
+
 def test_appending_leaves_stored_lists_alone(spark, tmp_path):
     index = TrigramIndex(spark, str(tmp_path / "index"))
     index.append(spark.createDataFrame([(1, "u1", "first post")], POSTS), 0)
