@@ -84,3 +84,19 @@ def test_long_lexicons_join_by_shuffle(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(lexicon_join, "BROADCAST_ROWS", 0)
     plan = plan_of(QUERIES["charsub_exact_join"](spark, sf_dir))
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_exploded_words_and_keys_are_computed_once(spark):
+    """Spark asks of an exploded array whether it is empty; that must not compute it again."""
+    from slyglot.lexicons import Lexicons
+    from slyglot.operators import lexicon_join
+
+    posts = spark.createDataFrame([(1, "kill them with death", ["kill", "them"])], "post_id long, text string, w array<string>")
+    optimized = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized(lexicon_join.post_tokens(posts, "w")).count("array_distinct(") == 1
+    keys = lexicon_join.match_keys(posts, Lexicons())
+    assert optimized(keys).count("concat_ws(") == 1
+    some = lexicon_join.match_keys(posts, Lexicons(), kinds=("norm_context", "raw_strict"))
+    assert "concat_ws(" not in optimized(some)
+    wanted = keys.filter("kind IN ('norm_context', 'raw_strict')")
+    assert sorted(some.collect()) == sorted(wanted.collect())
