@@ -245,7 +245,7 @@ def substring_hits(posts: DataFrame, patterns: DataFrame, key: str | list[str] =
     A few patterns are simply searched for in the scan. A longer list is searched through
     its anchors (see ``anchors``): the rarest q-gram of each pattern, by a sample of the
     texts. The scan tests all positions against a filter of the anchors, and only those
-    that pass become rows that meet the patterns in a join. Patterns longer than
+    that pass become rows that meet the patterns in a join on the anchors' hashes. Patterns longer than
     ``LONG_PATTERN`` are a kind of their own, so that they do not widen the text that goes
     with the others. The rows are the same.
     """
@@ -264,14 +264,16 @@ def lowered_hits(lowered: DataFrame, patterns: DataFrame, keys: list[str]) -> Da
     long = (F.length("pattern") > LONG_PATTERN).cast("int").alias("kind")
     placed = settled(anchors.anchored(patterns, lowered.select(F.col("lowered").alias("text"))).select("*", long), "anchors")
     small = is_small(placed.select("pattern"))
-    longest = {r.kind: r.longest for r in placed.groupBy("kind").agg(F.max(F.length("pattern")).alias("longest")).collect()}
+    longest: dict[int, dict[int, int]] = {0: {}, 1: {}}
+    for r in placed.groupBy("kind", "q").agg(F.max(F.length("pattern")).alias("longest")).collect():
+        longest[r.kind][r.q] = r.longest
     nothing = anchors.AnchorFilter([])
     wanted = [
-        (anchors.anchor_filter(placed.filter(F.col("kind") == kind), INLINE_ANCHORS) if kind in longest else nothing, longest.get(kind, 0))
+        (anchors.anchor_filter(placed.filter(F.col("kind") == kind), INLINE_ANCHORS) if longest[kind] else nothing, longest[kind])
         for kind in (0, 1)
     ]
     at = anchors.stands(lowered.filter(F.length("lowered") > 0), keys, wanted)
-    side = build_side(placed.select("kind", "anchor", "pattern"), small)
+    side = build_side(placed.select("kind", F.col("gram").alias("anchor"), "pattern"), small)
     return at.join(side, ["kind", "anchor"]).filter(F.contains("around", "pattern")).select(*keys, "pattern").distinct()
 
 

@@ -1,6 +1,7 @@
 """Long lists of patterns, terms and words against plain search."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -110,6 +111,64 @@ def test_filter_passes_every_anchor_and_few_others(spark):
     assert bloom.test(hashes(others)).mean() < 0.02
 
 
+def test_a_larger_filter_passes_no_more(spark):
+    """Over two pages, at the fewest bits for each anchor."""
+    rng = random.Random(9)
+    words = {"".join(rng.choice("abcdefgh") for _ in range(8)) for _ in range(34_000)}
+    words = sorted(words)[:32_768]
+    bloom = anchors.anchor_filter(spark.createDataFrame([(w, 8, w) for w in words], "pattern string, q int, anchor string"), 0)
+    assert len(bloom.words) == 8192 == 2 * anchors.PAGE_WORDS
+    assert bloom.test(anchors._hashes(words)).all()
+    others = ["".join(rng.choice("ijklmnop") for _ in range(8)) for _ in range(100_000)]
+    assert bloom.test(anchors._hashes(others)).mean() < 0.003
+
+
+def test_many_patterns_are_anchored_together(monkeypatch):
+    """As one by one: the rarest gram, a hashed one of equal ones; grams of one length are hashed in one call."""
+    rng = random.Random(10)
+    counts = np.array([rng.randint(0, 2) for _ in range(anchors.SLOTS)])
+    whole, calls = anchors.gram_hashes, []
+    for q in anchors.GRAMS:
+        patterns = ["".join(rng.choice("abcé😀") for _ in range(rng.randint(q, q + 30))) for _ in range(100)]
+        wanted = []
+        for p in patterns:
+            found = whole(anchors.points_of(p), [q])[q]
+            seen = [counts[int(h) % anchors.SLOTS] for h in found]
+            tied = [i for i, n in enumerate(seen) if n == min(seen)]
+            at = tied[zlib.crc32(p.encode()) % len(tied)]
+            wanted.append((at, int(found[at])))
+        monkeypatch.setattr(anchors, "gram_hashes", lambda *given: calls.append(given) or whole(*given))
+        begins, grams = anchors.rarest(patterns, q, counts)
+        assert list(zip(begins.tolist(), grams.tolist())) == wanted
+        assert anchors._hashes([p[:q] for p in patterns]).tolist() == [int(whole(anchors.points_of(p[:q]), [q])[q][0]) for p in patterns]
+    assert len(calls) == 2 * len(anchors.GRAMS)
+
+
+@pytest.mark.parametrize("most", [1, 40, 1 << 24])
+def test_ranges_are_cut_out_of_a_text(monkeypatch, most):
+    monkeypatch.setattr(anchors, "BATCH_BYTES", most)
+    rng = random.Random(11)
+    for letters in ("abc", "abé😀"):
+        text = "".join(rng.choice(letters) for _ in range(500))
+        begins = np.array([rng.randint(0, 500) for _ in range(99)])
+        ends = np.minimum(begins + [rng.randint(0, 30) for _ in begins], 500)
+        parts = list(anchors.cut_out(text, begins, ends))
+        assert [t for _, _, cut in parts for t in cut.to_pylist()] == [text[b:e] for b, e in zip(begins, ends)]
+        assert [first for first, _, _ in parts] == [0, *(last for _, last, _ in parts[:-1])] and parts[-1][1] == 99
+
+
+def test_no_more_text_goes_along_than_a_pattern_covers(spark):
+    """Grams of 8 letters have patterns of up to 11 letters, whatever the longest pattern; a letter is told once of a text."""
+    long = "x" * 20 + "the longest of all the patterns" + "y" * 10
+    placed = spark.createDataFrame([("abcdefgh", 8, "abcdefgh"), (long, 16, long[20:36]), ("q", 1, "q")], "pattern string, q int, anchor string")
+    wanted = [(anchors.anchor_filter(placed, 100), {8: 11, 16: len(long), 1: 1}), (anchors.AnchorFilter([]), {})]
+    texts = spark.createDataFrame([(1, "qq 0123456abcdefgh6543210 q"), (2, "é" + long + "😀"), (3, "abcdefgh"), (4, "q")], "id long, lowered string")
+    found = anchors.stands(texts, ["id"], wanted).collect()
+    assert sorted((r.id, r.kind, r.around) for r in found) == sorted([
+        (1, 0, "456abcdefgh654"), (1, 0, "q"), (2, 0, "é" + long + "😀"), (3, 0, "abcdefgh"), (4, 0, "q"),
+    ])
+
+
 @pytest.mark.parametrize("chars", [1, 5, 16, 1000])
 def test_pieces_hold_every_gram_once(monkeypatch, chars):
     monkeypatch.setattr(anchors, "CHUNK_CHARS", chars)
