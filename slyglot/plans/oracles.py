@@ -218,7 +218,7 @@ PARTS = {
 PARTS["lexical_labeled"] = PARTS["labeled"].replace("FROM flags", "FROM lexical_flags")
 PARTS["known_cells"] = PARTS["cells"].replace("USING (post_id)", "USING (post_id) WHERE post_id % 10 <> 0")
 PARTS["long_list"] = f"""SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD}, 1)) AS word FROM documents)
-  WHERE length(word) >= 10 UNION SELECT lower(p_name) FROM part UNION SELECT lower(text[:200]) FROM benchmark UNION SELECT 'q'"""
+  WHERE length(word) >= 10 UNION SELECT lower(p_name) FROM part UNION SELECT lower(text) FROM benchmark UNION SELECT 'q'"""
 PARTS["cited_list"] = f"""SELECT word, CAST('0x' || md5(word)[:7] AS BIGINT) AS pos, md5(word)[8] AS label FROM
  (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD}, 1)) AS word FROM documents) WHERE length(word) >= 12)"""
 PARTS["cited_first"] = """SELECT doc_id, label, min(pos) AS pos FROM documents JOIN cited_list

@@ -871,7 +871,7 @@ def ts_words_long(spark, d):
     docs, items = corpus.documents(spark, d), corpus.table(spark, d, "benchmark")
     patterns = (
         listed_words(docs, 10).union(corpus.table(spark, d, "part").select(F.lower("p_name")))
-        .union(items.select(F.lower(F.left("text", F.lit(200))))).union(docs.select(F.lit("q")).limit(1)).toDF("pattern")
+        .union(items.select(F.lower("text"))).union(docs.select(F.lit("q")).limit(1)).toDF("pattern")
     )
     hits = lexicon_join.substring_hits(corpus.plain_posts(spark, d), patterns)
     return hits.groupBy("post_id").agg(F.count("*").alias("n_patterns"))

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,9 @@ from slyglot.lexicons import IMAGE_LABEL, TS_LABEL
 from slyglot.operators import anchors, collect, lexicon_join, trigram_index
 from slyglot.operators.lexicon_prep import phonetic_vocabulary
 from slyglot.operators.trigram_index import TrigramIndex
+from slyglot.plans.oracles import ORACLES
 from slyglot.plans.queries import QUERIES
+from tests.compare import connect, differences
 from tests.test_plans import built_sides, plan_of
 
 POSTS = "post_id long, url string, text string"
@@ -289,3 +292,21 @@ def test_long_list_queries_join_on_anchors(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     assert "anchor" in plan and "around" in plan and "BroadcastNestedLoopJoin" not in plan
     assert all("documents" not in side for side in built_sides(plan))
+
+
+@pytest.mark.parametrize("inline", [0, 256])
+def test_passages_are_searched_for_whole(spark, monkeypatch, tmp_path, inline):
+    """A post with only the beginning of an item, of any length, does not contain it."""
+    monkeypatch.setattr(lexicon_join, "INLINE_PATTERNS", inline)
+    items = ["An item of " + "some few words " * n + f"and its end {n}." for n in (15, 20, 3000)]
+    texts = [t for item in items for t in (f"Before. {item.upper()} After.", item[:-2], item[:200])] + ["", None, "q" + items[1]]
+    tables = {
+        "documents": pd.DataFrame({"doc_id": range(len(texts)), "text": texts}),
+        "benchmark": pd.DataFrame({"item_id": range(len(items) + 2), "text": [*items, "", None]}),
+        "part": pd.DataFrame({"p_partkey": [1], "p_name": ["never there"]}),
+    }
+    for name, rows in tables.items():
+        rows.to_parquet(tmp_path / f"{name}.parquet")
+    found = QUERIES["ts_words_long"](spark, str(tmp_path))
+    assert {r.post_id: r.n_patterns for r in found.collect()} == {0: 1, 3: 1, 6: 1, 11: 2}
+    assert differences(found, connect(str(tmp_path)), ORACLES["ts_words_long"]) == ""
