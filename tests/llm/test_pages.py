@@ -124,6 +124,63 @@ def test_alignment_equals_the_largest_matching():
         assert size == plain_matching(a, b) and len(pairs) <= size
 
 
+def plain_pairs(a, b):
+    """Size and pairs of a matching by the whole table of every two lists; of equal ones it has the later pairs."""
+    if a.name != b.name:
+        return 0, []
+    m, n = len(a.children), len(b.children)
+    best, found = [[0] * (n + 1) for _ in range(m + 1)], {}
+    for i, x in enumerate(a.children, 1):
+        for j, y in enumerate(b.children, 1):
+            found[i, j] = plain_pairs(x, y)
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + found[i, j][0])
+    pairs, i, j = [(a, b)], m, n
+    while i and j:
+        if found[i, j][0] and best[i][j] == best[i - 1][j - 1] + found[i, j][0]:
+            pairs += found[i, j][1]
+            i, j = i - 1, j - 1
+        elif best[i][j] == best[i - 1][j]:
+            i -= 1
+        else:
+            j -= 1
+    return 1 + (a.text != "" and a.text == b.text) + best[m][n], pairs
+
+
+@pytest.mark.parametrize("few,kept", [(1000, 10**6), (0, 10**6), (0, 0), (5, 20)])
+def test_alignment_of_lists_of_any_length_is_by_the_whole_table(monkeypatch, few, kept):
+    """The same size and the same equal texts, whichever way the lists are matched."""
+    monkeypatch.setattr(html_wrapper, "PAIRS", few)
+    monkeypatch.setattr(html_wrapper, "KEPT", kept)
+    rng, same = random.Random(4), lambda pairs: {x.text for x, y in pairs if x.text and x.text == y.text}
+
+    def tree(depth=0):
+        text = rng.choice(["", "x", "y", "z", f"u{rng.randint(0, 20)}"]) if depth > 1 else ""
+        node = html_wrapper.Node(rng.choice("pd") if depth else "page", text)
+        if depth < 3 and not text:
+            node.children = [tree(depth + 1) for _ in range(rng.randint(0, 7))]
+        return node
+
+    for _ in range(200):
+        a, b = tree(), tree()
+        (size, pairs), (wanted, plain) = html_wrapper.align(a, b), plain_pairs(a, b)
+        assert size == wanted and same(pairs) == same(plain)
+
+
+@pytest.mark.parametrize("n", [20, 300, 3000])
+def test_a_line_that_moved_does_not_unsettle_a_long_list(n):
+    leaf = lambda key: [(1, 7, 0), (2, 0, key)]
+    lines = [row for key in range(1, n + 1) for row in leaf(key)]
+    found = html_wrapper.constants([[(0, 5, 0), *leaf(n + 1), *lines], [(0, 5, 0), *lines, *leaf(n + 1)]])
+    assert found == set(range(1, n + 1))
+
+
+def test_very_long_lists_are_aligned_in_whole():
+    line = lambda text: html_wrapper.Node("p", children=[html_wrapper.Node("#", text)])
+    page = lambda i: html_wrapper.Node("page", children=[line(f"{i} {j}" if j % 2 else f"line {j}") for j in range(20_000)])
+    size, pairs = html_wrapper.align(page(1), page(2))
+    assert size == 1 + 2 * 20_000 + 10_000 and len(pairs) == 40_001
+
+
 def test_aligned_pages_show_their_constant_nodes():
     def tree(page):
         parsed = html_wrapper.parse(page)
